@@ -1,11 +1,16 @@
 """SQL for a second engine, one statement per registered query, written from the operators' definitions."""
 
 from textassay.functions import minhash as M
-from textassay.functions.patterns import NON_WORD, SPACE, SPACE_CHARS
 from textassay.operators.scorecard import ADVICE, LIMITS, TITLES
 from textassay.sources.lexicon import DEFAULT_TERMS
 
-W = SPACE
+# Unicode whitespace, spelled out: \\s is ASCII only here.
+SPACE_CHARS = (
+    r"\t\n\x0b\x0c\r \x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
+    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+)
+W = f"[{SPACE_CHARS}]"
+NON_WORD = r"[^\p{L}\p{N}_]"
 TAG = "<[^>]*>"
 
 # The patterns in full, not in the shortened form the library searches for.
@@ -138,7 +143,7 @@ def pairs(source: str) -> str:
     return f"""{candidates(source)},
     agree AS (SELECT doc_a, doc_b, count(*) AS matches FROM cand
               JOIN sig a ON a.doc_id = doc_a JOIN sig b ON b.doc_id = doc_b AND a.k = b.k AND a.m = b.m GROUP BY ALL),
-    pairs AS (SELECT doc_a, doc_b, round(matches / CAST(128 AS DOUBLE), 4) AS jaccard FROM agree WHERE matches >= 103)"""
+    pairs AS (SELECT doc_a, doc_b, round_even(matches / CAST(128 AS DOUBLE), 4) AS jaccard FROM agree WHERE matches >= 103)"""
 
 
 def dup_summary(source: str) -> str:
@@ -171,15 +176,15 @@ def scorecard(all_rows: str) -> str:
         for name, (alert, ok) in ADVICE.items():
             text = quoted(alert[part])
             if part:
-                text = f"replace({text}, '%s', printf('%.2f%%', round(exact_value, 2)))"
+                text = f"replace({text}, '%s', printf('%.2f%%', round_even(exact_value, 2)))"
             cases.append(f"WHEN metric = '{name}' AND status = 'ALERT' THEN {text} WHEN metric = '{name}' THEN {quoted(ok[part])}")
         return "CASE " + " ".join(cases) + " END"
 
     rows = " UNION ALL ".join(
         [
-            row("MI-01", f"round({pct('total_pairs', 'dup_total')}, 2)", "CAST(NULL AS DOUBLE)", "total_pairs", "dup_total"),
+            row("MI-01", f"round_even({pct('total_pairs', 'dup_total')}, 2)", "CAST(NULL AS DOUBLE)", "total_pairs", "dup_total"),
             row("MI-02", "pct_pii", "CAST(NULL AS DOUBLE)", "pii_docs", "total_docs"),
-            row("MI-03", "pct_toxic", "round(mean_score, 4)", "toxic_docs", "total_docs"),
+            row("MI-03", "pct_toxic", "round_even(mean_score, 4)", "toxic_docs", "total_docs"),
             row("MI-04", pct("total_docs", "total_rows"), "CAST(NULL AS DOUBLE)", "total_docs", "total_rows"),
         ]
     )
@@ -189,7 +194,7 @@ def scorecard(all_rows: str) -> str:
     tidy AS ({rows}),
     judged0 AS (SELECT *, CASE WHEN (direction = '>' AND exact_value > threshold) OR (direction = '<' AND exact_value < threshold)
                                THEN 'ALERT' ELSE 'OK' END AS status FROM tidy),
-    judged AS (SELECT *, round(exact_value, 2) AS value, {advice(0)} AS code, {advice(1)} AS message FROM judged0)"""
+    judged AS (SELECT *, round_even(exact_value, 2) AS value, {advice(0)} AS code, {advice(1)} AS message FROM judged0)"""
 
 
 METRIC_COLUMNS = "metric, title, value, score_mean, unit, method, threshold, direction, n_hits, n_total"
@@ -271,8 +276,8 @@ def statements() -> dict[str, str]:
         "pii_any": f"WITH {flagged('documents')} SELECT doc_id, pii_any FROM flagged",
         "text_snippet": """SELECT doc_id, CASE WHEN length(text) > 100 THEN substr(text, 1, 100) || '...' ELSE text END AS snippet
             FROM documents""",
-        "report_values": f"""WITH {CLEAN_DOCS}, {stats("cleaned")} SELECT *, printf('%.2f%%', round(pct_pii, 2)) AS pct_pii_text,
-            printf('%.2f%%', round(pct_toxic, 2)) AS pct_toxic_text, printf('%.4f', round(mean_score, 4)) AS mean_score_text FROM stats""",
+        "report_values": f"""WITH {CLEAN_DOCS}, {stats("cleaned")} SELECT *, printf('%.2f%%', round_even(pct_pii, 2)) AS pct_pii_text,
+            printf('%.2f%%', round_even(pct_toxic, 2)) AS pct_toxic_text, printf('%.4f', round_even(mean_score, 4)) AS mean_score_text FROM stats""",
         # filters
         "quality_reject_reason": f"SELECT page_id, {reason('c', 'html')} AS reject_reason FROM (SELECT page_id, html, {strip('html')} AS c FROM pages)",
         "quality_filter": f"SELECT doc_id, text FROM documents WHERE ({reason('text', 'text')}) IS NULL",
@@ -294,8 +299,8 @@ def statements() -> dict[str, str]:
             SELECT doc_a, doc_b, common / CAST(na + nb - common AS DOUBLE) AS jaccard FROM met
             WHERE common / CAST(na + nb - common AS DOUBLE) >= 0.8""",
         "near_dup_summary": f"""WITH {dup_summary("documents")} SELECT 5 AS n, 128 AS num_perm, CAST(0.8 AS DOUBLE) AS threshold,
-            16 AS bands, 8 AS rows_per_band, total_docs, total_pairs, round({pct("total_pairs", "total_docs")}, 2) AS pair_pct, dup_docs,
-            round({pct("dup_docs", "total_docs")}, 2) AS dup_doc_pct FROM dups""",
+            16 AS bands, 8 AS rows_per_band, total_docs, total_pairs, round_even({pct("total_pairs", "total_docs")}, 2) AS pair_pct, dup_docs,
+            round_even({pct("dup_docs", "total_docs")}, 2) AS dup_doc_pct FROM dups""",
         "near_dup_examples": f"WITH {pairs('documents')} SELECT doc_a, doc_b, jaccard FROM pairs ORDER BY doc_a, doc_b LIMIT 5",
         # aggregates
         "toxicity_distribution": f"WITH {scored('documents')} SELECT {distribution} FROM scored",

@@ -28,7 +28,7 @@ def html_ratio(c) -> Column:
 
 
 def is_blank(c) -> Column:
-    return _col(c).isNull() | (F.regexp_replace(_col(c), P.SPACE, "") == "")
+    return _col(c).isNull() | ~_col(c).rlike(P.NOT_SPACE)
 
 
 def snippet(c, size: int = 100) -> Column:
@@ -38,13 +38,14 @@ def snippet(c, size: int = 100) -> Column:
 
 def tox_tokens(c) -> Column:
     """Lower-case tokens; characters outside the alphabet are deleted, not replaced by a space."""
-    kept = F.regexp_replace(F.lower(F.coalesce(_col(c), F.lit(""))), P.NOT_TOKEN_CHAR, "")
-    return F.filter(F.split(kept, f"{P.SPACE}+"), lambda t: t != "")
+    kept = collapse_spaces(F.regexp_replace(F.lower(F.coalesce(_col(c), F.lit(""))), P.NOT_TOKEN_CHARS, ""))
+    # Single blanks only, so the one empty token to avoid is that of an empty text.
+    return bind(kept, lambda t: F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, " ")))
 
 
 def shingle_normalize(c) -> Column:
     """Lower case, letters, digits and single spaces only. NULL stays NULL."""
-    return collapse_spaces(F.regexp_replace(F.lower(_col(c)), P.NOT_SHINGLE_CHAR, ""))
+    return collapse_spaces(F.regexp_replace(F.lower(_col(c)), P.NOT_SHINGLE_CHARS, ""))
 
 
 def shingles_of(normalized, n: int = 5) -> Column:
@@ -82,5 +83,5 @@ def number_label(c, digits: int = 4) -> Column:
 
 def _label(c, digits: int, unit: str = "") -> Column:
     # format_string renders NULL as "null", so it is kept away from NULL.
-    text = F.format_string(f"%.{digits}f{unit}", F.round(_col(c), digits))
+    text = F.format_string(f"%.{digits}f{unit}", F.bround(_col(c), digits))
     return F.when(_col(c).isNotNull(), text).otherwise(F.lit("N/A"))

@@ -268,7 +268,8 @@ class NearDups:
 
     def pairs(self, keep: int | None = None) -> DataFrame:
         """(doc_a, doc_b, jaccard), the reported list."""
-        share = F.round(F.col("matches") / F.lit(float(self.params.num_perm)), 4)
+        # Shares are multiples of 1/128, so ties are exact: half to even, as in Python.
+        share = F.bround(F.col("matches") / F.lit(float(self.params.num_perm)), 4)
         return expand_pairs(
             self.similar.withColumn("jaccard", share), self.signed, self.groups, self.params, "jaccard", F.lit(1.0), keep
         )
@@ -314,9 +315,9 @@ class NearDups:
             F.lit(p.rows_per_band).alias("rows_per_band"),
             "total_docs",
             "total_pairs",
-            F.round(percent(F.col("total_pairs").cast("double"), F.col("total_docs")), 2).alias("pair_pct"),
+            F.bround(percent(F.col("total_pairs").cast("double"), F.col("total_docs")), 2).alias("pair_pct"),
             "dup_docs",
-            F.round(percent(F.col("dup_docs"), F.col("total_docs")), 2).alias("dup_doc_pct"),
+            F.bround(percent(F.col("dup_docs"), F.col("total_docs")), 2).alias("dup_doc_pct"),
         )
 
 

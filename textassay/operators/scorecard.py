@@ -121,8 +121,8 @@ def scorecard_metrics(dup_summary: DataFrame | None, stats: DataFrame | None, in
         return F.struct(
             F.lit(name).alias("metric"),
             F.lit(title).alias("title"),
-            F.round(value, 2).alias("value"),
-            F.round(mean.cast("double"), 4).alias("score_mean"),
+            F.bround(value, 2).alias("value"),
+            F.bround(mean.cast("double"), 4).alias("score_mean"),
             F.lit("%").alias("unit"),
             F.lit(method).alias("method"),
             F.lit(limit).alias("threshold"),

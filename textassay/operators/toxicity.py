@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textassay.functions.text import snippet, tox_tokens
-from textassay.runtime import bind, percent
+from textassay.runtime import bind, materialize, percent
 from textassay.sources.lexicon import WEIGHT_SCALE
 
 THRESHOLD = 0.5
@@ -53,7 +53,8 @@ def toxicity_score(df: DataFrame, lexicon: dict[str, int] | DataFrame, id_col: s
     table (term, weight).
     """
     if isinstance(lexicon, dict):
-        summed = df.withColumn("tox", token_sums(text_col, lexicon)).select("*", "tox.*").drop("tox")
+        # inline() also keeps later filters on the score from evaluating the tokens a second time.
+        summed = df.select("*", F.inline(F.array(token_sums(text_col, lexicon))))
     else:
         summed = _joined_sums(df, lexicon, id_col, text_col)
     return summed.withColumn("tox_score", score_column())
@@ -61,11 +62,13 @@ def toxicity_score(df: DataFrame, lexicon: dict[str, int] | DataFrame, id_col: s
 
 def _joined_sums(df: DataFrame, lexicon: DataFrame, id_col: str, text_col: str) -> DataFrame:
     weights = lexicon.select("term", F.round(F.col("weight") * WEIGHT_SCALE).cast("bigint").alias("w"))
+    tokens = df.select(id_col, F.explode(tox_tokens(text_col)).alias("term"))
     if weights.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS:
-        weights = F.broadcast(weights)
-    # Counting the tokens per document first leaves few rows for the join, hot terms included.
-    tokens = df.select(id_col, F.explode(tox_tokens(text_col)).alias("term")).groupBy(id_col, "term").agg(F.count("*").alias("n"))
-    hits = tokens.join(weights, "term").groupBy(id_col).agg(F.sum(F.col("w") * F.col("n")).alias("tox_millis"))
+        hits = tokens.join(F.broadcast(weights), "term").withColumn("n", F.lit(1))
+    else:
+        # Both sides are shuffled by term: count the tokens of each document before.
+        hits = tokens.groupBy(id_col, "term").agg(F.count("*").alias("n")).join(weights, "term")
+    hits = hits.groupBy(id_col).agg(F.sum(F.col("w") * F.col("n")).alias("tox_millis"))
     return (
         df.withColumn("n_tokens", F.size(tox_tokens(text_col)).cast("bigint"))
         .join(hits, id_col, "left")
@@ -96,52 +99,82 @@ def toxicity_top(scored: DataFrame, k: int = 5, id_col: str = "doc_id", text_col
     )
 
 
-def exact_percentiles(df: DataFrame, column: str, probabilities: dict[str, float], grain: float = 1e-4) -> DataFrame:
+def value_counts(df: DataFrame, column: str) -> DataFrame:
+    """(v, n): distinct values and how often each occurs."""
+    return df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("v")).agg(F.count("*").alias("n"))
+
+
+def exact_percentiles(counts: DataFrame, probabilities: dict[str, float], grain: float = 1e-4) -> DataFrame:
     """One row of exact percentiles with linear interpolation, named by the keys of ``probabilities``.
 
-    The built-in exact ``percentile`` gathers every distinct value in one task. Here values are counted
-    per distinct value, then per cell of width ``grain`` (values are clamped to 10,001 cells), and only
-    the cells that hold a wanted rank are ordered inside.
+    The built-in exact ``percentile`` gathers every distinct value in one task. Here the values
+    (``value_counts``) are counted per cell of width ``grain`` (clamped to 10,001 cells), and only the
+    cells that hold a wanted rank are ordered inside.
     """
     cells = 10_000
-    values = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("v")).agg(F.count("*").alias("n"))
     cell = F.greatest(F.least(F.floor(F.col("v") / F.lit(grain)), F.lit(cells)), F.lit(0)).alias("cell")
-    values = values.select("v", "n", cell)
+    values = counts.select("v", "n", cell)
     # At most 10,001 rows from here on, so the unpartitioned window is bounded.
     per_cell = values.groupBy("cell").agg(F.sum("n").alias("cell_n"))
-    running = Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    everything = Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    by_cell = Window.partitionBy(F.lit(0)).orderBy("cell")
+    running = by_cell.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    everything = by_cell.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     placed = per_cell.select(
-        "cell", "cell_n", (F.sum("cell_n").over(running) - F.col("cell_n")).alias("before"), F.sum("cell_n").over(everything).alias("total")
+        "cell",
+        "cell_n",
+        (F.sum("cell_n").over(running) - F.col("cell_n")).alias("before"),
+        F.sum("cell_n").over(everything).alias("total"),
     )
     wanted = F.explode(F.array(*[F.struct(F.lit(k).alias("name"), F.lit(p).alias("p")) for k, p in probabilities.items()]))
     spots = placed.select("*", wanted.alias("w")).select(
         "cell", "cell_n", "before", "w.name", (F.col("w.p") * (F.col("total") - 1)).alias("spot")
     )
-    ranks = spots.select(
-        "cell", "cell_n", "before", "name",
-        F.explode(F.array(
-            F.struct(F.floor("spot").alias("rank"), (F.floor("spot") + 1 - F.col("spot")).alias("share")),
-            F.struct((F.floor("spot") + 1).alias("rank"), (F.col("spot") - F.floor("spot")).alias("share")),
-        )).alias("r"),
-    ).select("cell", "before", "cell_n", "name", "r.rank", "r.share")
-    hits = ranks.where((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("cell_n")) & (F.col("share") > 0))
-    # hits has at most two rows per probability.
-    in_cell = Window.partitionBy("cell", "name", "rank").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    share = F.col("spot") - F.floor("spot")
+    ends = F.explode(F.array(F.struct(F.floor("spot").alias("rank"), F.lit("lo").alias("end")), F.struct(F.ceil("spot").alias("rank"), F.lit("hi").alias("end"))))
+    ranks = spots.select("cell", "before", "cell_n", "name", share.alias("share"), ends.alias("r"))
+    ranks = ranks.select("cell", "before", "cell_n", "name", "share", "r.rank", "r.end")
+    # Two rows per probability.
+    hits = ranks.where("rank >= before AND rank < before + cell_n").drop("cell_n")
+    in_cell = Window.partitionBy("cell", "name", "end").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     inside = values.join(F.broadcast(hits), "cell").withColumn("upto", F.col("before") + F.sum("n").over(in_cell))
-    chosen = inside.where((F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("n")))
-    return chosen.agg(*[F.sum(F.when(F.col("name") == k, F.col("v") * F.col("share"))).alias(k) for k in probabilities])
+    chosen = inside.where("rank < upto AND rank >= upto - n")
+
+
+    def at(name: str, end: str):
+        return F.max(F.when((F.col("name") == name) & (F.col("end") == end), F.col("v")))
+
+    def fraction(name: str):
+        return F.max(F.when(F.col("name") == name, F.col("share")))
+
+    return chosen.agg(*[(at(k, "lo") + (at(k, "hi") - at(k, "lo")) * fraction(k)).alias(k) for k in probabilities])
 
 
 def toxicity_distribution(scored: DataFrame) -> DataFrame:
-    """One row: min, max, mean, median, std (n-1), p90 and p95 of the scores."""
-    moments = scored.agg(
-        F.min("tox_score").alias("min_score"),
-        F.max("tox_score").alias("max_score"),
-        mean_score().alias("mean_score"),
-        F.stddev_samp("tox_score").alias("std_score"),
+    """One row: min, max, mean, median, std (n-1), p90 and p95 of the scores.
+
+    The documents are read once, into counts per distinct score; all figures come from those. Sums
+    are exact (scores in millionths), so they do not depend on the order of the rows.
+    """
+    counts = materialize(value_counts(scored, "tox_score"), "scores")
+    micros = F.round(F.col("v") * 1e6).cast("decimal(12,0)")
+    n = F.col("n").cast("decimal(14,0)")
+    sums = counts.agg(
+        F.min("v").alias("min_score"),
+        F.max("v").alias("max_score"),
+        F.sum("n").cast("double").alias("total"),
+        F.sum(n).cast("decimal(14,0)").alias("dn"),
+        F.sum(micros * n).cast("decimal(22,0)").alias("d1"),
+        F.sum((micros * micros).cast("decimal(20,0)") * n).cast("decimal(24,0)").alias("d2"),
+    )
+    # n * (sum of squares) - (sum)**2 without loss, then the variance.
+    scatter = (F.col("dn") * F.col("d2") - F.col("d1") * F.col("d1")).cast("double")
+    moments = sums.select(
+        "min_score",
+        "max_score",
+        F.try_divide(F.col("d1").cast("double") / F.lit(1e6), F.col("total")).alias("mean_score"),
+        F.when(F.col("total") > 1, F.sqrt(scatter / (F.col("total") * (F.col("total") - 1))) / 1e6).alias("std_score"),
     )
-    ranks = exact_percentiles(scored, "tox_score", {"median_score": 0.5, "p90_score": 0.9, "p95_score": 0.95})
+    ranks = exact_percentiles(counts, {"median_score": 0.5, "p90_score": 0.9, "p95_score": 0.95})
     # Both sides have one row: put them on one row without a join.
     merged = moments.unionByName(ranks, allowMissingColumns=True)
     names = ["min_score", "max_score", "mean_score", "median_score", "std_score", "p90_score", "p95_score"]

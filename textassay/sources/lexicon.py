@@ -36,7 +36,7 @@ def _entries(df: DataFrame) -> DataFrame:
 def read_lexicon(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
     """(ord, term, weight) in file order; ``fmt`` is ``json`` (one object) or ``csv`` (term, weight)."""
     if fmt == "json":
-        text = spark.read.option("wholetext", True).text(path)
+        text = spark.read.text(path, wholetext=True)
         pairs = F.from_json("value", "map<string,double>")
         return _entries(text.select(F.posexplode(pairs).alias("ord", "term", "weight")))
     rows = spark.read.schema("ord BIGINT, term STRING, weight DOUBLE").option("header", True).csv(path)

@@ -10,6 +10,7 @@ from textassay.operators.ingest import ingest
 from textassay.operators.pii import pii_any, pii_flags
 from textassay.operators.quality import RULES, quality_reject_reason
 from textassay.operators.toxicity import THRESHOLD, toxicity_score
+from textassay.runtime import spread
 
 TOTALS = ("n_rows", *[f"drop_{r}" for r in RULES], "kept", *[p.column for p in PII_PATTERNS], "pii_any", "toxic")
 
@@ -59,7 +60,7 @@ def stream_flags(records: DataFrame, terms: dict[str, int], out: str, checkpoint
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = f"{out}/rows/batch_id={batch_id}"
-        flag_rows(batch, terms, text_col).drop(text_col).write.mode("overwrite").parquet(rows)
+        flag_rows(spread(batch), terms, text_col).drop(text_col).write.mode("overwrite").parquet(rows)
         flagged = batch.sparkSession.read.parquet(rows)
         _totals(flagged).write.mode("overwrite").parquet(f"{out}/totals/batch_id={batch_id}")
 
