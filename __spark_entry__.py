@@ -195,32 +195,32 @@ def toxicity_flagged(spark, d):
 
 
 def minhash_signature(spark, d):
-    signed = N.minhash_signature(_table(spark, d, "documents"))
+    signed = N.minhash_signature(_docs(spark, d))
     return signed.select("doc_id", F.concat_ws(",", F.col("signature").cast("array<string>")).alias("signature"))
 
 
 def lsh_bands(spark, d):
-    return N.lsh_bands(N.minhash_signature(_table(spark, d, "documents")))
+    return N.lsh_bands(N.minhash_signature(_docs(spark, d)))
 
 
 def near_dup_candidates(spark, d):
-    return N.near_dup_candidates(_table(spark, d, "documents"))
+    return N.near_dup_candidates(_docs(spark, d))
 
 
 def near_dup_pairs(spark, d):
-    return N.near_dups(_table(spark, d, "documents")).pairs()
+    return N.near_dups(_docs(spark, d)).pairs()
 
 
 def near_dup_pairs_exact(spark, d):
-    return N.near_dup_pairs_exact(_table(spark, d, "documents"))
+    return N.near_dup_pairs_exact(_docs(spark, d))
 
 
 def near_dup_summary(spark, d):
-    return _big(N.near_dups(_table(spark, d, "documents")).summary(), "total_pairs")
+    return _big(N.near_dups(_docs(spark, d)).summary(), "total_pairs")
 
 
 def near_dup_examples(spark, d):
-    return N.near_dups(_table(spark, d, "documents")).examples()
+    return N.near_dups(_docs(spark, d)).examples()
 
 
 # --- aggregates ------------------------------------------------------------------------------

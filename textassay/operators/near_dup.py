@@ -12,9 +12,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textassay.functions.minhash import band_keys, match_count, signature_udf
+from textassay.functions.minhash import band_keys, match_count, signature_udf, sketch_mismatches, sketch_words
 from textassay.functions.text import shingle_normalize, shingles_of
-from textassay.runtime import materialize, percent, spread
+from textassay.runtime import materialize, percent
 
 # Keys (16 bytes each) up to which a table of hot keys may be broadcast; beyond it the join is salted.
 BROADCAST_KEYS = 500_000
@@ -45,9 +45,7 @@ DEFAULTS = NearDupParams()
 def minhash_signature(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", params: NearDupParams = DEFAULTS) -> DataFrame:
     """(doc_id, signature): a narrow step, one Arrow UDF over the natively normalised text."""
     udf = signature_udf(params.n_gram, params.num_perm)
-    return spread(df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))).select(
-        "doc_id", udf(shingle_normalize("text")).alias("signature")
-    )
+    return df.select(F.col(id_col).alias("doc_id"), udf(shingle_normalize(text_col)).alias("signature"))
 
 
 def lsh_bands(signatures: DataFrame, params: NearDupParams = DEFAULTS) -> DataFrame:
@@ -67,8 +65,7 @@ def sign(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", params:
     normalised texts (hence equal shingle sets) for exact Jaccard.
     """
     udf = signature_udf(params.n_gram, params.num_perm)
-    base = spread(df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")))
-    normalized = base.select("doc_id", shingle_normalize("text").alias("norm"))
+    normalized = df.select(F.col(id_col).alias("doc_id"), shingle_normalize(text_col).alias("norm"))
     if exact:
         key = F.coalesce(F.md5("norm"), F.lit("null"))
         signed = normalized.select("doc_id", key.alias("group_key"), udf("norm").alias("signature"))
@@ -124,30 +121,25 @@ def _unit(size_col: str, row_id: str, params: NearDupParams) -> tuple[Column, Co
     return slices, F.pmod(F.xxhash64(F.col(row_id)), slices)
 
 
-def _pairs_within(rows: DataFrame, key: str, row_id: str, size_col: str, params: NearDupParams, extra: list[str] = ()) -> DataFrame:
-    """Unordered pairs of rows with equal ``key`` as (``row_id``_a < ``row_id``_b, and ``extra`` columns of both).
+def _pairs_within(
+    rows: DataFrame, key: str, row_id: str, size_col: str, params: NearDupParams, carried: list[str] = (), condition: Column | None = None
+) -> DataFrame:
+    """Unordered pairs of rows with equal ``key`` as ``row_id``_a < ``row_id``_b.
 
     A group of k rows is cut into s = ceil(k / unit_rows) slices; slices (i, j) with i <= j meet in
     their own work unit, so a unit holds about unit_rows rows per side however large the group.
+    ``condition`` may compare the ``carried`` columns as l_<name> and r_<name> within the join.
     """
     slices, mine = _unit(size_col, row_id, params)
-    sliced = rows.select(key, row_id, *extra, slices.alias("slices"), mine.alias("mine"))
-    as_first = sliced.select(
-        key, F.col("mine").alias("lo"), F.explode(F.sequence("mine", F.col("slices") - 1)).alias("hi"),
-        F.col(row_id).alias("l"), *[F.col(c).alias(f"l_{c}") for c in extra],
-    )
-    as_second = sliced.select(
-        key, F.explode(F.sequence(F.lit(0).cast("bigint"), "mine")).alias("lo"), F.col("mine").alias("hi"),
-        F.col(row_id).alias("r"), *[F.col(c).alias(f"r_{c}") for c in extra],
-    )
-    met = as_first.join(as_second, [key, "lo", "hi"]).where((F.col("lo") < F.col("hi")) | (F.col("l") < F.col("r")))
-    swapped = F.col("l") > F.col("r")
-    return met.select(
-        F.least("l", "r").alias(f"{row_id}_a"),
-        F.greatest("l", "r").alias(f"{row_id}_b"),
-        *[F.when(swapped, F.col(f"r_{c}")).otherwise(F.col(f"l_{c}")).alias(f"{c}_a") for c in extra],
-        *[F.when(swapped, F.col(f"l_{c}")).otherwise(F.col(f"r_{c}")).alias(f"{c}_b") for c in extra],
-    )
+    sliced = rows.select(key, row_id, *carried, slices.alias("slices"), mine.alias("mine"))
+    later = F.explode(F.sequence("mine", F.col("slices") - 1)).alias("hi")
+    earlier = F.explode(F.sequence(F.lit(0).cast("bigint"), "mine")).alias("lo")
+    left = sliced.select(key, F.col("mine").alias("lo"), later, F.col(row_id).alias("l"), *[F.col(c).alias(f"l_{c}") for c in carried])
+    right = sliced.select(key, earlier, F.col("mine").alias("hi"), F.col(row_id).alias("r"), *[F.col(c).alias(f"r_{c}") for c in carried])
+    met = left.join(right, [key, "lo", "hi"]).where((F.col("lo") < F.col("hi")) | (F.col("l") < F.col("r")))
+    if condition is not None:
+        met = met.where(condition)
+    return met.select(F.least("l", "r").alias(f"{row_id}_a"), F.greatest("l", "r").alias(f"{row_id}_b"))
 
 
 def _bucket_sizes(groups: DataFrame, params: NearDupParams) -> DataFrame:
@@ -157,7 +149,7 @@ def _bucket_sizes(groups: DataFrame, params: NearDupParams) -> DataFrame:
     return materialize(sizes.where("bucket_size > 1"), "buckets")
 
 
-def _bucket_rows(groups: DataFrame, params: NearDupParams, carried: list[str] = ()) -> DataFrame:
+def _bucket_rows(groups: DataFrame, params: NearDupParams, *carried: Column) -> DataFrame:
     keys = band_keys("signature", params.bands, params.rows_per_band)
     return groups.select("rep", *carried, F.explode(keys).alias("band_key"))
 
@@ -171,32 +163,28 @@ def candidate_groups(groups: DataFrame, params: NearDupParams = DEFAULTS) -> Dat
 def similar_groups(groups: DataFrame, params: NearDupParams = DEFAULTS) -> DataFrame:
     """(rep_a, rep_b, matches, copies_a, copies_b): candidate groups whose signatures agree often enough.
 
-    Ordinary buckets yield id pairs, which are made unique before the signatures are fetched. In a
-    crowded bucket most pairs would fail, so there the signatures travel with the rows and pairs are
-    checked inside the join: only true pairs leave it.
+    Ordinary buckets yield id pairs. In a crowded bucket most pairs would fail, so there a compact
+    sketch of the signature travels with the rows, and a pair leaves the join only if the sketches do
+    not rule it out. The pairs are then made unique and checked on the full signatures.
     """
     sizes = _bucket_sizes(groups, params)
     cold, hot = _split_lookup(_bucket_rows(groups, params), sizes, "band_key", "bucket_size", params)
-    ids = _pairs_within(cold, "band_key", "rep", "bucket_size", params).distinct()
+    ids = _pairs_within(cold, "band_key", "rep", "bucket_size", params)
+    if hot is not None:
+        words = [w.alias(f"w{i}") for i, w in enumerate(sketch_words("signature", params.num_perm))]
+        names = [f"w{i}" for i in range(len(words))]
+        _, crowded = _split_lookup(_bucket_rows(groups, params, *words), sizes, "band_key", "bucket_size", params)
+        mismatches = sketch_mismatches([F.col(f"l_{w}") for w in names], [F.col(f"r_{w}") for w in names])
+        possible = mismatches <= params.num_perm - params.min_matches
+        ids = ids.unionByName(_pairs_within(crowded, "band_key", "rep", "bucket_size", params, names, possible))
     signatures = groups.select("rep", "signature", "copies")
-    found = _similar(
-        ids.join(signatures.toDF("rep_a", "signature_a", "copies_a"), "rep_a").join(
-            signatures.toDF("rep_b", "signature_b", "copies_b"), "rep_b"
-        ),
-        params,
-    )
-    if hot is None:
-        return found
-    carried = ["signature", "copies"]
-    _, crowded = _split_lookup(_bucket_rows(groups, params, carried), sizes, "band_key", "bucket_size", params)
-    checked = _similar(_pairs_within(crowded, "band_key", "rep", "bucket_size", params, carried), params)
-    return found.unionByName(checked).distinct()
-
-
-def _similar(pairs: DataFrame, params: NearDupParams) -> DataFrame:
     matches = match_count(F.col("signature_a"), F.col("signature_b"))
-    return pairs.where(matches >= params.min_matches).select(
-        "rep_a", "rep_b", matches.alias("matches"), "copies_a", "copies_b"
+    return (
+        ids.distinct()
+        .join(signatures.toDF("rep_a", "signature_a", "copies_a"), "rep_a")
+        .join(signatures.toDF("rep_b", "signature_b", "copies_b"), "rep_b")
+        .select("rep_a", "rep_b", matches.alias("matches"), "copies_a", "copies_b")
+        .where(F.col("matches") >= params.min_matches)
     )
 
 
@@ -341,7 +329,7 @@ def near_dup_pairs_exact(df: DataFrame, id_col: str = "doc_id", text_col: str =
     candidates = materialize(candidate_groups(groups, params), "candidates")
     wanted = candidates.select(F.col("rep_a").alias("rep")).unionByName(candidates.select(F.col("rep_b").alias("rep"))).distinct()
     texts = df.select(F.col(id_col).alias("rep"), F.col(text_col).alias("text")).join(wanted, "rep", "left_semi")
-    normalized = spread(texts).select("rep", shingle_normalize("text").alias("norm"))
+    normalized = texts.select("rep", shingle_normalize("text").alias("norm"))
     sets = materialize(normalized.select("rep", shingles_of("norm", params.n_gram).alias("shingles")), "shingles")
     common = F.size(F.array_intersect("shingles_a", "shingles_b"))
     all_of = F.size("shingles_a") + F.size("shingles_b") - F.col("common")

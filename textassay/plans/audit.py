@@ -18,7 +18,7 @@ from textassay.operators.pii import pii_any, pii_columns
 from textassay.operators.quality import reject_reason
 from textassay.operators.scorecard import dataset_stats, recommendations, scorecard_metrics
 from textassay.operators.toxicity import score_column, token_sums
-from textassay.runtime import materialize, spread
+from textassay.runtime import materialize
 
 
 @dataclass(frozen=True)
@@ -34,7 +34,7 @@ def audit_features(ingested: DataFrame, terms: dict[str, int], id_col: str = "do
     """(doc_id, reject_reason, tox_millis, n_tokens, tox_score, pii_*, pii_any, group_key, signature), about 700 bytes a row."""
     columns = [F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")]
     raw = [F.col(raw_col).alias("raw")] if raw_col else []
-    rows = spread(ingested.select(*columns, *raw))
+    rows = ingested.select(*columns, *raw)
     kept = F.col("reject_reason").isNull()
     # Rejected texts are blanked, so no later expression spends time on them.
     judged = rows.select("doc_id", reject_reason("text", "raw" if raw_col else None).alias("reject_reason"), "text")

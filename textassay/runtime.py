@@ -67,7 +67,8 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 def spread(df: DataFrame) -> DataFrame:
     """Spread a frame over all cores when its scan has fewer splits than there are cores.
 
-    A no-op on large inputs, whose scans have far more splits than the cluster has cores.
+    A no-op on large inputs, whose scans have far more splits than the cluster has cores. For frames
+    that come straight from a source: asking a frame with shuffles for its partitions would run them.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= cores:

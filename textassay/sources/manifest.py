@@ -6,7 +6,6 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textassay.runtime import spread
 
 # Files up to this size are hashed from the ``content`` column; larger ones are streamed block by block.
 INLINE_BYTES = 64 * 1024 * 1024
@@ -45,7 +44,7 @@ def ingest_manifest(spark: SparkSession, path: str, inline_bytes: int = INLINE_B
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     named = [F.col("path"), F.col("modificationTime").alias("modified_at"), F.col("length").alias("bytes")]
     small = files.where(F.col("length") <= inline_bytes).select(*named, F.sha2("content", 256).alias("sha256"))
-    large = spread(files.where(F.col("length") > inline_bytes).select(*named)).mapInPandas(_file_hasher(), HASHED)
+    large = files.where(F.col("length") > inline_bytes).select(*named).repartition("path").mapInPandas(_file_hasher(), HASHED)
     return small.unionByName(large).select(
         "path",
         F.current_timestamp().alias("processed_at"),
