@@ -70,7 +70,7 @@ def assign_doc_id(spark, d):
 
 
 def row_position_id(spark, d):
-    return I.row_position_id(spark, f"{d}/documents.parquet").select("doc_id", "row_id")
+    return I.row_position_id(_table(spark, d, "documents")).select("doc_id", "row_id")
 
 
 def corpus_fingerprint(spark, d):

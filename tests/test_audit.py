@@ -1,9 +1,15 @@
 """A corpus with known totals through the whole audit."""
 
+from datetime import datetime
+
+from pyspark.sql import functions as F
+
 from textassay.operators.ingest import ingest
 from textassay.operators.near_dup import NearDupParams
 from textassay.operators.quality import quality_report
 from textassay.plans.audit import run_audit
+from textassay.plans.files import audit_files
+from textassay.sources.scorecards import latest_scorecard, read_scorecards
 
 TOPICS = (
     "river bridge harbour market station library museum garden castle forest valley desert island mountain village temple "
@@ -70,3 +76,26 @@ def test_texts_are_read_once(spark):
     for frame in (result.scorecard, result.cleaned, result.dups.pairs()):
         plan = frame._jdf.queryExecution().optimizedPlan().toString()
         assert "text" not in plan and "LogicalRDD" not in plan
+
+
+def test_files(spark, tmp_path):
+    records, out = str(tmp_path / "records"), str(tmp_path / "out")
+    sample(spark).orderBy("doc_id").coalesce(1).select("url", F.col("text").alias("texto")).write.json(records)
+    (tmp_path / "terms.json").write_text('{"ansiedad": 0.1, "otro": 0.5, "ansiedad": 0.2}')
+    for day in (1, 2):
+        audit_files(spark, records, out, datetime(2026, 5, day), str(tmp_path / "terms.json"), text_col="texto")
+    history = read_scorecards(spark, f"{out}/scorecards")
+    assert history.count() == 2
+    latest = {r["metric"]: r for r in latest_scorecard(history).collect()}
+    assert {m: r["value"] for m, r in latest.items()} == {"MI-01": 9.62, "MI-02": 5.77, "MI-03": 0.0, "MI-04": 96.3}
+    assert latest["MI-01"]["run_id"] == "SC-20260502-000000"
+    # Ids are positions in the input; the copies sit at 45 to 51.
+    pairs = sorted((r["doc_a"], r["doc_b"]) for r in spark.read.parquet(f"{out}/near_dups/pairs").collect())
+    assert pairs == [(45, 46), (45, 47), (46, 47), (48, 49), (50, 51)]
+    assert spark.read.json(f"{out}/near_dups/summary").first()["total_pairs"] == 5
+    audited = spark.read.parquet(f"{out}/audited")
+    assert audited.where("reject_reason IS NULL").count() == 52
+    assert [r["doc_id"] for r in audited.where("tox_millis = 200").collect()] == [0]
+    manifest = spark.read.json(f"{out}/manifest").collect()
+    assert {(r["total_rows"], tuple(r["columns"])) for r in manifest} == {(54, ("url", "text", "text_clean"))}
+    assert spark.read.json(f"{out}/reports/quality").where("rule = 'short'").first()["docs"] == 2

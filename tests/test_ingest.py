@@ -80,8 +80,12 @@ def test_doc_ids_identify_copies(spark, monkeypatch):
 
 def test_row_positions(spark, tmp_path):
     spark.range(100).coalesce(1).write.parquet(str(tmp_path / "t"))
-    rows = I.row_position_id(spark, str(tmp_path / "t")).collect()
+    rows = I.row_position_id(spark.read.parquet(str(tmp_path / "t"))).collect()
     assert all(r["row_id"] == r["id"] for r in rows)
+    spark.range(100).repartition(4).write.option("maxRecordsPerFile", 10).parquet(str(tmp_path / "u"))
+    ids = [r["doc_id"] for r in I.written_row_id(spark.read.parquet(str(tmp_path / "u"))).collect()]
+    assert len(set(ids)) == 100 and min(ids) == 0
+    assert [r["doc_id"] for r in I.written_row_id(spark.read.parquet(str(tmp_path / "t"))).orderBy("id").collect()] == list(range(100))
 
 
 def test_fingerprint(spark):

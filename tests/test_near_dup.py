@@ -144,6 +144,19 @@ def test_empty_corpus(texts):
     assert dups.pairs().count() == 0
 
 
+def test_sketch_never_counts_too_many_mismatches(spark):
+    rng = random.Random(11)
+    rows = []
+    for _ in range(200):
+        a = [rng.randrange(2**31) for _ in range(128)]
+        b = [rng.randrange(2**31) if rng.random() < 0.3 else x for x in a]
+        rows.append((a, b, sum(x != y for x, y in zip(a, b))))
+    df = spark.createDataFrame(rows, "a array<int>, b array<int>, mismatches int")
+    bound = M.sketch_mismatches(M.sketch_words("a", 128), M.sketch_words("b", 128))
+    for r in df.select("mismatches", bound.alias("bound")).collect():
+        assert r["mismatches"] - 5 <= r["bound"] <= r["mismatches"]
+
+
 def test_threshold_in_matches():
     assert N.NearDupParams().min_matches == 103
     assert N.NearDupParams(threshold=0.5).min_matches == 64

@@ -51,21 +51,16 @@ def shingle_normalize(c) -> Column:
 def shingles_of(normalized, n: int = 5) -> Column:
     """Distinct character n-grams of a normalised text.
 
-    A text shorter than ``n`` is its own single shingle, NULL has none. The text is cut into
-    characters once, so the cost is linear (``substring`` would walk from the start every time).
+    A text shorter than ``n`` is its own single shingle, NULL has none. The lookahead matches at every
+    position and captures the ``n`` characters after it, so one linear pass finds all n-grams
+    (``substring`` would walk from the start for every one).
     """
     text = _col(normalized)
-
-    def grams(chars):
-        return F.transform(
-            F.sequence(F.lit(0), F.size(chars) - n),
-            lambda i: F.concat(*[F.get(chars, i + j) for j in range(n)]),
-        )
-
+    grams = F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1))
     return (
         F.when(text.isNull(), F.array().cast("array<string>"))
         .when(F.length(text) < n, F.array(text))
-        .otherwise(F.array_distinct(bind(F.split(text, ""), grams)))
+        .otherwise(F.array_distinct(grams))
     )
 
 

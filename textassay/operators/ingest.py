@@ -43,14 +43,25 @@ def assign_doc_id(records: DataFrame) -> DataFrame:
     return single.unionByName(copies)
 
 
-def row_position_id(spark, path: str, column: str = "row_id") -> DataFrame:
-    """A Parquet table with each row's position in its file as id, and the file's name for tables of many files.
+def row_position_id(table: DataFrame, column: str = "row_id") -> DataFrame:
+    """A Parquet table with each row's position in its file, and the file's name.
 
-    A narrow step: the reader supplies the position.
+    A narrow step: the reader supplies both.
     """
-    return spark.read.parquet(path).select(
-        F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.row_index").alias(column), "*"
-    )
+    return table.select(F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.row_index").alias(column), *table.columns)
+
+
+def written_row_id(table: DataFrame, column: str = "doc_id") -> DataFrame:
+    """Adds an id to a table written by Spark: number of the part file, then position in the file.
+
+    Narrow and stable (the files do not change), and it follows the order of the rows. Bits: 20 for the
+    writing task, 10 for its file counter, 33 for the position.
+    """
+    name = F.col("_metadata.file_name")
+    task = F.regexp_extract(name, r"^part-(\d+)-", 1).cast("bigint")
+    counter = F.regexp_extract(name, r"-c(\d+)\.", 1).cast("bigint")
+    position = F.col("_metadata.row_index")
+    return table.select((F.shiftleft(task, 43) + F.shiftleft(counter, 33) + position).alias(column), *table.columns)
 
 
 def corpus_fingerprint(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textassay.functions.minhash import band_keys, match_count, signature_udf, sketch_mismatches, sketch_words
+from textassay.functions.minhash import band_keys, bucket_keys, match_count, signature_udf, sketch_mismatches, sketch_words
 from textassay.functions.text import shingle_normalize, shingles_of
 from textassay.runtime import materialize, percent
 
@@ -143,21 +143,21 @@ def _pairs_within(
 
 
 def _bucket_sizes(groups: DataFrame, params: NearDupParams) -> DataFrame:
-    """(band_key, bucket_size) of the buckets that hold at least two groups."""
-    keys = groups.select(F.explode(band_keys("signature", params.bands, params.rows_per_band)).alias("band_key"))
-    sizes = keys.groupBy("band_key").agg(F.count("*").alias("bucket_size"))
+    """(bucket, bucket_size) of the buckets that hold at least two groups."""
+    keys = groups.select(F.explode(bucket_keys("signature", params.bands, params.rows_per_band)).alias("bucket"))
+    sizes = keys.groupBy("bucket").agg(F.count("*").alias("bucket_size"))
     return materialize(sizes.where("bucket_size > 1"), "buckets")
 
 
 def _bucket_rows(groups: DataFrame, params: NearDupParams, *carried: Column) -> DataFrame:
-    keys = band_keys("signature", params.bands, params.rows_per_band)
-    return groups.select("rep", *carried, F.explode(keys).alias("band_key"))
+    keys = bucket_keys("signature", params.bands, params.rows_per_band)
+    return groups.select("rep", *carried, F.explode(keys).alias("bucket"))
 
 
 def candidate_groups(groups: DataFrame, params: NearDupParams = DEFAULTS) -> DataFrame:
     """(rep_a, rep_b): pairs of groups that share a bucket."""
-    rows = _lookup(_bucket_rows(groups, params), _bucket_sizes(groups, params), "band_key", "bucket_size", params)
-    return _pairs_within(rows, "band_key", "rep", "bucket_size", params).distinct()
+    rows = _lookup(_bucket_rows(groups, params), _bucket_sizes(groups, params), "bucket", "bucket_size", params)
+    return _pairs_within(rows, "bucket", "rep", "bucket_size", params).distinct()
 
 
 def similar_groups(groups: DataFrame, params: NearDupParams = DEFAULTS) -> DataFrame:
@@ -168,15 +168,15 @@ def similar_groups(groups: DataFrame, params: NearDupParams = DEFAULTS) -> DataF
     not rule it out. The pairs are then made unique and checked on the full signatures.
     """
     sizes = _bucket_sizes(groups, params)
-    cold, hot = _split_lookup(_bucket_rows(groups, params), sizes, "band_key", "bucket_size", params)
-    ids = _pairs_within(cold, "band_key", "rep", "bucket_size", params)
+    cold, hot = _split_lookup(_bucket_rows(groups, params), sizes, "bucket", "bucket_size", params)
+    ids = _pairs_within(cold, "bucket", "rep", "bucket_size", params)
     if hot is not None:
         words = [w.alias(f"w{i}") for i, w in enumerate(sketch_words("signature", params.num_perm))]
         names = [f"w{i}" for i in range(len(words))]
-        _, crowded = _split_lookup(_bucket_rows(groups, params, *words), sizes, "band_key", "bucket_size", params)
+        _, crowded = _split_lookup(_bucket_rows(groups, params, *words), sizes, "bucket", "bucket_size", params)
         mismatches = sketch_mismatches([F.col(f"l_{w}") for w in names], [F.col(f"r_{w}") for w in names])
         possible = mismatches <= params.num_perm - params.min_matches
-        ids = ids.unionByName(_pairs_within(crowded, "band_key", "rep", "bucket_size", params, names, possible))
+        ids = ids.unionByName(_pairs_within(crowded, "bucket", "rep", "bucket_size", params, names, possible))
     signatures = groups.select("rep", "signature", "copies")
     matches = match_count(F.col("signature_a"), F.col("signature_b"))
     return (

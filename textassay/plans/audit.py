@@ -30,26 +30,27 @@ class Audit:
 
 
 def audit_features(ingested: DataFrame, terms: dict[str, int], id_col: str = "doc_id", text_col: str = "text_clean",
-                   raw_col: str | None = None, params: NearDupParams = DEFAULTS) -> DataFrame:
-    """(doc_id, reject_reason, tox_millis, n_tokens, tox_score, pii_*, pii_any, group_key, signature), about 700 bytes a row."""
-    columns = [F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")]
-    raw = [F.col(raw_col).alias("raw")] if raw_col else []
-    rows = ingested.select(*columns, *raw)
-    kept = F.col("reject_reason").isNull()
+                   raw_col: str | None = None, params: NearDupParams = DEFAULTS, carried: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, carried columns, reject_reason, tox_millis, n_tokens, pii_*, signature, tox_score, pii_any, group_key).
+
+    About 700 bytes a row besides the carried columns.
+    """
+    reason = reject_reason(text_col, raw_col).alias("reject_reason")
+    rows = ingested.select(F.col(id_col).alias("doc_id"), *carried, reason, F.col(text_col).alias("_text"))
     # Rejected texts are blanked, so no later expression spends time on them.
-    judged = rows.select("doc_id", reject_reason("text", "raw" if raw_col else None).alias("reject_reason"), "text")
-    judged = judged.withColumn("text", F.when(kept, F.col("text")))
+    judged = rows.withColumn("_text", F.when(F.col("reject_reason").isNull(), F.col("_text")))
     local = judged.select(
         "doc_id",
+        *carried,
         "reject_reason",
-        token_sums("text", terms).alias("tox"),
-        *pii_columns("text"),
-        shingle_normalize("text").alias("norm"),
+        token_sums("_text", terms).alias("tox"),
+        *pii_columns("_text"),
+        shingle_normalize("_text").alias("norm"),
     )
     udf = signature_udf(params.n_gram, params.num_perm)
     flags = [p.column for p in PII_PATTERNS]
     scored = local.select(
-        "doc_id", "reject_reason", "tox.tox_millis", "tox.n_tokens", *flags, udf("norm").alias("signature")
+        "doc_id", *carried, "reject_reason", "tox.tox_millis", "tox.n_tokens", *flags, udf("norm").alias("signature")
     ).withColumn("tox_score", score_column())
     return pii_any(scored).withColumn("group_key", signature_key())
 
@@ -57,7 +58,11 @@ def audit_features(ingested: DataFrame, terms: dict[str, int], id_col: str = "do
 def run_audit(ingested: DataFrame, terms: dict[str, int], id_col: str = "doc_id", text_col: str = "text_clean",
               raw_col: str | None = None, params: NearDupParams = DEFAULTS, missing: str = "null") -> Audit:
     """Filters, near-duplicates, toxicity, personal data and scorecard of an ingested table."""
-    features = materialize(audit_features(ingested, terms, id_col, text_col, raw_col, params), "features")
+    return audit_of(materialize(audit_features(ingested, terms, id_col, text_col, raw_col, params), "features"), params, missing)
+
+
+def audit_of(features: DataFrame, params: NearDupParams = DEFAULTS, missing: str = "null") -> Audit:
+    """The audit of a written feature table."""
     cleaned = features.where("reject_reason IS NULL")
     dups = near_dups_of(cleaned.select("doc_id", "group_key", "signature"), params)
     total = features.agg(F.count("*").alias("total_rows"))
