@@ -20,6 +20,7 @@ from textassay.operators import pii as P  # noqa: E402
 from textassay.operators import quality as Q  # noqa: E402
 from textassay.operators import scorecard as S  # noqa: E402
 from textassay.operators import toxicity as X  # noqa: E402
+from textassay.plans import files  # noqa: E402
 from textassay.plans.audit import run_audit  # noqa: E402
 from textassay.runtime import scratch_path, spread  # noqa: E402
 from textassay.sources import jsonl, lexicon, manifest, scorecards  # noqa: E402
@@ -276,6 +277,14 @@ def corpus_audit(spark, d):
     return _page_scorecard(spark, d)
 
 
+def audit_files(spark, d):
+    records, out = scratch_path(spark, "records"), scratch_path(spark, "audit")
+    _table(spark, d, "pages").select("url", F.col("html").alias("text")).write.json(records)
+    files.audit_files(spark, records, out, datetime(2026, 1, 1), raw_ratio=True)
+    newest = scorecards.latest_scorecard(scorecards.read_scorecards(spark, f"{out}/scorecards"))
+    return _big(newest, "n_hits").drop("run_id", "generated_at")
+
+
 def latest_scorecard(spark, d):
     history = scratch_path(spark, "history")
     scorecards.write_scorecard(_document_scorecard(spark, d), history, datetime(2026, 1, 1))
@@ -311,7 +320,7 @@ _REGISTERED = (
     quality_reject_reason, quality_filter, quality_report, quality_report_documents, toxicity_flagged,
     minhash_signature, lsh_bands, near_dup_candidates, near_dup_pairs, near_dup_pairs_exact, near_dup_summary, near_dup_examples,
     toxicity_distribution, toxicity_rate, toxicity_top5, pii_report, pii_fp_estimate, dataset_stats, clean_rate,
-    scorecard_metrics, recommendations, corpus_audit, latest_scorecard, stream_ingest, stream_flags,
+    scorecard_metrics, recommendations, corpus_audit, audit_files, latest_scorecard, stream_ingest, stream_flags,
 )
 
 

@@ -319,6 +319,7 @@ def statements() -> dict[str, str]:
         "scorecard_metrics": f"WITH {DOCS}, {scorecard('docs')} SELECT {METRIC_COLUMNS} FROM judged",
         "recommendations": f"WITH {DOCS}, {scorecard('docs')} SELECT metric, value, threshold, status, code, message FROM judged",
         "corpus_audit": f"WITH {PAGES}, {scorecard('docs')} SELECT {METRIC_COLUMNS}, status, code, message FROM judged",
+        "audit_files": f"WITH {PAGES}, {scorecard('docs')} SELECT {METRIC_COLUMNS}, status, code, message FROM judged",
         "latest_scorecard": f"""WITH {PAGES}, {scorecard("docs")} SELECT 'SC-20260102-000000' AS run_id, metric, value, score_mean, threshold,
             n_hits, n_total, status FROM judged""",
         # streams

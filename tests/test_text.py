@@ -19,12 +19,15 @@ def test_html_strip(column_of):
         "  <br/> ": "",
         "a<p\nclass='x'>b": "a b",
         "<script>x</script>": "x",
+        "<b>é</b> 1 < 2 <i": "é 1 < 2 <i",
+        ">>a<b>": ">>a",
+        "x" + "<" * 300_000: "x" + "<" * 300_000,
     }
     assert column_of(T.html_strip("text"), *cases) == list(cases.values())
 
 
 def test_html_ratio(column_of):
-    cases = {None: 0.0, "": 0.0, "<b>xyz": 0.5, "<b\n>": 1.0, "abc": 0.0, "<b>" + "x" * 7: 0.3}
+    cases = {None: 0.0, "": 0.0, "<b>xyz": 0.5, "<b\n>": 1.0, "abc": 0.0, "<b>" + "x" * 7: 0.3, "<b>" + "<" * 300_000: 3 / 300_003}
     assert column_of(T.html_ratio("text"), *cases) == list(cases.values())
 
 

@@ -15,15 +15,26 @@ def collapse_spaces(c) -> Column:
     return F.trim(F.regexp_replace(_col(c), f"{P.SPACE}+", " "))
 
 
+def replace_tags(text: Column, replacement: str) -> Column:
+    """Every ``<...>`` replaced.
+
+    No tag can start after the last ``>``. Leaving that tail out keeps the search linear: each ``<``
+    before it finds its end, while a tail of unclosed ``<`` would be scanned once for each of them.
+    """
+    tail = F.substring_index(text, ">", -1)
+    head = F.substring(text, F.lit(1), F.length(text) - F.length(tail))
+    return F.concat(F.regexp_replace(head, P.HTML_TAG, replacement), tail)
+
+
 def html_strip(c) -> Column:
     """Tags become a space, runs of whitespace collapse, ends are trimmed; NULL becomes ''."""
-    return collapse_spaces(F.regexp_replace(F.coalesce(_col(c), F.lit("")), P.HTML_TAG, " "))
+    return collapse_spaces(replace_tags(F.coalesce(_col(c), F.lit("")), " "))
 
 
 def html_ratio(c) -> Column:
     """Share of the code points that belong to tags; 0 for empty or NULL."""
     size = F.length(_col(c))
-    rest = F.length(F.regexp_replace(_col(c), P.HTML_TAG, ""))
+    rest = F.length(replace_tags(_col(c), ""))
     return F.when(size > 0, (size - rest) / size).otherwise(F.lit(0.0))
 
 
@@ -51,12 +62,12 @@ def shingle_normalize(c) -> Column:
 def shingles_of(normalized, n: int = 5) -> Column:
     """Distinct character n-grams of a normalised text.
 
-    A text shorter than ``n`` is its own single shingle, NULL has none. The lookahead matches at every
-    position and captures the ``n`` characters after it, so one linear pass finds all n-grams
-    (``substring`` would walk from the start for every one).
+    A text shorter than ``n`` is its own single shingle, NULL has none. A match captures
+    ``n`` characters ahead and then consumes one whole code point, so one linear pass finds all
+    n-grams (``substring`` would walk from the start for every one).
     """
     text = _col(normalized)
-    grams = F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1))
+    grams = F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{n}}}))."), F.lit(1))
     return (
         F.when(text.isNull(), F.array().cast("array<string>"))
         .when(F.length(text) < n, F.array(text))
