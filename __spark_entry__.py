@@ -100,10 +100,10 @@ def jsonl_ingest(spark, d):
 
 
 def lexicon_table(spark, d):
-    entries = _docs(spark, d).select(
-        F.col("doc_id").alias("ord"), F.get(T.tox_tokens("text"), F.lit(0)).alias("term"), ((F.col("n_chars") % 10 + 1) / 10).alias("weight")
-    )
-    return lexicon.lexicon_table(entries.where("term IS NOT NULL"))
+    # The first token of every document plays a term, in document order.
+    first = F.explode(F.slice(T.tox_tokens("text"), 1, 1)).alias("term")
+    entries = _docs(spark, d).select(F.col("doc_id").alias("ord"), first, ((F.col("n_chars") % 10 + 1) / 10).alias("weight"))
+    return lexicon.lexicon_table(entries)
 
 
 # --- projections -----------------------------------------------------------------------------

@@ -322,22 +322,31 @@ def near_dups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", par
 def near_dup_pairs_exact(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", params: NearDupParams = DEFAULTS) -> DataFrame:
     """(doc_a, doc_b, jaccard): candidates checked with the exact Jaccard similarity of their shingle sets.
 
-    Shingles are built only for the representatives of groups that have a candidate partner.
+    Shingles are built once, for the representatives of groups that share a bucket. The similarity of
+    two sets is at most the ratio of their sizes, so pairs of too different sizes never leave the
+    bucket join.
     """
     signed = sign(df, id_col, text_col, params, exact=True)
     groups = signature_groups(signed)
-    candidates = materialize(candidate_groups(groups, params), "candidates")
-    wanted = candidates.select(F.col("rep_a").alias("rep")).unionByName(candidates.select(F.col("rep_b").alias("rep"))).distinct()
-    texts = df.select(F.col(id_col).alias("rep"), F.col(text_col).alias("text")).join(wanted, "rep", "left_semi")
-    normalized = texts.select("rep", shingle_normalize("text").alias("norm"))
-    sets = materialize(normalized.select("rep", shingles_of("norm", params.n_gram).alias("shingles")), "shingles")
+    rows = _lookup(_bucket_rows(groups, params), _bucket_sizes(groups, params), "bucket", "bucket_size", params)
+    texts = df.select(F.col(id_col).alias("rep"), F.col(text_col).alias("text"))
+    normalized = texts.join(rows.select("rep").distinct(), "rep", "left_semi").select("rep", shingle_normalize("text").alias("norm"))
+    sets = normalized.select("rep", shingles_of("norm", params.n_gram).alias("shingles"))
+    sets = materialize(sets.withColumn("n", F.size("shingles")), "shingles")
+
+    ratio = F.try_divide(F.least("l_n", "r_n"), F.greatest("l_n", "r_n"))
+    possible = F.coalesce(ratio, F.lit(1.0)) >= params.threshold
+    sized = rows.join(sets.select("rep", "n"), "rep")
+    candidates = _pairs_within(sized, "bucket", "rep", "bucket_size", params, ["n"], possible).distinct()
+
     common = F.size(F.array_intersect("shingles_a", "shingles_b"))
-    all_of = F.size("shingles_a") + F.size("shingles_b") - F.col("common")
     scored = (
-        candidates.join(sets.toDF("rep_a", "shingles_a"), "rep_a")
-        .join(sets.toDF("rep_b", "shingles_b"), "rep_b")
-        .withColumn("common", common)
-        .select("rep_a", "rep_b", F.coalesce(F.try_divide(F.col("common"), all_of), F.lit(1.0)).alias("jaccard"))
-        .where(F.col("jaccard") >= params.threshold)
+        candidates.join(sets.toDF("rep_a", "shingles_a", "n_a"), "rep_a")
+        .join(sets.toDF("rep_b", "shingles_b", "n_b"), "rep_b")
+        .select("rep_a", "rep_b", "n_a", "n_b", common.alias("common"))
+        .withColumn("jaccard", F.coalesce(F.try_divide("common", F.col("n_a") + F.col("n_b") - F.col("common")), F.lit(1.0)))
+        .select("rep_a", "rep_b", "jaccard")
     )
+    # Written before the filter, which would otherwise make the join intersect every pair a second time.
+    scored = materialize(scored, "scored").where(F.col("jaccard") >= params.threshold)
     return expand_pairs(_with_copies(scored, groups), signed, groups, params, "jaccard", F.lit(1.0))
