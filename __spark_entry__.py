@@ -228,7 +228,8 @@ def near_dup_examples(spark, d):
 
 
 def toxicity_distribution(spark, d):
-    return X.toxicity_distribution(_scored(spark, d)).withColumn("std_score", F.round("std_score", 9))
+    row = X.toxicity_distribution(_scored(spark, d))
+    return row.withColumns({c: F.round(c, 9) for c in ("median_score", "std_score", "p90_score", "p95_score")})
 
 
 def toxicity_rate(spark, d):

@@ -234,8 +234,8 @@ def pii_counts() -> str:
 
 
 PERCENTILES = """min(tox_score) AS min_score, max(tox_score) AS max_score, {mean} AS mean_score,
-    quantile_cont(tox_score, 0.5) AS median_score, round(stddev_samp(tox_score), 9) AS std_score,
-    quantile_cont(tox_score, 0.9) AS p90_score, quantile_cont(tox_score, 0.95) AS p95_score"""
+    round(quantile_cont(tox_score, 0.5), 9) AS median_score, round(stddev_samp(tox_score), 9) AS std_score,
+    round(quantile_cont(tox_score, 0.9), 9) AS p90_score, round(quantile_cont(tox_score, 0.95), 9) AS p95_score"""
 
 
 def statements() -> dict[str, str]:
