@@ -330,9 +330,29 @@ def entry(spark: SparkSession) -> DataFrame:
     return corpus_audit(spark, SMOKE_DIR)
 
 
+try:
+    import corpus_pipeline
+    from textassay.llm import queries as llm_queries
+    from textassay.llm import statements as llm_statements
+except ImportError as missing:
+    # The training-data operators come as a whole or not at all; any other failure is a fault.
+    if not (missing.name or "").startswith(("textassay.llm", "corpus_pipeline")):
+        raise
+    llm_queries = None
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in _REGISTERED}
+    found = {f.__name__: f for f in _REGISTERED}
+    if llm_queries is not None:
+        found |= llm_queries.queries()
+        found["pipeline"] = corpus_pipeline.run
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
-    return check_sql.statements()
+    found = check_sql.statements()
+    if llm_queries is not None:
+        found |= llm_statements.statements()
+        if corpus_pipeline.ORACLE_SQL is not None:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
