@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textassay.llm import fingerprints, language_id, secret_scan, simhash, source_mixing
+from textassay.llm import bpe_chunks, fingerprints, language_id, secret_scan, simhash, source_mixing
 from textassay.llm.common import table
 
 
@@ -15,6 +15,10 @@ def op3_source_mixing(spark: SparkSession, d: str) -> DataFrame:
     return source_mixing.taken_report(table(spark, d, "documents"))
 
 
+def op5_bpe_coding(spark: SparkSession, d: str) -> DataFrame:
+    return bpe_chunks.coding_report(table(spark, d, "documents"))
+
+
 def op6_simhash_near_dup(spark: SparkSession, d: str) -> DataFrame:
     classes = simhash.near_dup_classes(table(spark, d, "documents"))
     return classes.select("doc_id", simhash.fingerprint_hex().alias("fingerprint"), "component_id")
@@ -28,7 +32,7 @@ def op9_secret_scan(spark: SparkSession, d: str) -> DataFrame:
     return secret_scan.scan_report(table(spark, d, "documents"))
 
 
-REGISTERED = (op2_language_id, op3_source_mixing, op6_simhash_near_dup, op8_document_fingerprints, op9_secret_scan)
+REGISTERED = (op2_language_id, op3_source_mixing, op5_bpe_coding, op6_simhash_near_dup, op8_document_fingerprints, op9_secret_scan)
 
 
 def queries() -> dict:
