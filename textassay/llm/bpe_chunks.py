@@ -29,10 +29,12 @@ from textassay.llm.common import whole
 VOCABULARY = "word_bpe_49k.json"
 MEAN_CHUNK = 1024  # bytes
 HASH_WIDTH = 16
-MEMO_WORDS = 400_000
+MEMO_WORDS = 600_000
 CACHED_CHUNKS = 4096
 OUT_ROWS = 256
 _BLANKS = re.compile("[ \t\n\x0b\x0c\r]+")
+# Words that the library only lower-cases and splits into letters and marks: its model may be asked directly.
+_PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?]*)")
 
 
 def default_vocabulary() -> str:
@@ -79,6 +81,28 @@ def anchor_udf():
     return anchor
 
 
+def _letter_bytes() -> list[tuple[bytes, int]]:
+    """The bytes above 127 that letters up to U+00FF consist of, with the lead byte they need."""
+    return [(b"\xc3", b) for b in range(0x80, 0xC0) if b not in (0x97, 0xB7)]
+
+
+class _Memo(dict):
+    """Ids of words, made when first asked for and forgotten all at once when there are too many."""
+
+    def __init__(self, make):
+        super().__init__({"": b""})
+        self.make = make
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.make(word)
+        if len(self) >= MEMO_WORDS:
+            self.clear()
+            self[""] = b""
+        if len(word) <= 64:
+            self[word] = ids
+        return ids
+
+
 class ChunkCodec:
     """Encodes and decodes texts; one per Python worker."""
 
@@ -90,28 +114,38 @@ class ChunkCodec:
         self.library.no_truncation()
         size = self.library.get_vocab_size(with_added_tokens=True)
         self.tokens = [self.library.id_to_token(i) or "" for i in range(size)]
-        self.words: dict[str, bytes] = {"": b""}
+        self.model = self.library.model
+        # Byte-level vocabularies write each byte as one printable character; the library tells which.
+        shown = {b: self.library.pre_tokenizer.pre_tokenize_str(bytes([*lead, b]).decode()) for lead, b in _letter_bytes()}
+        self.byte_chars = {b: pieces[0][0][-1] for b, pieces in shown.items()} | {0xC3: next(iter(shown.values()))[0][0][0]}
+        self.id_bytes = [i.to_bytes(4, "little") for i in range(size)]
+        self.words = _Memo(self.word_ids)
         self.chunks: dict[str, tuple[list[str], list[bytes]]] = {}
 
     def library_ids(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def word(self, word: str) -> bytes:
-        ids = self.words.get(word)
-        if ids is None:
-            ids = self.library_ids(word)
-            if len(self.words) >= MEMO_WORDS:
-                self.words = {"": b""}
-            if len(word) <= 64:
-                self.words[word] = ids
-        return ids
+    def plain_ids(self, letters: str) -> bytes:
+        """Ids of a lower-case run of letters, or of a run of marks."""
+        if not letters.isascii():
+            letters = "".join(chr(b) if b < 128 else self.byte_chars[b] for b in letters.encode())
+        return b"".join([self.id_bytes[t.id] for t in self.model.tokenize(letters)])
+
+    def word_ids(self, word: str) -> bytes:
+        plain = _PLAIN.fullmatch(word)
+        if not plain:
+            return self.library_ids(word)
+        letters, marks = plain[1].lower(), plain[2]
+        if letters == word:
+            return self.plain_ids(word)
+        return self.words[letters] + (self.plain_ids(marks) if marks else b"")
 
     def chunk(self, chunk: str) -> tuple[list[str], list[bytes]]:
         """The words of a chunk, its ends being open, and their ids."""
         known = self.chunks.get(chunk)
         if known is None:
             words = _BLANKS.split(chunk)
-            known = words, [*map(self.word, words)]
+            known = words, [*map(self.words.__getitem__, words)]
             if len(self.chunks) >= CACHED_CHUNKS:
                 self.chunks.pop(next(iter(self.chunks)))
             self.chunks[chunk] = known
@@ -122,7 +156,7 @@ class ChunkCodec:
         reach = 1
         while True:
             left, right = before[-reach:] if before else [], after[:reach]
-            own_left, own_right = b"".join(map(self.word, left)), b"".join(map(self.word, right))
+            own_left, own_right = b"".join(map(self.words.__getitem__, left)), b"".join(map(self.words.__getitem__, right))
             ids = self.library_ids(" ".join([*left, joined, *right]))
             if ids.startswith(own_left) and ids.endswith(own_right) and len(ids) >= len(own_left) + len(own_right):
                 return ids[len(own_left) : len(ids) - len(own_right)]
@@ -145,10 +179,10 @@ class ChunkCodec:
             if len(words) == 1:
                 opened = joined
                 continue
-            out += self.repaired(closed, joined, words[1:-1][:8]) if mended else self.word(joined)
+            out += self.repaired(closed, joined, words[1:-1][:8]) if mended else self.words[joined]
             out += b"".join(ids[1:-1])
             closed, opened, mended = [w for w in words[1:-1][-8:] if w], words[-1], False
-        return bytes(out + (self.repaired(closed, opened, []) if mended else self.word(opened)))
+        return bytes(out + (self.repaired(closed, opened, []) if mended else self.words[opened]))
 
     def decode(self, ids: bytes) -> str:
         """The vocabulary has no decoder of its own: its tokens are joined by blanks."""
