@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textassay.llm import bpe_chunks, fingerprints, language_id, secret_scan, simhash, source_mixing
+from textassay.llm import ann, bpe_chunks, fingerprints, language_id, secret_scan, simhash, source_mixing
 from textassay.llm.common import table
 
 
@@ -24,6 +24,10 @@ def op6_simhash_near_dup(spark: SparkSession, d: str) -> DataFrame:
     return classes.select("doc_id", simhash.fingerprint_hex().alias("fingerprint"), "component_id")
 
 
+def op7_ann_search(spark: SparkSession, d: str) -> DataFrame:
+    return ann.nearest(table(spark, d, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op8_document_fingerprints(spark: SparkSession, d: str) -> DataFrame:
     return fingerprints.fingerprint_report(table(spark, d, "documents"))
 
@@ -32,7 +36,7 @@ def op9_secret_scan(spark: SparkSession, d: str) -> DataFrame:
     return secret_scan.scan_report(table(spark, d, "documents"))
 
 
-REGISTERED = (op2_language_id, op3_source_mixing, op5_bpe_coding, op6_simhash_near_dup, op8_document_fingerprints, op9_secret_scan)
+REGISTERED = (op2_language_id, op3_source_mixing, op5_bpe_coding, op6_simhash_near_dup, op7_ann_search, op8_document_fingerprints, op9_secret_scan)
 
 
 def queries() -> dict:
