@@ -3,10 +3,14 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textassay.llm import ann, bpe_chunks, fingerprints, language_id, secret_scan, simhash, source_mixing
+from textassay.llm import ann, bpe_chunks, fingerprints, language_id, repeats, secret_scan, simhash, source_mixing
 from textassay.llm.common import table
 
 
+def op1_suffix_array_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, d, "documents"))
+
+
 def op2_language_id(spark: SparkSession, d: str) -> DataFrame:
     return language_id.language_report(table(spark, d, "documents"))
 
@@ -36,7 +40,7 @@ def op9_secret_scan(spark: SparkSession, d: str) -> DataFrame:
     return secret_scan.scan_report(table(spark, d, "documents"))
 
 
-REGISTERED = (op2_language_id, op3_source_mixing, op5_bpe_coding, op6_simhash_near_dup, op7_ann_search, op8_document_fingerprints, op9_secret_scan)
+REGISTERED = (op1_suffix_array_dedup, op2_language_id, op3_source_mixing, op5_bpe_coding, op6_simhash_near_dup, op7_ann_search, op8_document_fingerprints, op9_secret_scan)
 
 
 def queries() -> dict:
