@@ -26,6 +26,7 @@ of at least that length loses all of it; an empty table gives an empty table. Ot
 import hashlib
 import uuid
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -69,22 +70,29 @@ class Block:
 
     def __init__(self, raw: np.ndarray):
         self.n = len(raw)
-        values = _BYTES[raw]
-        self.sums = []
-        for base in _BASES:
-            inverse = _powers(base, self.n + 1)[1]
-            self.sums.append(np.append(_U(0), np.cumsum(values * inverse[: self.n])))
-        if self.n >= TRIGGER:
-            at = np.arange(self.n - TRIGGER + 1)
-            rolling = (self.sums[0][TRIGGER:] - self.sums[0][: len(at)]) * _powers(_BASES[0], self.n + 1)[0][: len(at)]
-            self.t = np.flatnonzero(_mix(rolling) % _U(MEAN_PHRASE) == 0)
-        else:
-            self.t = np.zeros(0, int)
+        self.values = _BYTES[raw]
+        self.sums: dict[int, np.ndarray] = {}
+
+    def prefix(self, which: int) -> np.ndarray:
+        if which not in self.sums:
+            inverse = _powers(_BASES[which], self.n + 1)[1]
+            self.sums[which] = np.append(_U(0), np.cumsum(self.values * inverse[: self.n]))
+        return self.sums[which]
+
+    @cached_property
+    def t(self) -> np.ndarray:
+        """Positions of triggers."""
+        count = self.n - TRIGGER + 1
+        if count < 1:
+            return np.zeros(0, int)
+        sums = self.prefix(0)
+        rolling = (sums[TRIGGER:] - sums[:count]) * _powers(_BASES[0], self.n + 1)[0][:count]
+        return np.flatnonzero(_mix(rolling) % _U(MEAN_PHRASE) == 0)
 
     def hash(self, a: np.ndarray, b: np.ndarray, which: int = 0) -> np.ndarray:
         """Hashes of the ranges [a, b), as signed numbers."""
-        base = _BASES[which]
-        value = (self.sums[which][b] - self.sums[which][a]) * _powers(base, self.n + 1)[0][a]
+        base, sums = _BASES[which], self.prefix(which)
+        value = (sums[b] - sums[a]) * _powers(base, self.n + 1)[0][a]
         return _mix(value + (b - a).astype(np.uint64) * _U(base)).view(np.int64)
 
     def phrases(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -187,14 +195,23 @@ def classes(raw: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> tuple[np
 
 def repeated_windows(contexts: list[bytes], twice: np.ndarray) -> list[np.ndarray]:
     """For each context, which of its windows occurs more than once in all contexts; those of ``twice`` count double."""
-    sizes = [len(c) - WINDOW + 1 for c in contexts]
-    prints = []
-    for c in contexts:
-        block = Block(np.frombuffer(c, np.uint8))
-        a = np.arange(len(c) - WINDOW + 1)
-        prints.append(np.column_stack([block.hash(a, a + WINDOW), block.hash(a, a + WINDOW, 1)]))
-    rows = np.ascontiguousarray(np.concatenate(prints)).view([("a", np.int64), ("b", np.int64)]).ravel()
-    _, which = np.unique(rows, return_inverse=True)
+    sizes = np.array([len(c) - WINDOW + 1 for c in contexts])
+    prints, some, room = [], [], 0
+    for i, c in enumerate(contexts):  # hashed many at a time; a window never reaches into the next context
+        some.append(c)
+        room += len(c)
+        if room > BLOCK or i + 1 == len(contexts):
+            block = Block(np.frombuffer(b"".join(some), np.uint8))
+            starts = np.cumsum([0, *map(len, some[:-1])])
+            counts = np.array([len(x) - WINDOW + 1 for x in some])
+            at = np.arange(counts.sum()) + np.repeat(starts - np.cumsum(counts) + counts, counts)
+            prints.append(np.column_stack([block.hash(at, at + WINDOW), block.hash(at, at + WINDOW, 1)]))
+            some, room = [], 0
+    rows = np.concatenate(prints)
+    order = np.lexsort((rows[:, 1], rows[:, 0]))
+    fresh = np.append(True, (rows[order[1:]] != rows[order[:-1]]).any(axis=1))
+    which = np.empty(len(rows), np.int64)
+    which[order] = np.cumsum(fresh) - 1
     weight = np.bincount(which, weights=np.repeat(np.where(twice, 2, 1), sizes))
     return np.split(weight[which] > 1, np.cumsum(sizes)[:-1])
 
