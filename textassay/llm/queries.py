@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textassay.llm import ann, bpe_chunks, fingerprints, language_id, repeats, secret_scan, simhash, source_mixing
+from textassay.llm import ann, bpe_chunks, fingerprints, html_extraction, language_id, quality_classifier, repeats, secret_scan, simhash, source_mixing
 from textassay.llm.common import table
 
 
@@ -19,6 +19,10 @@ def op3_source_mixing(spark: SparkSession, d: str) -> DataFrame:
     return source_mixing.taken_report(table(spark, d, "documents"))
 
 
+def op4_html_extraction(spark: SparkSession, d: str) -> DataFrame:
+    return html_extraction.main_texts(table(spark, d, "pages"))
+
+
 def op5_bpe_coding(spark: SparkSession, d: str) -> DataFrame:
     return bpe_chunks.coding_report(table(spark, d, "documents"))
 
@@ -40,7 +44,11 @@ def op9_secret_scan(spark: SparkSession, d: str) -> DataFrame:
     return secret_scan.scan_report(table(spark, d, "documents"))
 
 
-REGISTERED = (op1_suffix_array_dedup, op2_language_id, op3_source_mixing, op5_bpe_coding, op6_simhash_near_dup, op7_ann_search, op8_document_fingerprints, op9_secret_scan)
+def op10_quality_classifier(spark: SparkSession, d: str) -> DataFrame:
+    return quality_classifier.score_quality(table(spark, d, "documents"))
+
+
+REGISTERED = (op1_suffix_array_dedup, op2_language_id, op3_source_mixing, op4_html_extraction, op5_bpe_coding, op6_simhash_near_dup, op7_ann_search, op8_document_fingerprints, op9_secret_scan, op10_quality_classifier)
 
 
 def queries() -> dict:
