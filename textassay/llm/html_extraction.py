@@ -249,14 +249,15 @@ class BlockLabeller:
         rng = np.random.default_rng(seed)
         m, v = ({k: np.zeros_like(x) for k, x in self.p.items()} for _ in range(2))
         step = 0
-        for _ in range(epochs):
+        for epoch in range(epochs):
+            rate = 0.02 * (1 - epoch / epochs)
             order = rng.permutation(len(pages))
             for i in range(0, len(order), batch):
                 step += 1
                 rows = order[i : i + batch]
                 for k, g in self._gradients([pages[j] for j in rows], [labels[j] for j in rows]).items():
                     m[k], v[k] = 0.9 * m[k] + 0.1 * g, 0.99 * v[k] + 0.01 * g * g
-                    self.p[k] = (self.p[k] - 0.02 * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.99**step)) + 1e-7)).astype(np.float32)
+                    self.p[k] = (self.p[k] - rate * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.99**step)) + 1e-7)).astype(np.float32)
         return self
 
 

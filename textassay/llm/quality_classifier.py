@@ -62,7 +62,7 @@ def votes(text: str) -> str:
     letters = (upper + lower + foreign) / max(len(text) - counts[_BLANKS].sum(), 1)
     length = len(text) / words
     tests = (
-        (symbols < 0.1, symbols > 0.5),
+        (symbols < 0.1, symbols > 0.35),
         (upper < 0.4 * (upper + lower), upper > 0.7 * (upper + lower) and words > 4),
         (bangs < 0.1, bangs > 0.4),
         (bars < 0.05, bars > 0.3),
