@@ -15,9 +15,9 @@ ORACLE_SQL = None  # fingerprints, profiles and token ids cannot be written in S
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents in which no language can be told (no letter at all); fills in missing languages."""
-    said = language_id.identify(docs, docs)
-    kept = said.where(F.col("lang_pred") != language_id.UNKNOWN)
-    return kept.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+    said = language_id.identify(docs, docs, names=("_lang", "_lang_score"))
+    kept = said.where(F.col("_lang") != language_id.UNKNOWN)
+    return kept.withColumn("lang", F.coalesce("lang", "_lang")).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

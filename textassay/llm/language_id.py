@@ -152,12 +152,16 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 3 == 1, F.lit(False))
 
 
-def identify(df: DataFrame, train: DataFrame, text_col: str = "text") -> DataFrame:
-    """``df`` with lang_pred and score, learnt from (text, lang) rows of ``train``. Runs the training when called."""
+def identify(df: DataFrame, train: DataFrame, text_col: str = "text", names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """``df`` with prediction and score under ``names``, which replace columns so named; learnt from (text, lang) rows of ``train``.
+
+    Runs the training when called.
+    """
     rows = train.where("text is not null and lang is not null").select("lang", "text")
     langs, vectors = prototypes(rows)
-    said = predictor(langs, vectors)(whole(text_col))
-    return df.withColumn("_said", said).select(*df.columns, F.col("_said")["lang_pred"].alias("lang_pred"), F.col("_said")["score"].alias("score"))
+    said = predictor(langs, vectors)(whole(text_col)).alias("_said")
+    kept = [c for c in df.columns if c not in names]
+    return df.select(*kept, said).select(*kept, F.col("_said.lang_pred").alias(names[0]), F.col("_said.score").alias(names[1]))
 
 
 def language_report(docs: DataFrame) -> DataFrame:

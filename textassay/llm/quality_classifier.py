@@ -74,7 +74,7 @@ def votes(text: str) -> str:
     return "".join(str(BAD if bad else GOOD if good else ABSTAIN) for good, bad in tests)
 
 
-def fit_votes(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200) -> tuple[float, np.ndarray, np.ndarray]:
+def fit_votes(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200, trust: float = TRUST) -> tuple[float, np.ndarray, np.ndarray]:
     """(share of good texts, tables [labeller, class, vote], posterior of good for each pattern) by EM."""
     n, labels = patterns.shape
     if not n:
@@ -86,7 +86,7 @@ def fit_votes(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200) -> tu
     prior, tables = 0.5, np.zeros((labels, 2, 3))
     for _ in range(rounds):
         weight = np.stack([(1 - good) * counts, good * counts], axis=1)
-        tables = np.einsum("pc,plv->lcv", weight, one_hot) + TRUST * weight.sum(axis=0)[None, :, None] * EXPECTED + EXPECTED
+        tables = np.einsum("pc,plv->lcv", weight, one_hot) + trust * weight.sum(axis=0)[None, :, None] * EXPECTED + EXPECTED
         tables /= tables.sum(axis=2, keepdims=True)
         prior = float((weight[:, 1].sum() + 1) / (counts.sum() + 2))
         log = np.einsum("plv,lcv->pc", one_hot, np.log(tables)) + np.log([1 - prior, prior])

@@ -119,19 +119,19 @@ def _at_least(n: int):
 
 
 def secret_spans(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """``df`` with ``base_spans`` and ``all_spans``: arrays of (start, kind_no, end, kind), ordered by start, then kind."""
+    """``df`` with ``_base_spans`` and ``_all_spans``: arrays of (start, kind_no, end, kind), ordered by start, then kind."""
     text = whole(text_col)
     by_kind = []
     for no, (kind, pattern, group, least) in enumerate(KINDS):
         hits = F.filter(_matches(text, pattern, group), _at_least(least))
         spans = F.transform(hits, _span(no, kind))
         by_kind.append(F.when(_may_hold(text, kind), spans).otherwise(_none()))
-    df = df.withColumn("base_spans", F.array_sort(F.concat(*by_kind)))
+    df = df.withColumn("_base_spans", F.array_sort(F.concat(*by_kind)))
     found = F.filter(_matches(text, CANDIDATE, 0), lambda x: ~is_allowed(x["part"]))
     found = F.filter(found, lambda x: F.when(is_random(x["part"]), True).otherwise(False))
-    fresh = F.filter(found, lambda x: ~F.exists("base_spans", lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])))
+    fresh = F.filter(found, lambda x: ~F.exists("_base_spans", lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])))
     added = F.transform(fresh, _span(len(KINDS), "entropy"))
-    return df.withColumn("all_spans", F.array_sort(F.concat("base_spans", F.when(text.rlike(CANDIDATE), added).otherwise(_none()))))
+    return df.withColumn("_all_spans", F.array_sort(F.concat("_base_spans", F.when(text.rlike(CANDIDATE), added).otherwise(_none()))))
 
 
 def spans_text(spans: str) -> Column:
@@ -147,9 +147,9 @@ def scan_report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     """(doc_id, n_assign, n_access, n_hex, n_entropy, base_sha256, spans), one row per row."""
     found = secret_spans(df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")))
     return found.select(
-        "doc_id", *[count_kind("base_spans", kind).alias(f"n_{kind}") for kind, *_ in KINDS],
-        count_kind("all_spans", "entropy").alias("n_entropy"),
-        F.sha2(spans_text("base_spans"), 256).alias("base_sha256"), spans_text("all_spans").alias("spans"),
+        "doc_id", *[count_kind("_base_spans", kind).alias(f"n_{kind}") for kind, *_ in KINDS],
+        count_kind("_all_spans", "entropy").alias("n_entropy"),
+        F.sha2(spans_text("_base_spans"), 256).alias("base_sha256"), spans_text("_all_spans").alias("spans"),
     )
 
 
@@ -164,5 +164,5 @@ def redact(df: DataFrame, text_col: str = "text") -> DataFrame:
         return F.struct(F.greatest(state["pos"], x["end"]).alias("pos"), F.concat(state["out"], gap, mask).alias("out"))
 
     start = F.struct(F.lit(0).alias("pos"), F.lit("").alias("out"))
-    clean = F.aggregate("all_spans", start, cut, lambda s: F.concat(s["out"], F.substring(text, s["pos"] + 1, F.length(text))))
-    return found.withColumn(text_col, F.when(F.size("all_spans") > 0, clean).otherwise(text)).drop("base_spans", "all_spans")
+    clean = F.aggregate("_all_spans", start, cut, lambda s: F.concat(s["out"], F.substring(text, s["pos"] + 1, F.length(text))))
+    return found.withColumn(text_col, F.when(F.size("_all_spans") > 0, clean).otherwise(text)).drop("_base_spans", "_all_spans")

@@ -124,7 +124,7 @@ def first_words(text: Column, n: Column) -> Column:
 def mix(docs: DataFrame, seed: int = 7, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The mix itself: the rows of ``docs``, repeated and cut as planned, globally sorted by virtual finish time.
 
-    ``pass_no`` and ``finish`` follow the columns of ``docs``.
+    ``mix_pass`` and ``mix_finish`` follow the columns of ``docs``.
     """
     plan = mixing_plan(docs, seed, id_col, text_col, source_col)
     names = ["mix_id", "mix_source", "mix_size"]
@@ -140,6 +140,6 @@ def mix(docs: DataFrame, seed: int = 7, id_col: str = "doc_id", text_col: str =
     met = rows.join(planned, same).select(*[rows[c] for c in docs.columns], rows["mix_size"], F.explode("copies").alias("mix_copy"))
     text = F.col(text_col)
     cut = F.when(F.col("mix_copy")["words"] < F.col("mix_size"), first_words(text, F.col("mix_copy")["words"])).otherwise(text)
-    met = met.withColumn(text_col, cut).withColumns({"pass_no": F.col("mix_copy")["pass_no"], "finish": F.col("mix_copy")["finish"]})
-    met = met.select(*docs.columns, "pass_no", "finish")
-    return met.repartitionByRange("finish", id_col).sortWithinPartitions("finish", id_col)
+    met = met.withColumn(text_col, cut).withColumns({"mix_pass": F.col("mix_copy")["pass_no"], "mix_finish": F.col("mix_copy")["finish"]})
+    met = met.select(*docs.columns, "mix_pass", "mix_finish")
+    return met.repartitionByRange("mix_finish", id_col).sortWithinPartitions("mix_finish", id_col)
