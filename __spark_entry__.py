@@ -100,9 +100,10 @@ def jsonl_ingest(spark, d):
 
 
 def lexicon_table(spark, d):
-    # The first token of every document plays a term, in document order.
-    first = F.explode(F.slice(T.tox_tokens("text"), 1, 1)).alias("term")
-    entries = _docs(spark, d).select(F.col("doc_id").alias("ord"), first, ((F.col("n_chars") % 10 + 1) / 10).alias("weight"))
+    # Every token of every document plays a term, in order of document and position.
+    tokens = _docs(spark, d).select("doc_id", "n_chars", F.posexplode(T.tox_tokens("text")).alias("pos", "term"))
+    place = F.col("doc_id").cast("decimal(38,0)") * 2**32 + F.col("pos")
+    entries = tokens.select(place.alias("ord"), "term", ((F.col("n_chars") % 10 + 1) / 10).alias("weight"))
     return lexicon.lexicon_table(entries)
 
 

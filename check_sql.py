@@ -2,7 +2,6 @@
 
 from textassay.functions import minhash as M
 from textassay.operators.scorecard import ADVICE, LIMITS, TITLES
-from textassay.sources.lexicon import DEFAULT_TERMS
 
 # Unicode whitespace, spelled out: \\s is ASCII only here.
 SPACE_CHARS = (
@@ -68,7 +67,9 @@ def pct(part: str, whole: str) -> str:
     return f"coalesce(CAST(100 AS DOUBLE) * {part} / nullif({whole}, 0), 0)"
 
 
-LEXICON = "lexicon(term, w) AS (VALUES " + ", ".join(f"({quoted(t)}, {round(w * 1000)})" for t, w in DEFAULT_TERMS.items()) + ")"
+# The default list, spelled out here so that a change of the library's would show.
+TERMS = "clown disgusting idiot loser moron pathetic scum stupid trash worthless".split()
+LEXICON = "lexicon(term, w) AS (VALUES " + ", ".join(f"({quoted(t)}, {100 * len(t)})" for t in TERMS) + ")"
 
 
 def scored(source: str) -> str:
@@ -255,9 +256,10 @@ def statements() -> dict[str, str]:
             "documents", {"doc_id": "bigint", "text": "string", "lang": "string", "source": "string", "n_chars": "bigint"}
         ),
         "jsonl_ingest": f"SELECT url, html AS text, {strip('html')} AS text_clean FROM pages",
-        "lexicon_table": f"""SELECT term, max_by(weight, ord) AS weight FROM (
-            SELECT doc_id AS ord, ({tokens("text")})[1] AS term, (n_chars % 10 + 1) / CAST(10 AS DOUBLE) AS weight FROM documents)
-            WHERE term IS NOT NULL GROUP BY term""",
+        "lexicon_table": f"""WITH toks AS (SELECT doc_id, n_chars, {tokens("text")} AS t FROM documents),
+            entries AS (SELECT doc_id, n_chars, unnest(t) AS term, unnest(range(len(t))) AS pos FROM toks)
+            SELECT term, max_by((n_chars % 10 + 1) / CAST(10 AS DOUBLE), CAST(doc_id AS HUGEINT) * 4294967296 + pos) AS weight
+            FROM entries GROUP BY term""",
         # projections
         "html_strip": f"SELECT page_id, {strip('html')} AS text_clean FROM pages",
         "ingest_select": f"SELECT url, html AS text, {strip('html')} AS text_clean FROM pages",

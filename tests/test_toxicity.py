@@ -85,7 +85,19 @@ def test_pretty_printed_json_and_csv(spark, tmp_path):
     assert from_json == from_csv == {"x": 100, "y": 200}
 
 
+def test_two_column_csv_and_bad_entries(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("term,weight\nx,0.9\ny,0.25\n")
+    assert L.inline_terms(L.lexicon_table(L.read_lexicon(spark, str(tmp_path / "a.csv"), "csv"))) == {"x": 900, "y": 250}
+    (tmp_path / "b.csv").write_text("word,weight\nx,0.9\n")
+    with pytest.raises(ValueError, match="term"):
+        L.read_lexicon(spark, str(tmp_path / "b.csv"), "csv")
+    for body in ("x,high", ",0.5", "x,0.0004"):
+        (tmp_path / "c.csv").write_text(f"term,weight\n{body}\n")
+        with pytest.raises(Exception, match="lexicon entry|multiple of 0.001"):
+            L.inline_terms(L.read_lexicon(spark, str(tmp_path / "c.csv"), "csv"))
+
+
 def test_default_terms(spark):
     assert L.inline_terms(L.lexicon_table(L.default_lexicon(spark))) == L.default_terms()
     assert all(w % 100 == 0 for w in L.default_terms().values())
-    assert X.toxicity_score(spark.range(1).select(F.col("id").alias("doc_id"), F.lit("idiota").alias("text")), L.default_terms()).first()["tox_score"] == 0.5
+    assert X.toxicity_score(spark.range(1).select(F.col("id").alias("doc_id"), F.lit("idiot").alias("text")), L.default_terms()).first()["tox_score"] == 0.5

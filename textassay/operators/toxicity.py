@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from textassay.functions.text import snippet, tox_tokens
 from textassay.runtime import bind, materialize, percent
-from textassay.sources.lexicon import WEIGHT_SCALE
+from textassay.sources.lexicon import WEIGHT_SCALE, scaled_weight
 
 THRESHOLD = 0.5
 # Terms up to which a lexicon table may be broadcast in the join form.
@@ -61,7 +61,7 @@ def toxicity_score(df: DataFrame, lexicon: dict[str, int] | DataFrame, id_col: s
 
 
 def _joined_sums(df: DataFrame, lexicon: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    weights = lexicon.select("term", F.round(F.col("weight") * WEIGHT_SCALE).cast("bigint").alias("w"))
+    weights = lexicon.select("term", scaled_weight().alias("w"))
     tokens = df.select(id_col, F.explode(tox_tokens(text_col)).alias("term"))
     if weights.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS:
         hits = tokens.join(F.broadcast(weights), "term").withColumn("n", F.lit(1))
