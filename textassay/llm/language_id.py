@@ -15,13 +15,15 @@ from; with nothing to learn from, every text is ``und`` with score 0; ties go to
 stay rows, and only the columns id, text and lang are read.
 """
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from textassay.llm.common import materialize, whole
+from textassay.llm.common import whole
 
 DIMENSIONS = 1024
 N = 3
@@ -29,6 +31,7 @@ SYMBOLS = 48  # 0: between words, 1-26: a-z, the rest: other letters by hash
 UNKNOWN = "und"
 SEED = 20
 BLOCK = 1 << 20
+STEP = 4096  # n-grams whose vectors are in memory at once
 
 
 def _letters() -> np.ndarray:
@@ -36,11 +39,22 @@ def _letters() -> np.ndarray:
     return np.random.default_rng(SEED).integers(0, 2, (SYMBOLS, DIMENSIONS), np.int8) * np.int8(2) - np.int8(1)
 
 
-def gram_vectors(grams: np.ndarray, letters: np.ndarray) -> np.ndarray:
-    """Bound vectors of n-grams given as numbers to the base SYMBOLS."""
-    out = np.ones((len(grams), DIMENSIONS), np.int8)
-    for turn in range(N):
-        out *= np.roll(letters, turn, axis=1)[grams // SYMBOLS**turn % SYMBOLS]
+def head_vectors(letters: np.ndarray) -> np.ndarray:
+    """Bound vectors of what stands before the last letter of an n-gram; a few MB, shared by all texts of a task."""
+    heads = np.arange(SYMBOLS ** (N - 1))
+    out = np.ones((len(heads), DIMENSIONS), np.int8)
+    for turn in range(1, N):
+        out *= np.roll(letters, turn, axis=1)[heads // SYMBOLS ** (turn - 1) % SYMBOLS]
+    return out
+
+
+def bundled(grams: np.ndarray, weights: np.ndarray, letters: np.ndarray, heads: np.ndarray) -> np.ndarray:
+    """Weighted sum of the bound vectors of n-grams given as numbers to the base SYMBOLS, ``STEP`` n-grams at a time."""
+    out = np.zeros(DIMENSIONS)
+    for i in range(0, len(grams), STEP):
+        some = grams[i : i + STEP]
+        vectors = heads[some // SYMBOLS] * letters[some % SYMBOLS]
+        out += weights[i : i + STEP].astype(np.float32) @ vectors.astype(np.float32)
     return out
 
 
@@ -101,29 +115,24 @@ def prototypes(rows: DataFrame) -> tuple[list[str], np.ndarray]:
     """Languages in order and their profiles of length 1; one row per language reaches the driver.
 
     What all languages have in common tells them apart least: the mean share of an n-gram over the languages is
-    taken off before bundling.
+    taken off.
     """
-    counts = materialize(training_counts(rows), "language-counts")
-    langs = F.broadcast(counts.groupBy().agg(F.count_distinct("lang").alias("langs")))
-    totals = counts.groupBy("lang").agg(F.sum("weight").alias("total"))
-    shares = counts.join(totals, "lang").select("lang", "gram", (F.col("weight") / F.col("total")).alias("share"))
-    shares = shares.unionByName(shares.groupBy("gram").agg(F.sum("share").alias("share")).select(F.lit(None).cast("string").alias("lang"), "gram", "share"))
 
     def bundle(group: pd.DataFrame) -> pd.DataFrame:
-        letters, out = _letters(), np.zeros(DIMENSIONS)
-        grams, share = group["gram"].to_numpy(), group["share"].to_numpy()
-        for i in range(0, len(group), 8192):
-            out += share[i : i + 8192] @ gram_vectors(grams[i : i + 8192], letters)
-        return pd.DataFrame({"lang": [group["lang"].iloc[0]], "profile": [out]})
+        letters, group = _letters(), group.sort_values("gram")
+        weight = group["weight"].to_numpy()
+        profile = bundled(group["gram"].to_numpy(), weight / weight.sum(), letters, head_vectors(letters))
+        return pd.DataFrame({"lang": [group["lang"].iloc[0]], "profile": [profile]})
 
-    made = shares.groupBy("lang").applyInPandas(bundle, "lang string, profile array<double>").crossJoin(langs).collect()
+    # At most SYMBOLS ** N rows a language, however large the input.
+    made = training_counts(rows).groupBy("lang").applyInPandas(bundle, "lang string, profile array<double>").collect()
     if not made:
         return [], np.zeros((0, DIMENSIONS))
-    mean = next(np.array(r["profile"]) / r["langs"] for r in made if r["lang"] is None)
-    own = sorted((r["lang"], np.array(r["profile"])) for r in made if r["lang"] is not None)
+    own = sorted((r["lang"], np.array(r["profile"])) for r in made)
     vectors = np.array([v for _, v in own])
     if len(own) > 1:
-        vectors = vectors - mean
+        # Bundling is linear: the mean of the profiles is the profile of the mean shares.
+        vectors = vectors - vectors.mean(axis=0)
     return [lang for lang, _ in own], vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
 
 
@@ -131,19 +140,21 @@ def predictor(langs: list[str], vectors: np.ndarray):
     """Arrow UDF text -> (lang_pred, score)."""
 
     @pandas_udf("lang_pred string, score double")
-    def predict(texts: pd.Series) -> pd.DataFrame:
-        table, out = _symbol_table(), []
-        every = gram_vectors(np.arange(SYMBOLS**N), _letters())
-        for text in texts:
+    def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        table, letters = _symbol_table(), _letters()
+        heads = head_vectors(letters)
+
+        def said(text: str) -> tuple[str, float]:
             grams, counts = gram_counts(text, table)
             if not len(grams) or not langs:
-                out.append((UNKNOWN, 0.0))
-                continue
-            profile = counts.astype(np.float32) @ every[grams].astype(np.float32)
+                return UNKNOWN, 0.0
+            profile = bundled(grams, counts, letters, heads)
             scores = vectors @ (profile / max(float(np.linalg.norm(profile)), 1e-12))
             best = int(np.argmax(scores))
-            out.append((langs[best], float(min(max(scores[best], 0.0), 1.0))))
-        return pd.DataFrame(out, columns=["lang_pred", "score"])
+            return langs[best], float(min(max(scores[best], 0.0), 1.0))
+
+        for texts in batches:
+            yield pd.DataFrame([said(t) for t in texts], columns=["lang_pred", "score"])
 
     return predict
 
