@@ -84,6 +84,14 @@ def ingest_manifest(spark, d):
     )
 
 
+def file_hashes(spark, d):
+    # One file for each row of the table.
+    path = scratch_path(spark, "nation files")
+    _table(spark, d, "nation").select("n_nationkey", "n_name").coalesce(1).write.partitionBy("n_nationkey").text(path)
+    key = F.regexp_extract("path", r"n_nationkey=(\d+)", 1).cast("bigint").alias("n_nationkey")
+    return manifest.ingest_manifest(spark, path).select(key, "bytes", "sha256")
+
+
 def manifest_totals(spark, d):
     table = _ingested_pages(spark, d).drop("page_id")
     return manifest.manifest_totals(table).withColumn("columns", F.array_join("columns", ","))
@@ -316,7 +324,7 @@ def stream_flags(spark, d):
 
 
 _REGISTERED = (
-    assign_doc_id, row_position_id, corpus_fingerprint, ingest_manifest, manifest_totals, schema_report, jsonl_ingest, lexicon_table,
+    assign_doc_id, row_position_id, corpus_fingerprint, ingest_manifest, file_hashes, manifest_totals, schema_report, jsonl_ingest, lexicon_table,
     html_strip, ingest_select, html_ratio, text_length, blank_text, shingle_normalize, shingles, tox_tokens,
     toxicity_score, toxicity_score_join, pii_flags, pii_any, text_snippet, report_values,
     quality_reject_reason, quality_filter, quality_report, quality_report_documents, toxicity_flagged,

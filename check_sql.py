@@ -1,7 +1,10 @@
 """SQL for a second engine, one statement per registered query, written from the operators' definitions."""
 
 from textassay.functions import minhash as M
-from textassay.operators.scorecard import ADVICE, LIMITS, TITLES
+from textassay.operators.scorecard import ADVICE, TITLES
+
+# Metric limits, spelled out so that a wrong one in the library shows.
+LIMITS = {"MI-01": (10.0, ">"), "MI-02": (2.0, ">"), "MI-03": (5.0, ">"), "MI-04": (80.0, "<")}
 
 # Unicode whitespace, spelled out: \\s is ASCII only here.
 SPACE_CHARS = (
@@ -251,6 +254,8 @@ def statements() -> dict[str, str]:
         "row_position_id": "SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS row_id FROM documents",
         "corpus_fingerprint": f"""SELECT count(*) AS n_rows, CAST(sum({content_hash("doc_id", "text", "lang", "source", "n_chars")}) AS VARCHAR)
             AS fingerprint FROM documents""",
+        "file_hashes": """SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, CAST(strlen(n_name) + 1 AS BIGINT) AS bytes,
+            sha256(n_name || chr(10)) AS sha256 FROM nation""",
         "manifest_totals": "SELECT count(*) AS total_rows, 'url,text,text_clean' AS columns FROM pages",
         "schema_report": schema_rows(
             "documents", {"doc_id": "bigint", "text": "string", "lang": "string", "source": "string", "n_chars": "bigint"}

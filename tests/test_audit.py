@@ -83,7 +83,7 @@ def test_files(spark, tmp_path):
     sample(spark).orderBy("doc_id").coalesce(1).select("url", F.col("text").alias("texto")).write.json(records)
     (tmp_path / "terms.json").write_text('{"ansiedad": 0.1, "otro": 0.5, "ansiedad": 0.2}')
     for day in (1, 2):
-        audit_files(spark, records, out, datetime(2026, 5, day), str(tmp_path / "terms.json"), text_col="texto")
+        audit_files(spark, records, out, datetime(2026, 5, day), str(tmp_path / "terms.json"), text_col="texto", list_pairs=True)
     history = read_scorecards(spark, f"{out}/scorecards")
     assert history.count() == 2
     latest = {r["metric"]: r for r in latest_scorecard(history).collect()}

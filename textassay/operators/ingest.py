@@ -55,13 +55,16 @@ def written_row_id(table: DataFrame, column: str = "doc_id") -> DataFrame:
     """Adds an id to a table written by Spark: number of the part file, then position in the file.
 
     Narrow and stable (the files do not change), and it follows the order of the rows. Bits: 20 for the
-    writing task, 10 for its file counter, 33 for the position.
+    writing task, 10 for its file counter, 33 for the position; a number beyond its bits fails.
     """
     name = F.col("_metadata.file_name")
     task = F.regexp_extract(name, r"^part-(\d+)-", 1).cast("bigint")
     counter = F.regexp_extract(name, r"-c(\d+)\.", 1).cast("bigint")
     position = F.col("_metadata.row_index")
-    return table.select((F.shiftleft(task, 43) + F.shiftleft(counter, 33) + position).alias(column), *table.columns)
+    fits = (task < 1 << 20) & (counter < 1 << 10) & (position < 1 << 33)
+    bad = F.raise_error(F.concat(F.lit("no row id for this file: "), name)).cast("bigint")
+    packed = F.shiftleft(task, 43) + F.shiftleft(counter, 33) + position
+    return table.select(F.when(fits, packed).otherwise(bad).alias(column), *table.columns)
 
 
 def corpus_fingerprint(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:

@@ -50,7 +50,8 @@ def toxicity_score(df: DataFrame, lexicon: dict[str, int] | DataFrame, id_col: s
     """Input columns plus ``tox_millis`` (sum of weights, in thousandths), ``n_tokens`` and ``tox_score``.
 
     ``lexicon`` is {term: thousandths} (see ``inline_terms``) or, for lists too long to inline, a
-    table (term, weight).
+    table (term, weight). With a table the ids must be unique, and the result has the id and the three
+    new columns only: texts stay where they are and are joined by whoever wants them.
     """
     if isinstance(lexicon, dict):
         # inline() also keeps later filters on the score from evaluating the tokens a second time.
@@ -61,18 +62,17 @@ def toxicity_score(df: DataFrame, lexicon: dict[str, int] | DataFrame, id_col: s
 
 
 def _joined_sums(df: DataFrame, lexicon: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, tox_millis, n_tokens); each text is tokenised once, and only ids, terms and sums are shuffled."""
     weights = lexicon.select("term", scaled_weight().alias("w"))
-    tokens = df.select(id_col, F.explode(tox_tokens(text_col)).alias("term"))
+    # A document without tokens keeps one row with a NULL term.
+    tokens = df.select(id_col, F.explode_outer(tox_tokens(text_col)).alias("term"))
     if weights.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS:
-        hits = tokens.join(F.broadcast(weights), "term").withColumn("n", F.lit(1))
+        weighed = tokens.join(F.broadcast(weights), "term", "left").withColumn("n", F.when(F.col("term").isNotNull(), 1).otherwise(0))
     else:
         # Both sides are shuffled by term: count the tokens of each document before.
-        hits = tokens.groupBy(id_col, "term").agg(F.count("*").alias("n")).join(weights, "term")
-    hits = hits.groupBy(id_col).agg(F.sum(F.col("w") * F.col("n")).alias("tox_millis"))
-    return (
-        df.withColumn("n_tokens", F.size(tox_tokens(text_col)).cast("bigint"))
-        .join(hits, id_col, "left")
-        .withColumn("tox_millis", F.coalesce("tox_millis", F.lit(0)).cast("bigint"))
+        weighed = tokens.groupBy(id_col, "term").agg(F.count("term").alias("n")).join(weights, "term", "left")
+    return weighed.groupBy(id_col).agg(
+        F.sum(F.coalesce("w", F.lit(0)) * F.col("n")).cast("bigint").alias("tox_millis"), F.sum("n").cast("bigint").alias("n_tokens")
     )
 
 

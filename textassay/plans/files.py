@@ -18,7 +18,7 @@ from textassay.sources.manifest import ingest_manifest, write_manifest
 from textassay.sources.scorecards import write_scorecard
 
 
-def write_near_dups(dups: NearDups, path: str, list_pairs: bool = True) -> None:
+def write_near_dups(dups: NearDups, path: str, list_pairs: bool = False) -> None:
     """Summary as JSON, and the pairs as Parquet: compact (groups and similar groups), and spelled out if wanted.
 
     The list has k(k-1)/2 rows for k copies of one text; the compact tables hold the same information
@@ -37,12 +37,12 @@ def _write_report(report: DataFrame, path: str) -> None:
 
 
 def audit_files(spark: SparkSession, records: str, out: str, at: datetime, lexicon: str | None = None, text_col: str = "text",
-                raw_ratio: bool = False, list_pairs: bool = True, params: NearDupParams = DEFAULTS) -> Audit:
+                raw_ratio: bool = False, list_pairs: bool = False, params: NearDupParams = DEFAULTS) -> Audit:
     """Read ``records`` (JSON lines with ``url`` and ``text_col``) and write to ``out``:
 
     ingested/     url, text, text_clean
     audited/      the same with id, reject reason, scores and flags (the kept rows have no reason)
-    near_dups/    summary, groups, pairs
+    near_dups/    summary, members, groups, similar groups; with ``list_pairs`` every pair
     reports/      quality, toxicity, personal data
     manifest/     files, sizes, hashes, totals
     scorecards/   one document per run
