@@ -6,8 +6,8 @@ of all its n-grams, a language's prototype those of its training texts; the pred
 the largest cosine. As bundling is linear, the counts of n-grams are added up first: a text costs one pass
 over its letters and one product of its counts with the vectors of the n-grams it has.
 
-Training reads every row that may be learnt from. Counts per language and n-gram are summed by Spark, and
-each language's profile is built in its own task; prototypes (a few kB per language) go to every task.
+Training reads every row that may be learnt from. Counts per language and n-gram are summed by Spark, profiles are
+bundled in blocks of n-grams and the blocks of a language added up; prototypes (a few kB per language) go to every task.
 Letters beyond the basic ones share a bounded number of symbols by hash, so the tables do not grow.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0; a null language is not learnt
@@ -121,11 +121,18 @@ def prototypes(rows: DataFrame) -> tuple[list[str], np.ndarray]:
     def bundle(group: pd.DataFrame) -> pd.DataFrame:
         letters, group = _letters(), group.sort_values("gram")
         weight = group["weight"].to_numpy()
-        profile = bundled(group["gram"].to_numpy(), weight / weight.sum(), letters, head_vectors(letters))
+        profile = bundled(group["gram"].to_numpy(), weight, letters, head_vectors(letters))
+        return pd.DataFrame({"lang": [group["lang"].iloc[0]], "step": [group["step"].iloc[0]], "weight": [weight.sum()], "profile": [profile]})
+
+    def add(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("step")
+        profile = np.sum(group["profile"].tolist(), axis=0) / group["weight"].sum()
         return pd.DataFrame({"lang": [group["lang"].iloc[0]], "profile": [profile]})
 
-    # At most SYMBOLS ** N rows a language, however large the input.
-    made = training_counts(rows).groupBy("lang").applyInPandas(bundle, "lang string, profile array<double>").collect()
+    # At most STEP rows a group, and then one row for each STEP of the SYMBOLS ** N n-grams of a language.
+    counted = training_counts(rows).withColumn("step", F.expr(f"gram div {STEP}"))
+    parts = counted.groupBy("lang", "step").applyInPandas(bundle, "lang string, step bigint, weight double, profile array<double>")
+    made = parts.groupBy("lang").applyInPandas(add, "lang string, profile array<double>").collect()
     if not made:
         return [], np.zeros((0, DIMENSIONS))
     own = sorted((r["lang"], np.array(r["profile"])) for r in made)
