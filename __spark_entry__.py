@@ -225,6 +225,16 @@ def near_dup_pairs_exact(spark, d):
     return N.near_dup_pairs_exact(_docs(spark, d))
 
 
+def near_dup_groups(spark, d):
+    found = N.near_dups(_docs(spark, d))
+    return found.signed.select("doc_id", "group_key").join(found.groups.select("group_key", "rep", "copies"), "group_key").drop("group_key")
+
+
+def near_dup_similar_groups(spark, d):
+    similar = N.near_dups(_docs(spark, d)).similar
+    return similar.select("rep_a", "rep_b", F.col("matches").cast("bigint").alias("matches"), "copies_a", "copies_b")
+
+
 def near_dup_summary(spark, d):
     return _big(N.near_dups(_docs(spark, d)).summary(), "total_pairs")
 
@@ -328,7 +338,8 @@ _REGISTERED = (
     html_strip, ingest_select, html_ratio, text_length, blank_text, shingle_normalize, shingles, tox_tokens,
     toxicity_score, toxicity_score_join, pii_flags, pii_any, text_snippet, report_values,
     quality_reject_reason, quality_filter, quality_report, quality_report_documents, toxicity_flagged,
-    minhash_signature, lsh_bands, near_dup_candidates, near_dup_pairs, near_dup_pairs_exact, near_dup_summary, near_dup_examples,
+    minhash_signature, lsh_bands, near_dup_candidates, near_dup_pairs, near_dup_pairs_exact, near_dup_groups, near_dup_similar_groups,
+    near_dup_summary, near_dup_examples,
     toxicity_distribution, toxicity_rate, toxicity_top5, pii_report, pii_fp_estimate, dataset_stats, clean_rate,
     scorecard_metrics, recommendations, corpus_audit, audit_files, latest_scorecard, stream_ingest, stream_flags,
 )

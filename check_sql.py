@@ -150,6 +150,13 @@ def pairs(source: str) -> str:
     pairs AS (SELECT doc_a, doc_b, round_even(matches / CAST(128 AS DOUBLE), 4) AS jaccard FROM agree WHERE matches >= 103)"""
 
 
+def groups(source: str) -> str:
+    """CTEs ending in members(doc_id, rep, copies) of documents with equal signatures."""
+    return f"""{pairs(source)},
+    whole AS (SELECT doc_id, string_agg(m, ',' ORDER BY k) AS signature FROM sig GROUP BY doc_id),
+    members AS (SELECT doc_id, min(doc_id) OVER same AS rep, count(*) OVER same AS copies FROM whole WINDOW same AS (PARTITION BY signature))"""
+
+
 def dup_summary(source: str) -> str:
     return f"""{pairs(source)},
     dups AS (SELECT (SELECT count(*) FROM {source}) AS total_docs, (SELECT count(*) FROM pairs) AS total_pairs,
@@ -305,6 +312,10 @@ def statements() -> dict[str, str]:
                      FROM cand JOIN sets a ON a.doc_id = doc_a JOIN sets b ON b.doc_id = doc_b)
             SELECT doc_a, doc_b, common / CAST(na + nb - common AS DOUBLE) AS jaccard FROM met
             WHERE common / CAST(na + nb - common AS DOUBLE) >= 0.8""",
+        "near_dup_groups": f"WITH {groups('documents')} SELECT doc_id, rep, copies FROM members",
+        "near_dup_similar_groups": f"""WITH {groups("documents")}
+            SELECT doc_a AS rep_a, doc_b AS rep_b, matches, a.copies AS copies_a, b.copies AS copies_b FROM agree
+            JOIN members a ON a.doc_id = doc_a AND a.rep = doc_a JOIN members b ON b.doc_id = doc_b AND b.rep = doc_b WHERE matches >= 103""",
         "near_dup_summary": f"""WITH {dup_summary("documents")} SELECT 5 AS n, 128 AS num_perm, CAST(0.8 AS DOUBLE) AS threshold,
             16 AS bands, 8 AS rows_per_band, total_docs, total_pairs, round_even({pct("total_pairs", "total_docs")}, 2) AS pair_pct, dup_docs,
             round_even({pct("dup_docs", "total_docs")}, 2) AS dup_doc_pct FROM dups""",
