@@ -1,6 +1,7 @@
 """A corpus with known totals through the whole audit."""
 
 from datetime import datetime
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
@@ -81,6 +82,7 @@ def test_texts_are_read_once(spark):
 def test_files(spark, tmp_path):
     records, out = str(tmp_path / "records"), str(tmp_path / "out")
     sample(spark).orderBy("doc_id").coalesce(1).select("url", F.col("text").alias("texto")).write.json(records)
+    Path(records, "broken.json").write_text('{"url": "http://example.org/54", "texto\n')  # counted, not audited
     (tmp_path / "terms.json").write_text('{"ansiedad": 0.1, "otro": 0.5, "ansiedad": 0.2}')
     for day in (1, 2):
         audit_files(spark, records, out, datetime(2026, 5, day), str(tmp_path / "terms.json"), text_col="texto", list_pairs=True)
@@ -97,5 +99,5 @@ def test_files(spark, tmp_path):
     assert audited.where("reject_reason IS NULL").count() == 52
     assert [r["doc_id"] for r in audited.where("tox_millis = 200").collect()] == [0]
     manifest = spark.read.json(f"{out}/manifest").collect()
-    assert {(r["total_rows"], tuple(r["columns"])) for r in manifest} == {(54, ("url", "text", "text_clean"))}
+    assert {(r["total_rows"], r["corrupt_rows"], tuple(r["columns"])) for r in manifest} == {(54, 1, ("url", "text", "text_clean"))}
     assert spark.read.json(f"{out}/reports/quality").where("rule = 'short'").first()["docs"] == 2

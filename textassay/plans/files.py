@@ -12,7 +12,7 @@ from textassay.operators.pii import pii_fp_estimate, pii_report
 from textassay.operators.quality import quality_report
 from textassay.operators.toxicity import toxicity_distribution, toxicity_rate
 from textassay.plans.audit import Audit, audit_features, audit_of
-from textassay.sources.jsonl import read_jsonl, record_schema
+from textassay.sources.jsonl import CORRUPT_COLUMN, read_jsonl, record_schema
 from textassay.sources.lexicon import default_terms, inline_terms, lexicon_table, read_lexicon
 from textassay.sources.manifest import ingest_manifest, write_manifest
 from textassay.sources.scorecards import write_scorecard
@@ -40,24 +40,28 @@ def audit_files(spark: SparkSession, records: str, out: str, at: datetime, lexic
                 raw_ratio: bool = False, list_pairs: bool = False, params: NearDupParams = DEFAULTS) -> Audit:
     """Read ``records`` (JSON lines with ``url`` and ``text_col``) and write to ``out``:
 
-    ingested/     url, text, text_clean
+    ingested/     url, text, text_clean; lines that are not JSON as they are, in ``_corrupt_record``
     audited/      the same with id, reject reason, scores and flags (the kept rows have no reason)
     near_dups/    summary, members, groups, similar groups; with ``list_pairs`` every pair
     reports/      quality, toxicity, personal data
-    manifest/     files, sizes, hashes, totals
+    manifest/     files, sizes, hashes, totals, number of lines that are not JSON (they take no part in the audit)
     scorecards/   one document per run
 
     ``lexicon`` is a JSON object of term weights; ``raw_ratio`` takes the HTML ratio on the raw text.
     """
-    ingest(read_jsonl(spark, records, record_schema(text_col)), text_col).write.mode("overwrite").parquet(f"{out}/ingested")
-    ingested = spark.read.parquet(f"{out}/ingested")
-    write_manifest(ingest_manifest(spark, records), ingested, f"{out}/manifest")
+    lines = read_jsonl(spark, records, record_schema(text_col), keep_corrupt=True)
+    ingest(lines, text_col, ("url", CORRUPT_COLUMN)).write.mode("overwrite").parquet(f"{out}/ingested")
+    stored = spark.read.parquet(f"{out}/ingested")
+    bad = F.col(CORRUPT_COLUMN).isNotNull()
+    corrupt_rows = stored.where(bad).count()
+    write_manifest(ingest_manifest(spark, records), stored.where(~bad).drop(CORRUPT_COLUMN), f"{out}/manifest", corrupt_rows)
+    ingested = written_row_id(stored).where(~bad).drop(CORRUPT_COLUMN)
 
     terms = inline_terms(lexicon_table(read_lexicon(spark, lexicon))) if lexicon else default_terms()
     if terms is None:
         raise ValueError("the lexicon is too long to inline: score with toxicity_score and a table")
     features = audit_features(
-        written_row_id(ingested), terms, raw_col="text" if raw_ratio else None, params=params, carried=("url", "text", "text_clean")
+        ingested, terms, raw_col="text" if raw_ratio else None, params=params, carried=("url", "text", "text_clean")
     )
     features.write.mode("overwrite").parquet(f"{out}/audited")
 

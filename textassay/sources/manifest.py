@@ -61,9 +61,12 @@ def manifest_totals(df: DataFrame) -> DataFrame:
     return df.agg(F.count("*").alias("total_rows")).select("total_rows", names.alias("columns"))
 
 
-def write_manifest(manifest: DataFrame, ingested: DataFrame, path: str) -> None:
-    """The manifest rows with the totals of the ingested table, as JSON."""
+def write_manifest(manifest: DataFrame, ingested: DataFrame, path: str, corrupt_rows: int = 0) -> None:
+    """The manifest rows with the totals of the ingested table and the number of lines that could not be read, as JSON."""
     total = manifest_totals(ingested).first()
     manifest.select(
-        "*", F.lit(total["total_rows"]).alias("total_rows"), F.array(*[F.lit(c) for c in total["columns"]]).alias("columns")
+        "*",
+        F.lit(total["total_rows"]).alias("total_rows"),
+        F.array(*[F.lit(c) for c in total["columns"]]).alias("columns"),
+        F.lit(corrupt_rows).cast("bigint").alias("corrupt_rows"),
     ).write.mode("overwrite").json(path)
