@@ -4,7 +4,7 @@ Each stage takes all rows its predecessor kept and returns the columns of docume
 documents). Stages are written as Parquet between one another, so a lost executor costs one stage at most.
 """
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textassay.llm import bpe_chunks, language_id, secret_scan, simhash, source_mixing
@@ -14,20 +14,28 @@ ORACLE_SQL = None  # fingerprints, profiles and token ids cannot be written in S
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents in which no language can be told (no letter at all); fills in missing languages."""
-    said = language_id.identify(docs, docs, names=("_lang", "_lang_score"))
-    kept = said.where(F.col("_lang") != language_id.UNKNOWN)
+    """Rejects documents without a letter, in which no language can be told; fills in missing languages (``und`` where no
+    row has one to learn from)."""
+    said = language_id.identify(docs, docs, names=("_lang", "_lang_score", "_lettered"))
+    kept = said.where("_lettered")
     return kept.withColumn("lang", F.coalesce("lang", "_lang")).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group: the smallest id. Of repeated rows with one id, one stays; rows without an id stay
-    unless they belong to a group with an id."""
-    classes = simhash.near_dup_classes(docs)
-    gone = classes.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    same = Window.partitionBy("doc_id", F.when(F.col("doc_id").isNull(), F.md5(whole("text")))).orderBy(F.md5(whole("text")))
-    first = docs.withColumn("_nth", F.row_number().over(same)).where("_nth = 1")
-    return first.join(gone, first["doc_id"].eqNullSafe(gone["doc_id"]), "left_anti").select(*docs.columns)
+    """Keeps one row of each group of near copies: the smallest id, rows without an id last, ties by text. Ids decide nothing
+    else: different texts under one id, or without an id, all stay."""
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    keys = {
+        "_no_id": F.col("doc_id").isNull(),
+        "_id": F.coalesce("doc_id", F.lit(0)),
+        "_text": F.md5(whole("text")),
+        "_rest": F.xxhash64(F.col("text").isNull(), *others),
+    }
+    signed = docs.select(*[key.alias(name) for name, key in keys.items()], simhash.fingerprint_udf()(whole("text")).alias("f"))
+    prints = materialize(signed.groupBy("f").agg(F.min(F.struct(*keys)).alias("first")), "simhash-prints")
+    first = simhash.component_of(prints).groupBy("component").agg(F.min("first").alias("first")).select("first.*")
+    # Rows that are equal in all columns have one key: one of them stays.
+    return docs.withColumns(keys).join(first, [*keys], "left_semi").dropDuplicates([*keys]).select(*docs.columns)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

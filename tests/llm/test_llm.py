@@ -379,3 +379,17 @@ def test_pipeline(spark, docs):
     coded = corpus_pipeline.encode_documents(spark, mixed, TABLES)
     assert coded.count() == mixed.count()
     assert corpus_pipeline.run(spark, TABLES).count() > 0
+
+
+def test_pipeline_loses_no_document_without_copies(spark):
+    texts = [prose(100 + i, 120) for i in range(8)]
+    rows = [(None, texts[0]), (None, texts[1]), (1, texts[1]), (None, texts[2]), (None, texts[2] + " end."), (7, texts[3]), (7, texts[4]), (3, texts[4]), (9, texts[5]), (9, texts[5]), (8, texts[6])]
+    docs = spark.createDataFrame([(i, t, None, "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    # No language to learn from: only texts without a letter are rejected.
+    unlettered = docs.unionByName(docs.limit(1).selectExpr("20L as doc_id", "'12 -- 34' as text", "lang", "source", "n_chars"))
+    known = corpus_pipeline.keep_known_languages(spark, unlettered, TABLES).collect()
+    assert len(known) == len(rows) and {r["lang"] for r in known} == {"und"}
+    assert brute_print(texts[2]) != brute_print(texts[2] + " end.") and bin((brute_print(texts[2]) ^ brute_print(texts[2] + " end.")) & (1 << 64) - 1).count("1") <= 3
+    single = corpus_pipeline.drop_near_duplicates(spark, docs, TABLES).collect()
+    kept = [(r["doc_id"], texts.index(r["text"].removesuffix(" end."))) for r in single]
+    assert sorted(kept, key=str) == sorted([(None, 0), (1, 1), (None, 2), (7, 3), (3, 4), (9, 5), (8, 6)], key=str)

@@ -144,24 +144,24 @@ def prototypes(rows: DataFrame) -> tuple[list[str], np.ndarray]:
 
 
 def predictor(langs: list[str], vectors: np.ndarray):
-    """Arrow UDF text -> (lang_pred, score)."""
+    """Arrow UDF text -> (lang_pred, score, lettered); ``lettered`` tells whether the text has a letter."""
 
-    @pandas_udf("lang_pred string, score double")
+    @pandas_udf("lang_pred string, score double, lettered boolean")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         table, letters = _symbol_table(), _letters()
         heads = head_vectors(letters)
 
-        def said(text: str) -> tuple[str, float]:
+        def said(text: str) -> tuple[str, float, bool]:
             grams, counts = gram_counts(text, table)
             if not len(grams) or not langs:
-                return UNKNOWN, 0.0
+                return UNKNOWN, 0.0, len(grams) > 0
             profile = bundled(grams, counts, letters, heads)
             scores = vectors @ (profile / max(float(np.linalg.norm(profile)), 1e-12))
             best = int(np.argmax(scores))
-            return langs[best], float(min(max(scores[best], 0.0), 1.0))
+            return langs[best], float(min(max(scores[best], 0.0), 1.0)), True
 
         for texts in batches:
-            yield pd.DataFrame([said(t) for t in texts], columns=["lang_pred", "score"])
+            yield pd.DataFrame([said(t) for t in texts], columns=["lang_pred", "score", "lettered"])
 
     return predict
 
@@ -170,16 +170,18 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 3 == 1, F.lit(False))
 
 
-def identify(df: DataFrame, train: DataFrame, text_col: str = "text", names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+def identify(df: DataFrame, train: DataFrame, text_col: str = "text", names: tuple[str, ...] = ("lang_pred", "score")) -> DataFrame:
     """``df`` with prediction and score under ``names``, which replace columns so named; learnt from (text, lang) rows of ``train``.
 
+    A third name adds whether the text has a letter, which does not depend on what could be learnt.
     Runs the training when called.
     """
     rows = train.where("text is not null and lang is not null").select("lang", "text")
     langs, vectors = prototypes(rows)
     said = predictor(langs, vectors)(whole(text_col)).alias("_said")
     kept = [c for c in df.columns if c not in names]
-    return df.select(*kept, said).select(*kept, F.col("_said.lang_pred").alias(names[0]), F.col("_said.score").alias(names[1]))
+    fields = zip(("lang_pred", "score", "lettered"), names, strict=False)
+    return df.select(*kept, said).select(*kept, *[F.col(f"_said.{field}").alias(name) for field, name in fields])
 
 
 def language_report(docs: DataFrame) -> DataFrame:

@@ -110,6 +110,12 @@ def linked(prints: DataFrame) -> DataFrame:
     return plain.unionByName(dense)
 
 
+def component_of(prints: DataFrame) -> DataFrame:
+    """``prints``, one row for each fingerprint ``f``, with the ``component`` of linked fingerprints it belongs to."""
+    parts = connected_components(linked(prints.select("f")))
+    return prints.join(parts.withColumnRenamed("node", "f"), "f", "left").withColumn("component", F.coalesce("component", "f"))
+
+
 def near_dup_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE_WORDS) -> DataFrame:
     """(doc_id, f, component_id), one row per row; ``f`` is the fingerprint as a signed number.
 
@@ -118,8 +124,7 @@ def near_dup_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     signed = df.select(F.col(id_col).cast("bigint").alias("doc_id"), fingerprint_udf(words)(whole(text_col)).alias("f"))
     signed = materialize(signed, "simhash")
     prints = materialize(signed.groupBy("f").agg(F.min("doc_id").alias("first_id")), "simhash-prints")
-    parts = connected_components(linked(prints.select("f")))
-    roots = prints.join(parts.withColumnRenamed("node", "f"), "f", "left").withColumn("component", F.coalesce("component", "f"))
+    roots = component_of(prints)
     least = roots.groupBy("component").agg(F.min("first_id").alias("component_id"))
     classes = materialize(roots.join(least, "component").select("f", "component_id"), "simhash-classes")
     return signed.join(classes, "f").select("doc_id", "f", "component_id")
