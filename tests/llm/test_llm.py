@@ -393,3 +393,19 @@ def test_pipeline_loses_no_document_without_copies(spark):
     single = corpus_pipeline.drop_near_duplicates(spark, docs, TABLES).collect()
     kept = [(r["doc_id"], texts.index(r["text"].removesuffix(" end."))) for r in single]
     assert sorted(kept, key=str) == sorted([(None, 0), (1, 1), (None, 2), (7, 3), (3, 4), (9, 5), (8, 6)], key=str)
+
+
+def test_neighbours_of_outliers_are_as_many(spark):
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(8)
+    far = np.zeros((13, 8))
+    far[:12, 0], far[12, 1] = 40, -60  # a tight group of 12 far off, and one vector alone
+    x = np.concatenate([rng.normal(size=(4000, 8)), far + rng.normal(size=(13, 8)) * 0.01]).astype(np.float32)
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    counts = ann.nearest(frame, (F.col("vec_id") % 500 == 0) | (F.col("vec_id") >= 4000)).groupBy("query_id").count().collect()
+    assert {r["query_id"]: r["count"] for r in counts} == dict.fromkeys([*range(0, 4000, 500), *range(4000, 4013)], 20)
+    # A query on a centroid looks as far as others do.
+    graph = ann.CentroidGraph(np.array([[0.0, 0], [1, 0], [0, 1], [9, 9]], np.float32), typical=1.0)
+    assert sorted(graph.probes(np.zeros(2, np.float32), np.full(4, 50), 21)) == [0, 1, 2]
+    assert sorted(graph.probes(np.zeros(2, np.float32), np.array([5, 5, 5, 50]), 21)) == [0, 1, 2, 3]

@@ -5,7 +5,8 @@ Centroids are fitted on a bounded sample (``SAMPLE`` vectors by hash of the id)
 charges crowded clusters, which keeps the posting lists balanced. Every vector is indexed: it goes to its
 closest list and, as a boundary vector, to the next ``COPIES - 1`` as far as their distance is within ``BOUNDARY``
 times the closest. Centroids are found by best-first search over a k-nearest-neighbour graph of centroids
-that every task holds. A query visits all lists within ``PRUNE`` times the distance of its closest list.
+that every task holds. A query visits all lists within ``PRUNE`` times the distance of its closest list, or of the usual
+closest list if that is farther, and then the next ones until they hold enough vectors for ``k`` rows besides its own.
 
 The number of lists follows the rows up to ``MAX_LISTS``, a bound for what is broadcast (centroids and
 graph); beyond it lists grow. Lists are scanned in units of about ``UNIT_ROWS`` vectors: small lists share a
@@ -87,8 +88,8 @@ class CentroidGraph:
         self.links = [np.unique(a) for a in self.links]
         self.entries = np.unique(np.linspace(0, n - 1, min(n, 32)).astype(int)) if n else np.zeros(0, int)
 
-    def search(self, q: np.ndarray, n: int = 0, within: float = 1.0, beam: int = BEAM) -> tuple[np.ndarray, np.ndarray]:
-        """Centroids found, closest first, and their distances: the ``n`` closest and all within ``within`` times the closest."""
+    def search(self, q: np.ndarray, n: int = 0, within: float = 1.0, beam: int = BEAM, least: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
+        """Centroids found, closest first, and their distances: the ``n`` closest and all within ``within`` times the closest or ``least``."""
         seen = np.zeros(len(self.centroids), bool)
         found: list[tuple[float, int]] = []
         queue: list[tuple[float, int]] = []
@@ -102,7 +103,7 @@ class CentroidGraph:
             apart = np.sqrt(np.square(self.centroids[nodes] - q).sum(axis=1)).tolist()
             for d, node in zip(apart, nodes.tolist(), strict=True):
                 best = min(best, d)
-                if len(worst) < beam or d < -worst[0] or d <= within * best:
+                if len(worst) < beam or d < -worst[0] or d <= max(within * best, least):
                     found.append((d, node))
                     heapq.heappush(queue, (d, node))
                     heapq.heappush(worst, -d)
@@ -112,10 +113,10 @@ class CentroidGraph:
         offer(self.entries)
         while queue:
             d, node = heapq.heappop(queue)
-            if len(worst) >= beam and d > -worst[0] and d > within * best:
+            if len(worst) >= beam and d > -worst[0] and d > max(within * best, least):
                 break
             offer(self.links[node])
-        kept = [x for i, x in enumerate(sorted(found)) if i < n or x[0] <= within * best + 1e-9]
+        kept = [x for i, x in enumerate(sorted(found)) if i < n or x[0] <= max(within * best, least) + 1e-9]
         return np.array([node for _, node in kept], int), np.array([d for d, _ in kept])
 
     def postings(self, x: np.ndarray) -> list[int]:
@@ -123,10 +124,14 @@ class CentroidGraph:
         nodes, apart = self.search(x, COPIES, beam=16)
         return nodes[:COPIES][apart[:COPIES] <= BOUNDARY * apart[0] + 1e-9].tolist()
 
-    def probes(self, q: np.ndarray) -> list[int]:
-        """Lists a query visits."""
-        closest = self.search(q, 1)[1][:1]
-        return self.search(q, 1, PRUNE * max(1.0, self.typical / max(float(closest[0]), 1e-9)))[0].tolist() if len(closest) else []
+    def probes(self, q: np.ndarray, held: np.ndarray, enough: int) -> list[int]:
+        """Lists a query visits; together they hold ``enough`` vectors, or all. ``held``: vectors whose closest list it is."""
+        near = self.search(q, 1, PRUNE, least=PRUNE * self.typical)[0]
+        if held[near].sum() >= enough:
+            return near.tolist()
+        order = np.argsort(np.square(self.centroids - q).sum(axis=1), kind="stable")
+        order = np.concatenate((near, order[~np.isin(order, near)]))
+        return order[: int(np.searchsorted(np.cumsum(held[order]), enough)) + 1].tolist()
 
 
 def usable(vector: Column) -> Column:
@@ -172,10 +177,13 @@ def nearest(df: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_id",
             x = _lifted(b["v"], b["norm2"], top)
             yield pd.DataFrame({"vec_id": b["vec_id"], "v": b["v"], "lists": [graph.value.postings(q) for q in x]})
 
-    posted = base.mapInPandas(post, "vec_id bigint, v array<double>, lists array<int>").select("vec_id", "v", F.explode("lists").alias("list"))
+    posted = base.mapInPandas(post, "vec_id bigint, v array<double>, lists array<int>").select("vec_id", "v", F.posexplode("lists").alias("nth", "list"))
     posted = materialize(posted, "ann-postings")
     # At most MAX_LISTS rows: the units of each list. Small lists share one, by number.
-    sizes = {r["list"]: r["count"] for r in posted.groupBy("list").count().collect()}
+    counted = posted.groupBy("list").agg(F.count("*").alias("n"), F.count_if(F.col("nth") == 0).alias("own")).collect()
+    sizes = {r["list"]: r["n"] for r in counted}
+    held = np.zeros(len(centroids), int)
+    held[[r["list"] for r in counted]] = [r["own"] for r in counted]
     shared = -(-sum(sizes.values()) // UNIT_ROWS)
     pieces = {one: -(-n // UNIT_ROWS) for one, n in sizes.items()}
     units = {one: [one % shared] if n == 1 else [shared + (one << 20) + i for i in range(n)] for one, n in pieces.items()}
@@ -191,7 +199,7 @@ def nearest(df: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_id",
             rows = []
             for query_id, v, q in zip(b["vec_id"], b["v"], (x * scale).astype(np.float32), strict=True):
                 asked: dict[int, list[int]] = {}
-                for one in graph.value.probes(q):
+                for one in graph.value.probes(q, held, k + 1):
                     for unit in units.get(one, ()):
                         asked.setdefault(unit, []).append(one)
                 rows += [(query_id, v, unit, lists) for unit, lists in asked.items()]
