@@ -409,3 +409,30 @@ def test_neighbours_of_outliers_are_as_many(spark):
     graph = ann.CentroidGraph(np.array([[0.0, 0], [1, 0], [0, 1], [9, 9]], np.float32), typical=1.0)
     assert sorted(graph.probes(np.zeros(2, np.float32), np.full(4, 50), 21)) == [0, 1, 2]
     assert sorted(graph.probes(np.zeros(2, np.float32), np.array([5, 5, 5, 50]), 21)) == [0, 1, 2, 3]
+
+
+@pytest.mark.parametrize("pieces", [20_000, 7])
+def test_a_hot_vector_meets_itself_once(spark, monkeypatch, pieces):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(ann, "UNIT_QUERIES", pieces, raising=False)
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(900, 6)).astype(np.float32)
+    x[rng.permutation(900)[:600]] = x[0]
+    x[5:9] = x[4]
+    x[4:7, 2], x[7:9, 2] = 0.0, -0.0
+    assert ann.distinct_vectors(ann.vectors_of(frame := spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")), 21).count() == len(np.unique(x + 0.0, axis=0))
+    largest = ann.distinct_vectors(ann.vectors_of(frame), 21).select(F.max(F.size("ids"))).first()[0]
+    assert largest == 21
+    found = {}
+    for r in ann.nearest(frame, F.col("vec_id") % 10 == 0).collect():
+        found.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    exact = x.astype(float)
+    assert sorted(found) == list(range(0, 900, 10))
+    for q, rows in found.items():
+        scores = (exact * exact[q]).sum(axis=1)
+        scores[q] = -np.inf
+        rows.sort()
+        # There is one list only, so nothing is missed, and ties go to smaller ids.
+        assert [(v, pytest.approx(scores[v], abs=1e-12)) for v in np.lexsort((np.arange(900), -scores.round(9)))[:20].tolist()] == [(v, s) for _, v, s in rows]
+        assert [n for n, _, _ in rows] == list(range(1, 21))

@@ -9,10 +9,11 @@ that every task holds. A query visits all lists within ``PRUNE`` times the dista
 closest list if that is farther, and then the next ones until they hold enough vectors for ``k`` rows besides its own.
 
 The number of lists follows the rows up to ``MAX_LISTS``, a bound for what is broadcast (centroids and
-graph); beyond it lists grow. Lists are scanned in units of about ``UNIT_ROWS`` vectors: small lists share a
-unit, a large one is cut into several by hash of the id, so a vector that fills a third of the table is spread
-as well. A unit hands on a query's best ``k`` only. Scores are double-precision inner products of the original vectors,
-summed in one fixed order, so equal vectors tie exactly.
+graph); beyond it lists grow. Equal vectors are indexed and asked for once, with their ``k + 1`` smallest ids: ties go to
+smaller ids, so no other can be in a result. Lists are scanned in units of about ``UNIT_ROWS`` vectors: small lists share a
+unit, a large one is cut into several by hash of the id; the queries of a unit are cut by hash as well, into pieces of
+about ``UNIT_QUERIES``. A unit hands on a query's best ``k + 1`` only. Scores are double-precision inner products of the
+original vectors, summed in one fixed order, so equal vectors tie exactly.
 
 Defined cases: vectors that are null, zero, or hold null or non-finite components take no part; vectors of
 another length than most are not comparable and take no part either; a repeated id counts once (its smallest
@@ -37,6 +38,7 @@ COPIES = 3
 BOUNDARY = 1.1
 PRUNE = 1.15
 UNIT_ROWS = 20_000
+UNIT_QUERIES = 20_000
 DEGREE = 24
 BEAM = 96
 
@@ -146,9 +148,19 @@ def vectors_of(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
     rows = rows.select(F.col(id_col).cast("bigint").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"))
     common = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.col("count").desc(), "n").limit(1).select("n")
     rows = rows.join(F.broadcast(common), F.size("v") == F.col("n"), "left_semi").groupBy("vec_id").agg(F.min("v").alias("v"))
+    rows = rows.withColumn("v", F.transform("v", lambda x: F.when(x == 0, F.lit(0.0)).otherwise(x)))  # one zero, for xxhash64
     return rows.withColumn("norm2", F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
 
 
+def distinct_vectors(base: DataFrame, n: int) -> DataFrame:
+    """(vec_id, v, norm2, h, ids) of the different vectors: ``ids`` are the ``n`` smallest of each, ``vec_id`` the first of them."""
+    # Tasks cut their own part to n rows a vector before anything is shuffled.
+    order = Window.partitionBy("h", "v").orderBy("vec_id")
+    some = base.withColumn("h", F.xxhash64("v")).withColumn("_nth", F.row_number().over(order)).where(F.col("_nth") <= n)
+    groups = some.groupBy("h", "v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"), F.min("norm2").alias("norm2"))
+    return groups.select(F.col("ids")[0].alias("vec_id"), "v", "norm2", "h", "ids")
+
+
 def _lifted(v: pd.Series, norm2: pd.Series, top: float) -> np.ndarray:
     x = np.array(v.tolist(), np.float32)
     return np.column_stack([x, np.sqrt(np.maximum(top - norm2.to_numpy(), 0)).astype(np.float32)])
@@ -161,7 +173,9 @@ def nearest(df: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_id",
     """
     spark = df.sparkSession
     out = "query_id bigint, rank int, vec_id bigint, score double"
-    base = materialize(vectors_of(df, id_col, vector_col), "ann-vectors")
+    everyone = materialize(vectors_of(df, id_col, vector_col), "ann-vectors")
+    wanted = k + 1  # a query's own id is among its best and taken out at the end
+    base = materialize(distinct_vectors(everyone, wanted), "ann-distinct")
     rows, top = base.agg(F.count("*"), F.max("norm2")).first()
     if not rows:
         return spark.createDataFrame([], out)
@@ -175,9 +189,11 @@ def nearest(df: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_id",
     def post(batches):
         for b in batches:
             x = _lifted(b["v"], b["norm2"], top)
-            yield pd.DataFrame({"vec_id": b["vec_id"], "v": b["v"], "lists": [graph.value.postings(q) for q in x]})
+            ids = [own if len(own) > 1 else None for own in b["ids"]]
+            yield pd.DataFrame({"vec_id": b["vec_id"], "v": b["v"], "ids": ids, "lists": [graph.value.postings(q) for q in x]})
 
-    posted = base.mapInPandas(post, "vec_id bigint, v array<double>, lists array<int>").select("vec_id", "v", F.posexplode("lists").alias("nth", "list"))
+    posted = base.mapInPandas(post, "vec_id bigint, v array<double>, ids array<bigint>, lists array<int>")
+    posted = posted.select("vec_id", "v", "ids", F.posexplode("lists").alias("nth", "list"))
     posted = materialize(posted, "ann-postings")
     # At most MAX_LISTS rows: the units of each list. Small lists share one, by number.
     counted = posted.groupBy("list").agg(F.count("*").alias("n"), F.count_if(F.col("nth") == 0).alias("own")).collect()
@@ -189,7 +205,7 @@ def nearest(df: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_id",
     units = {one: [one % shared] if n == 1 else [shared + (one << 20) + i for i in range(n)] for one, n in pieces.items()}
     table = spark.createDataFrame([(one, own) for one, own in units.items()], "list int, units array<bigint>")
     own_unit = F.element_at("units", (F.pmod(F.xxhash64("vec_id"), F.size("units").cast("bigint")) + 1).cast("int"))
-    indexed = posted.join(F.broadcast(table), "list").select("vec_id", "v", "list", own_unit.alias("unit"))
+    indexed = posted.join(F.broadcast(table), "list").select("vec_id", "v", "ids", "list", own_unit.alias("unit"))
 
     def probe(batches):
         for b in batches:
@@ -197,22 +213,34 @@ def nearest(df: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_id",
             x[:, -1] = 0  # a query has no lift: its inner product with a lifted vector is the plain one
             scale = np.sqrt(top) / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-30)
             rows = []
-            for query_id, v, q in zip(b["vec_id"], b["v"], (x * scale).astype(np.float32), strict=True):
+            for rep, q in zip(b["vec_id"], (x * scale).astype(np.float32), strict=True):
                 asked: dict[int, list[int]] = {}
-                for one in graph.value.probes(q, held, k + 1):
+                for one in graph.value.probes(q, held, wanted):
                     for unit in units.get(one, ()):
                         asked.setdefault(unit, []).append(one)
-                rows += [(query_id, v, unit, lists) for unit, lists in asked.items()]
-            yield pd.DataFrame(rows, columns=["query_id", "q", "unit", "lists"])
-
-    asked = base.where(is_query).mapInPandas(probe, "query_id bigint, q array<double>, unit bigint, lists array<int>")
+                rows += [(rep, unit, lists) for unit, lists in asked.items()]
+            yield pd.DataFrame(rows, columns=["rep", "unit", "lists"])
+
+    # Queries stand for their vector: those with equal ones are answered together.
+    reps = base.select("h", "v", F.col("vec_id").alias("rep"))
+    askers = everyone.where(is_query).select(F.col("vec_id").alias("query_id"), F.xxhash64("v").alias("h"), "v")
+    askers = materialize(askers.join(reps, ["h", "v"]).select("query_id", "rep"), "ann-queries")
+    queries = base.join(askers.select(F.col("rep").alias("vec_id")).distinct(), "vec_id", "left_semi").select("vec_id", "v", "norm2")
+    asked = materialize(queries.mapInPandas(probe, "rep bigint, unit bigint, lists array<int>"), "ann-asked")
+    # One row a unit: the pieces its queries are cut into, each of which meets all of its vectors.
+    cut = asked.groupBy("unit").count().select("unit", F.ceil(F.col("count") / UNIT_QUERIES).cast("bigint").alias("pieces"))
+    cut = materialize(cut, "ann-pieces")
+    dealt = asked.join(F.broadcast(cut), "unit").withColumn("piece", F.pmod(F.xxhash64("rep"), F.col("pieces"))).drop("pieces")
+    dealt = dealt.join(queries.select(F.col("vec_id").alias("rep"), F.col("v").alias("q")), "rep")
+    met_by = indexed.join(F.broadcast(cut), "unit").withColumn("piece", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("pieces") - 1))).drop("pieces")
 
     def scan(queries: pd.DataFrame, vectors: pd.DataFrame) -> pd.DataFrame:
         if not len(queries) or not len(vectors):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+            return pd.DataFrame({"rep": [], "vec_id": [], "score": []})
         of_list = {one: (g["vec_id"].to_numpy(), np.array(g["v"].tolist())) for one, g in vectors.groupby("list")}
-        query_ids, q = queries["query_id"].to_numpy(), np.array(queries["q"].tolist())
-        who, which, score = [np.zeros(0, int)], [np.zeros(0, int)], [np.zeros(0)]
+        copies = {rep: ids for rep, ids in zip(vectors["vec_id"], vectors["ids"], strict=True) if ids is not None}
+        reps, q = queries["rep"].to_numpy(), np.array(queries["q"].tolist())
+        best, held_back, n = (np.zeros(0, int), np.zeros(0, int), np.zeros(0)), [], 0
         pairs = queries["lists"].explode()
         rows = pd.Series(np.repeat(np.arange(len(queries)), queries["lists"].map(len)))
         for one, at in rows.groupby(pairs.to_numpy()):
@@ -220,30 +248,36 @@ def nearest(df: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_id",
                 ids, x = of_list[one]
                 for i in range(0, len(at), 256):
                     part = at.to_numpy()[i : i + 256]
-                    found = best_pairs(q[part], query_ids[part], x, ids, k)
-                    who.append(part[found[0]])
-                    which.append(found[1])
-                    score.append(found[2])
-        rows, ids, scores = best_of_each(np.concatenate(who), np.concatenate(which), np.concatenate(score), k)
-        return pd.DataFrame({"query_id": query_ids[rows], "vec_id": ids, "score": scores})
-
-    met = asked.groupBy("unit").cogroup(indexed.groupBy("unit")).applyInPandas(scan, "query_id bigint, vec_id bigint, score double")
-    unique = met.dropDuplicates(["query_id", "vec_id"])
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    ranked = unique.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
-
-
-def best_pairs(q: np.ndarray, query_ids: np.ndarray, x: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row of ``q``, id, score) of each query's best ``k`` rows of ``x``, its own excepted, and of what ties with them.
+                    row, which, score = best_of_each(*best_pairs(q[part], x, ids, wanted), wanted)
+                    held_back.append((part[row], which, score))
+                    n += len(row)
+                    if n > 1 << 20:
+                        best = best_of_each(*map(np.concatenate, zip(best, *held_back, strict=True)), wanted)
+                        held_back, n = [], 0
+        best = best_of_each(*map(np.concatenate, zip(best, *held_back, strict=True)), wanted)
+        rows, ids, scores = with_copies(*best, copies, wanted)
+        return pd.DataFrame({"rep": reps[rows], "vec_id": ids, "score": scores})
+
+    met = dealt.groupBy("unit", "piece").cogroup(met_by.groupBy("unit", "piece")).applyInPandas(scan, "rep bigint, vec_id bigint, score double")
+    unique = met.dropDuplicates(["rep", "vec_id"])
+    order = Window.partitionBy("rep").orderBy(F.col("score").desc(), "vec_id")
+    ranked = unique.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= wanted)
+    answers = ranked.groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("rank", "vec_id", "score"))).alias("found"))
+    answers = materialize(answers, "ann-answers")
+    others = F.slice(F.filter("found", lambda x: x["vec_id"] != F.col("query_id")), 1, k)
+    each = askers.join(answers, "rep").select("query_id", F.posexplode(others).alias("nth", "x"))
+    return each.select("query_id", (F.col("nth") + 1).alias("rank"), "x.vec_id", "x.score")
+
+
+def best_pairs(q: np.ndarray, x: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row of ``q``, id, score) of each query's best ``k`` rows of ``x``, and of what ties with them.
 
     A fast product finds the candidates; their scores are then summed in a fixed order.
     """
     quick = q @ x.T
-    quick[query_ids[:, None] == ids[None, :]] = -np.inf
     last = np.partition(quick, len(ids) - k, axis=1)[:, len(ids) - k] if len(ids) > k else np.full(len(q), -np.inf)
     slack = 1e-9 * np.maximum(np.abs(np.where(np.isfinite(last), last, 0)), 1e-3)
-    row, col = np.nonzero((quick >= (last - slack)[:, None]) & (quick > -np.inf))
+    row, col = np.nonzero(quick >= (last - slack)[:, None])
     return row, ids[col], np.concatenate([(q[row[i : i + 65536]] * x[col[i : i + 65536]]).sum(axis=1) for i in range(0, len(row), 65536)] or [np.zeros(0)])
 
 
@@ -258,3 +292,11 @@ def best_of_each(rows: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int)
     rank = np.arange(len(rows)) - np.repeat(start, np.diff(np.append(start, len(rows))))
     kept = rank < k
     return rows[kept], ids[kept], scores[kept]
+
+
+def with_copies(rows: np.ndarray, ids: np.ndarray, scores: np.ndarray, copies: dict, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The best ``k`` of each row when every id brings along those in ``copies``, which have its score."""
+    each = [copies[i] if i in copies else (i,) for i in ids.tolist()]
+    sizes = np.fromiter(map(len, each), int, len(each))
+    spelled = np.fromiter((i for own in each for i in own), np.int64, int(sizes.sum()))
+    return best_of_each(np.repeat(rows, sizes), spelled, np.repeat(scores, sizes), k)
