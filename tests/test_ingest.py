@@ -122,3 +122,17 @@ def test_run_id():
     from textassay.sources.scorecards import run_id
 
     assert run_id(datetime(2026, 3, 4, 5, 6, 7)) == "SC-20260304-050607"
+
+
+def test_hashes_of_odd_paths_and_stores(spark, tmp_path):
+    folder = tmp_path / "a b%20c"
+    folder.mkdir()
+    for name in ("x y", "50%", "a%2Fb", "q?r#s", "ü"):
+        (folder / name).write_bytes(name.encode() * 1000)
+    want = sorted(hashlib.sha256(f.read_bytes()).hexdigest() for f in folder.iterdir())
+    for limit in (manifest.INLINE_BYTES, 0):
+        assert sorted(r["sha256"] for r in manifest.ingest_manifest(spark, f"{tmp_path}", limit).collect()) == want
+    # A store that only Spark opens.
+    spark.conf.set("fs.viewfs.mounttable.manifest.link./in", f"file://{tmp_path}")
+    for limit in (manifest.INLINE_BYTES, 0):
+        assert sorted(r["sha256"] for r in manifest.ingest_manifest(spark, "viewfs://manifest/in", limit).collect()) == want

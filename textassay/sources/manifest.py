@@ -7,8 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-# Files up to this size are hashed from the ``content`` column; larger ones are streamed block by block.
+# Files up to this size are hashed from the ``content`` column; larger ones are streamed block by block where their store
+# is one that the workers can open.
 INLINE_BYTES = 64 * 1024 * 1024
+STREAMED_SCHEMES = ("file", "hdfs", "s3", "gs", "gcs", "abfs", "abfss")
+SCHEME = r"^([A-Za-z][A-Za-z0-9+.-]*):"
 
 HASHED = "path string, modified_at timestamp, bytes bigint, sha256 string"
 
@@ -18,14 +21,19 @@ def _file_hasher():
 
     def add_hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import hashlib
+        import urllib.parse
 
         from pyarrow import fs
 
         for files in batches:
             digests = []
             for path in files["path"]:
-                uri = path.replace("file:/", "file:///", 1) if not path.startswith("file:///") else path
-                filesystem, name = fs.FileSystem.from_uri(uri)
+                # Paths come as they are: a blank or a percent sign in them is not encoded.
+                scheme, _, rest = path.partition(":")
+                if scheme == "file":
+                    filesystem, name = fs.LocalFileSystem(), "/" + rest.lstrip("/")
+                else:
+                    filesystem, name = fs.FileSystem.from_uri(f"{scheme}:{urllib.parse.quote(rest, safe='/:@')}")
                 digest = hashlib.sha256()
                 with filesystem.open_input_stream(name) as stream:
                     while block := stream.read(8 * 1024 * 1024):
@@ -39,13 +47,19 @@ def _file_hasher():
 def ingest_manifest(spark: SparkSession, path: str, inline_bytes: int = INLINE_BYTES) -> DataFrame:
     """(path, processed_at, modified_at, bytes, mb, sha256), one row per file, hashed in parallel.
 
-    The size filter is pushed into the reader, so the content of large files is never loaded.
+    The size filter is pushed into the reader, so the content of large files is not loaded, unless their store is one that
+    only Spark can open; then one task holds a file, up to the 2 GB of Spark's reader. Lists large files when called.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     named = [F.col("path"), F.col("modificationTime").alias("modified_at"), F.col("length").alias("bytes")]
-    small = files.where(F.col("length") <= inline_bytes).select(*named, F.sha2("content", 256).alias("sha256"))
-    large = files.where(F.col("length") > inline_bytes).select(*named).repartition("path").mapInPandas(_file_hasher(), HASHED)
-    return small.unionByName(large).select(
+    is_large = F.col("length") > inline_bytes
+    schemes = files.where(is_large).select(F.regexp_extract("path", SCHEME, 1).alias("scheme")).distinct().collect()
+    if all(r["scheme"] in STREAMED_SCHEMES for r in schemes):
+        small = files.where(~is_large).select(*named, F.sha2("content", 256).alias("sha256"))
+        hashed = small.unionByName(files.where(is_large).select(*named).repartition("path").mapInPandas(_file_hasher(), HASHED))
+    else:
+        hashed = files.select(*named, F.sha2("content", 256).alias("sha256"))
+    return hashed.select(
         "path",
         F.current_timestamp().alias("processed_at"),
         "modified_at",
