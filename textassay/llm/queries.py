@@ -3,7 +3,10 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textassay.llm import ann, bpe_chunks, fingerprints, html_extraction, language_id, quality_classifier, repeats, secret_scan, simhash, source_mixing
+from textassay.llm import (
+    ann, bpe_chunks, chat_template, fill_in_middle, fingerprints, html_extraction, language_id, lexical_search, quality_classifier, repeats, secret_scan,
+    simhash, source_mixing,
+)
 from textassay.llm.common import table
 
 
@@ -48,7 +51,22 @@ def op10_quality_classifier(spark: SparkSession, d: str) -> DataFrame:
     return quality_classifier.score_quality(table(spark, d, "documents"))
 
 
-REGISTERED = (op1_suffix_array_dedup, op2_language_id, op3_source_mixing, op4_html_extraction, op5_bpe_coding, op6_simhash_near_dup, op7_ann_search, op8_document_fingerprints, op9_secret_scan, op10_quality_classifier)
+def op11_lexical_search(spark: SparkSession, d: str) -> DataFrame:
+    return lexical_search.rank_documents(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
+def op12_chat_formatting(spark: SparkSession, d: str) -> DataFrame:
+    return chat_template.formatting_report(table(spark, d, "conversations"))
+
+
+def op13_fill_in_middle(spark: SparkSession, d: str) -> DataFrame:
+    return fill_in_middle.fill_report(table(spark, d, "documents"))
+
+
+REGISTERED = (
+    op1_suffix_array_dedup, op2_language_id, op3_source_mixing, op4_html_extraction, op5_bpe_coding, op6_simhash_near_dup, op7_ann_search,
+    op8_document_fingerprints, op9_secret_scan, op10_quality_classifier, op11_lexical_search, op12_chat_formatting, op13_fill_in_middle,
+)
 
 
 def queries() -> dict:
