@@ -67,7 +67,8 @@ def _big(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def assign_doc_id(spark, d):
-    return I.assign_doc_id(_table(spark, d, "documents").select("text", "lang", "source"))
+    ids = I.assign_doc_id(_table(spark, d, "documents"), ("text", "lang", "source"), ("lang", "source", "n_chars"))
+    return ids.drop("file_name", "row_index")
 
 
 def row_position_id(spark, d):
@@ -79,9 +80,13 @@ def corpus_fingerprint(spark, d):
 
 
 def ingest_manifest(spark, d):
-    return manifest.ingest_manifest(spark, f"{d}/documents.parquet").unionByName(
-        manifest.ingest_manifest(spark, f"{d}/pages.parquet", inline_bytes=1024)
-    )
+    # A file of text for every hundred documents; the larger half is streamed by the workers.
+    path = scratch_path(spark, "document files")
+    part = F.floor(F.col("doc_id") / 100).cast("bigint").alias("part")
+    rows = _table(spark, d, "documents").select(part, "doc_id", "text").repartition("part").sortWithinPartitions("part", "doc_id")
+    rows.drop("doc_id").write.partitionBy("part").text(path)
+    key = F.regexp_extract("path", r"part=(\d+)", 1).cast("bigint").alias("part")
+    return manifest.ingest_manifest(spark, path, inline_bytes=150_000).select(key, "bytes", "mb", "sha256")
 
 
 def file_hashes(spark, d):
@@ -98,7 +103,7 @@ def manifest_totals(spark, d):
 
 
 def schema_report(spark, d):
-    return I.schema_report(_table(spark, d, "documents"), DOCUMENT_TYPES)
+    return I.file_schema_report(spark, f"{d}/documents.parquet", DOCUMENT_TYPES)
 
 
 def jsonl_ingest(spark, d):
@@ -161,6 +166,11 @@ def toxicity_score_join(spark, d):
     return X.toxicity_score(_docs(spark, d), table).select("doc_id", "tox_millis", "n_tokens", "tox_score")
 
 
+def toxicity_long_list(spark, d):
+    # A list as long as the vocabulary of the documents.
+    return X.toxicity_score(_docs(spark, d), lexicon_table(spark, d)).select("doc_id", "tox_millis", "n_tokens", "tox_score")
+
+
 def pii_flags(spark, d):
     return P.pii_flags(_docs(spark, d).select("doc_id", "text")).drop("text")
 
@@ -336,7 +346,7 @@ def stream_flags(spark, d):
 _REGISTERED = (
     assign_doc_id, row_position_id, corpus_fingerprint, ingest_manifest, file_hashes, manifest_totals, schema_report, jsonl_ingest, lexicon_table,
     html_strip, ingest_select, html_ratio, text_length, blank_text, shingle_normalize, shingles, tox_tokens,
-    toxicity_score, toxicity_score_join, pii_flags, pii_any, text_snippet, report_values,
+    toxicity_score, toxicity_score_join, toxicity_long_list, pii_flags, pii_any, text_snippet, report_values,
     quality_reject_reason, quality_filter, quality_report, quality_report_documents, toxicity_flagged,
     minhash_signature, lsh_bands, near_dup_candidates, near_dup_pairs, near_dup_pairs_exact, near_dup_groups, near_dup_similar_groups,
     near_dup_summary, near_dup_examples,

@@ -75,9 +75,9 @@ TERMS = "clown disgusting idiot loser moron pathetic scum stupid trash worthless
 LEXICON = "lexicon(term, w) AS (VALUES " + ", ".join(f"({quoted(t)}, {100 * len(t)})" for t in TERMS) + ")"
 
 
-def scored(source: str) -> str:
+def scored(source: str, terms: str | None = None) -> str:
     """CTEs ending in scored(doc_id, tox_millis, n_tokens, tox_score) of source(doc_id, text)."""
-    return f"""{LEXICON},
+    return f"""{terms or LEXICON},
     toks AS (SELECT doc_id, {tokens("text")} AS t FROM {source}),
     words AS (SELECT doc_id, unnest(t) AS term FROM toks),
     hits AS (SELECT doc_id, sum(w) AS s FROM words JOIN lexicon USING (term) GROUP BY doc_id),
@@ -256,11 +256,14 @@ def statements() -> dict[str, str]:
     distribution = PERCENTILES.format(mean=MEAN)
     return {
         # sources
-        "assign_doc_id": f"""SELECT {content_hash("text", "lang", "source")} AS doc_key,
-            row_number() OVER (PARTITION BY text, lang, source) - 1 AS copy_no, text, lang, source FROM documents""",
+        "assign_doc_id": """SELECT md5(coalesce(md5(text), '-') || coalesce(md5(lang), '-') || coalesce(md5(source), '-')) AS doc_key,
+            row_number() OVER (PARTITION BY text, lang, source) - 1 AS copy_no, lang, source, n_chars FROM documents""",
         "row_position_id": "SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS row_id FROM documents",
         "corpus_fingerprint": f"""SELECT count(*) AS n_rows, CAST(sum({content_hash("doc_id", "text", "lang", "source", "n_chars")}) AS VARCHAR)
             AS fingerprint FROM documents""",
+        "ingest_manifest": """WITH files AS (
+                SELECT CAST(floor(doc_id / 100) AS BIGINT) AS part, string_agg(text || chr(10), '' ORDER BY doc_id) AS body FROM documents GROUP BY 1)
+            SELECT part, CAST(strlen(body) AS BIGINT) AS bytes, round(strlen(body) / CAST(1048576 AS DOUBLE), 2) AS mb, sha256(body) AS sha256 FROM files""",
         "file_hashes": """SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, CAST(strlen(n_name) + 1 AS BIGINT) AS bytes,
             sha256(n_name || chr(10)) AS sha256 FROM nation""",
         "manifest_totals": "SELECT count(*) AS total_rows, 'url,text,text_clean' AS columns FROM pages",
@@ -324,6 +327,10 @@ def statements() -> dict[str, str]:
         "toxicity_distribution": f"WITH {scored('documents')} SELECT {distribution} FROM scored",
         "toxicity_rate": f"""WITH {scored("documents")} SELECT count(*) AS total_docs, count(*) FILTER (tox_score > 0.5) AS toxic_docs,
             {MEAN} AS mean_score, {pct("count(*) FILTER (tox_score > 0.5)", "count(*)")} AS pct_toxic FROM scored""",
+        "toxicity_long_list": f"""WITH {scored("documents", f"""told AS (SELECT doc_id, n_chars, {tokens("text")} AS t FROM documents),
+            entries AS (SELECT doc_id, n_chars, unnest(t) AS term, unnest(range(len(t))) AS pos FROM told),
+            lexicon AS (SELECT term, max_by(n_chars % 10 + 1, CAST(doc_id AS HUGEINT) * 4294967296 + pos) * 100 AS w FROM entries GROUP BY term)""")}
+            SELECT doc_id, tox_millis, n_tokens, tox_score FROM scored""",
         "toxicity_top5": f"""WITH {scored("documents")} SELECT doc_id, tox_millis, n_tokens, tox_score,
             CASE WHEN length(text) > 100 THEN substr(text, 1, 100) || '...' ELSE text END AS snippet
             FROM scored JOIN documents USING (doc_id) ORDER BY tox_score DESC, doc_id LIMIT 5""",

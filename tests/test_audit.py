@@ -1,10 +1,13 @@
 """A corpus with known totals through the whole audit."""
 
+import json
 from datetime import datetime
 from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
+from textassay.operators import toxicity
 from textassay.operators.ingest import ingest
 from textassay.operators.near_dup import NearDupParams
 from textassay.operators.quality import quality_report
@@ -99,5 +102,18 @@ def test_files(spark, tmp_path):
     assert audited.where("reject_reason IS NULL").count() == 52
     assert [r["doc_id"] for r in audited.where("tox_millis = 200").collect()] == [0]
     manifest = spark.read.json(f"{out}/manifest").collect()
-    assert {(r["total_rows"], r["corrupt_rows"], tuple(r["columns"])) for r in manifest} == {(54, 1, ("url", "text", "text_clean"))}
+    assert {(r["total_rows"], r["corrupt_rows"], tuple(r["columns"]), tuple(r["missing_columns"])) for r in manifest} == {(54, 1, ("url", "text", "text_clean"), ())}
     assert spark.read.json(f"{out}/reports/quality").where("rule = 'short'").first()["docs"] == 2
+
+
+@pytest.mark.parametrize("broadcast", [1_000_000, 10])
+def test_files_with_a_long_list(spark, tmp_path, monkeypatch, broadcast):
+    monkeypatch.setattr(toxicity, "BROADCAST_TERMS", broadcast)
+    records = str(tmp_path / "records")
+    sample(spark).orderBy("doc_id").coalesce(1).select("text").write.json(records)
+    (tmp_path / "terms.json").write_text(json.dumps({"ansiedad": 0.2} | {f"term{i}": 0.5 for i in range(6_000)}))
+    audit_files(spark, records, str(tmp_path / "out"), datetime(2026, 5, 1), str(tmp_path / "terms.json"))
+    audited = spark.read.parquet(str(tmp_path / "out/audited"))
+    assert [r["doc_id"] for r in audited.where("tox_millis = 200").collect()] == [0] and audited.where("tox_millis > 0").count() == 1
+    assert audited.count() == 54 and audited.where("n_tokens > 10").count() == 52
+    assert [r["missing_columns"] for r in spark.read.json(str(tmp_path / "out/manifest")).collect()] == [["url"]]

@@ -1,5 +1,6 @@
 import hashlib
 import json
+import random
 from datetime import datetime
 
 import pytest
@@ -57,25 +58,72 @@ def test_manifest(spark, tmp_path):
         rows = manifest.ingest_manifest(spark, str(tmp_path), limit).collect()
         assert {r["path"].rsplit("/", 1)[1]: r["sha256"] for r in rows} == expected
         assert {r["bytes"]: r["mb"] for r in rows} == {10: 0.0, 1_500_010: 1.43, 3_000_010: 2.86}
-    out = tmp_path / "manifest"
-    table = spark.createDataFrame([("u", "t", "c")] * 4, "url string, text string, text_clean string")
-    manifest.write_manifest(manifest.ingest_manifest(spark, str(tmp_path / "f0.bin")), table, str(out))
+    out, table = tmp_path / "manifest", tmp_path / "table"
+    records = spark.createDataFrame([("u", None, None), (None, None, "{bad"), ("v", None, None)], "url string, text string, bad string")
+    counts = manifest.IngestCounts(("url", "text"), "bad")
+    counts.observe(records).write.parquet(str(table))
+    manifest.write_manifest(manifest.ingest_manifest(spark, str(tmp_path / "f0.bin")), ["url", "text"], counts, str(out))
     row = spark.read.json(str(out)).first()
-    assert (row["total_rows"], row["columns"], row["sha256"]) == (4, ["url", "text", "text_clean"], expected["f0.bin"])
-
-
-def test_doc_ids_identify_copies(spark, monkeypatch):
+    assert (row["total_rows"], row["corrupt_rows"], row["columns"], row["missing_columns"]) == (2, 1, ["url", "text"], ["text"])
+    assert row["sha256"] == expected["f0.bin"]
+
+
+def test_manifest_of_files_beyond_two_gigabytes(spark, tmp_path):
+    """One reader for every size, below a mount as well; the file is sparse and takes no disk."""
+    size = 3 * 1024**3 + 17
+    with (tmp_path / "sparse.bin").open("wb") as f:
+        f.seek(size - 1)
+        f.write(b"x")
+    (tmp_path / "small.bin").write_bytes(b"small")
+    digest, zeros = hashlib.sha256(), bytes(1 << 24)
+    for _ in range((size - 1) // len(zeros)):
+        digest.update(zeros)
+    digest.update(bytes((size - 1) % len(zeros)) + b"x")
+    spark.conf.set("fs.viewfs.mounttable.large.link./in", f"file://{tmp_path}")
+    spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.large.link./in", f"file://{tmp_path}")
+    for path in (str(tmp_path / "*.bin"), "viewfs://large/in"):
+        rows = {r["bytes"]: r["sha256"] for r in manifest.ingest_manifest(spark, path).collect()}
+        assert rows == {size: digest.hexdigest(), 5: hashlib.sha256(b"small").hexdigest()}
+
+
+def test_fixed_part_of_a_path(spark, tmp_path):
+    for path, fixed in ((f"{tmp_path}/a*/b", f"file:{tmp_path}"), (f"{tmp_path}", f"file:{tmp_path}"), ("*.json", None)):
+        given, real = manifest.stored_at(spark, path)
+        assert (given, real) == ((fixed, fixed) if fixed else ("", ""))
+
+
+def test_doc_ids_identify_copies(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(I, "COPIES_PER_UNIT", 4)
-    data = [("u", "a")] * 11 + [("u", "b"), ("v", "a"), (None, "a"), ("u", None)] + [("w", "c")] * 4
-    df = spark.createDataFrame(data, "url string, text string").repartition(5)
-    rows = [tuple(r) for r in I.assign_doc_id(df).collect()]
-    assert sorted((r[2:] for r in rows), key=str) == sorted(data, key=str)
-    keys = {r[2:]: r[0] for r in rows}
-    assert len(set(keys.values())) == len(keys) == 6
-    assert sorted(r[1] for r in rows if r[2:] == ("u", "a")) == list(range(11))
-    assert sorted(r[1] for r in rows if r[2:] == ("w", "c")) == [0, 1, 2, 3]
-    again = {tuple(r) for r in I.assign_doc_id(df.coalesce(1)).collect()}
-    assert again == set(rows)
+    data = [("u", "a")] * 31 + [("u", "b"), ("v", "a"), (None, "a"), ("u", None), ("u", ""), ("", "u")] + [("w", "c")] * 4
+    rows = [(*r, i) for i, r in enumerate(data)]
+    random.Random(1).shuffle(rows)
+    found = []
+    for files in (5, 1):
+        path = str(tmp_path / f"t{files}")
+        spark.createDataFrame(rows, "url string, text string, n int").repartition(files).write.parquet(path)
+        table = spark.read.parquet(path)
+        ids = I.assign_doc_id(table, ("url", "text"), ("n",))
+        assert ids.columns == ["doc_key", "copy_no", "n", "file_name", "row_index"]
+        got = {r["n"]: (r["doc_key"], r["copy_no"]) for r in ids.collect()}
+        assert len(got) == len(set(got.values())) == len(data) and all(len(k) == 32 for k, _ in got.values())
+        by_content = {}
+        for i, r in enumerate(data):
+            by_content.setdefault(r, []).append(got[i])
+        assert all(len({k for k, _ in v}) == 1 and sorted(c for _, c in v) == list(range(len(v))) for v in by_content.values())
+        assert len({v[0][0] for v in by_content.values()}) == len(by_content) == 8
+        back = I.with_doc_id(table, ids)
+        assert {r["n"]: (r["doc_key"], r["copy_no"]) for r in back.collect()} == got and set(back.columns) == {"url", "text", "n", "doc_key", "copy_no"}
+        found.append(set(got.values()))
+    assert found[0] == found[1]
+    empty = spark.createDataFrame([], "url string, text string")
+    empty.write.parquet(str(tmp_path / "none"))
+    assert I.assign_doc_id(spark.read.parquet(str(tmp_path / "none")), ("url", "text")).collect() == []
+
+
+def test_doc_ids_move_no_text(spark, tmp_path):
+    spark.range(50).select(F.repeat(F.md5(F.col("id").cast("string")), 50).alias("long_prose")).write.parquet(str(tmp_path / "t"))
+    plan = I.assign_doc_id(spark.read.parquet(str(tmp_path / "t")), ("long_prose",))._jdf.queryExecution().executedPlan().toString()
+    assert "long_prose" not in plan and "Exchange" in plan
 
 
 def test_row_positions(spark, tmp_path):
@@ -98,7 +146,7 @@ def test_fingerprint(spark):
     assert I.corpus_fingerprint(df.where("false"), ("k", "t")).first()["fingerprint"] == "0"
 
 
-def test_schema_report(spark):
+def test_schema_report(spark, tmp_path):
     df = spark.createDataFrame([(1, "a", 0.5), (2, None, 0.5)], "k long, t string, extra double")
     expected = {"k": "int", "t": "string", "gone": "string"}
     rows = {r["name"]: (r["type"], r["expected_type"], r["status"], r["n_values"]) for r in I.schema_report(df, expected).collect()}
@@ -108,6 +156,11 @@ def test_schema_report(spark):
         "extra": ("double", None, "EXTRA", 2),
         "gone": (None, "string", "MISSING", 0),
     }
+    nested = df.withColumn("more", F.array("t"))
+    nested.write.parquet(str(tmp_path / "t"))
+    expected["more"] = "array<string>"
+    of_files = sorted(map(tuple, I.file_schema_report(spark, str(tmp_path / "t"), expected).collect()))
+    assert of_files == sorted(map(tuple, I.schema_report(nested, expected).collect())) and len(of_files) == 5
     with pytest.raises(ValueError, match="gone: expected string, found nothing"):
         I.require_schema(df, expected)
     assert I.require_schema(df, {"k": "bigint"}) is df

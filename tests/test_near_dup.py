@@ -86,11 +86,11 @@ def test_small_groups(texts):
     assert found == [(0, 1, 1.0), (0, 3, 1.0), (1, 3, 1.0), (4, 5, 1.0), (7, 8, 1.0)]
 
 
-# unit_rows = 2 makes nearly every group and bucket a crowded one; the results must not change.
-@pytest.mark.parametrize("unit_rows", [2_000, 5, 2])
-def test_pairs_against_brute_force(texts, unit_rows):
+# unit_rows = 2 makes nearly every group and bucket a crowded one, dense_rows = 1 every other one dense; the results must not change.
+@pytest.mark.parametrize(("unit_rows", "dense_rows"), [(2_000, 128), (2, 1), (5, 2), (2_000, 1)])
+def test_pairs_against_brute_force(texts, unit_rows, dense_rows):
     values = corpus(1)
-    dups = N.near_dups(texts(*values), params=N.NearDupParams(unit_rows=unit_rows))
+    dups = N.near_dups(texts(*values), params=N.NearDupParams(unit_rows=unit_rows, dense_rows=dense_rows))
     expected = expected_pairs(values)
     assert len(expected) > 30
     assert pairs_of(dups) == expected
@@ -102,10 +102,10 @@ def test_pairs_against_brute_force(texts, unit_rows):
     assert examples == expected[:5]
 
 
-@pytest.mark.parametrize("unit_rows", [2_000, 3])
-def test_candidates_and_exact_against_brute_force(texts, unit_rows):
+@pytest.mark.parametrize(("unit_rows", "dense_rows"), [(2_000, 128), (3, 1)])
+def test_candidates_and_exact_against_brute_force(texts, unit_rows, dense_rows):
     values = corpus(2, families=4)
-    params = N.NearDupParams(unit_rows=unit_rows)
+    params = N.NearDupParams(unit_rows=unit_rows, dense_rows=dense_rows)
     found = sorted((r["doc_a"], r["doc_b"]) for r in N.near_dup_candidates(texts(*values), params=params).collect())
     assert found == sorted((i, j) for i, j, _ in candidate_pairs(values))
     exact = sorted((r["doc_a"], r["doc_b"], r["jaccard"]) for r in N.near_dup_pairs_exact(texts(*values), params=params).collect())
@@ -115,7 +115,31 @@ def test_candidates_and_exact_against_brute_force(texts, unit_rows):
 def test_salted_lookup(texts, monkeypatch):
     values = corpus(3, families=3)
     monkeypatch.setattr(N, "BROADCAST_KEYS", 0)
-    assert pairs_of(N.near_dups(texts(*values), params=N.NearDupParams(unit_rows=3))) == expected_pairs(values)
+    assert pairs_of(N.near_dups(texts(*values), params=N.NearDupParams(unit_rows=3, dense_rows=2))) == expected_pairs(values)
+
+
+def test_crowded_bucket_falls_apart_into_blocks(spark):
+    """Groups that share one band and little else: pairs meet by block, not all with all, and true pairs are found."""
+    rng, rows = random.Random(4), []
+    shared = [rng.randrange(2**31) for _ in range(8)]
+    for i in range(600):
+        base = shared + [rng.randrange(2**31) for _ in range(120)]
+        changed = set(rng.sample(range(8, 128), 25 if i % 3 else 27))
+        near = [rng.randrange(2**31) if j in changed else x for j, x in enumerate(base)]
+        rows += [(2 * i, str(2 * i), base), (2 * i + 1, str(2 * i + 1), near)]
+    signed = spark.createDataFrame(rows, "doc_id long, group_key string, signature array<int>")
+    params = N.NearDupParams(unit_rows=100, dense_rows=10)
+    groups = N.signature_groups(signed)
+    found = {(r["rep_a"], r["rep_b"]): r["matches"] for r in N.similar_groups(groups, params).collect()}
+    same = {(2 * i, 2 * i + 1): sum(a == b for a, b in zip(rows[2 * i][2], rows[2 * i + 1][2])) for i in range(600)}
+    assert found == {pair: m for pair, m in same.items() if m >= 103} and len(found) == 400
+    blocks = N._Blocks(params, 25)
+    assert (blocks.skipped, blocks.per_band) == (3, 2)
+    assert N._Blocks(N.NearDupParams(bands=4, num_perm=16), 3).skipped == 2
+    table = groups.select("rep", F.lit(0).alias("band"), F.lit(1).cast("bigint").alias("bucket"), M.band_words("signature", 16, 8).alias("w"))
+    table = N.materialize(table.select("rep", "band", "bucket", *[F.col("w")[b].alias(f"w{b}") for b in range(16)]), "table")
+    sizes = blocks.explode(table, []).groupBy("block").count().agg(F.max("count"), F.sum(F.expr("count * (count - 1)"))).first()
+    assert sizes[0] <= 4 and sizes[1] < 40 * 600  # all with all: 720,000
 
 
 def test_large_group_of_copies(spark):
@@ -157,6 +181,14 @@ def test_sketch_never_counts_too_many_mismatches(spark):
         assert r["mismatches"] - 5 <= r["bound"] <= r["mismatches"]
 
 
+def test_wide_shingle_hashes_are_sets(spark):
+    values = ["abc", "", None, "abcabcabcabc", "x" * 5_000, "\U0001d49c xyz \U0001d49c xyz"]
+    df = spark.createDataFrame(list(enumerate(values)), "doc_id long, norm string")
+    for r in df.select("doc_id", "norm", M.shingle_hashes_udf()("norm").alias("h")).collect():
+        t = r["norm"]
+        assert r["h"] == sorted(set(r["h"])) and len(r["h"]) == (0 if t is None else len({t[i : i + 5] for i in range(max(1, len(t) - 4))}))
+
+
 def test_threshold_in_matches():
     assert N.NearDupParams().min_matches == 103
     assert N.NearDupParams(threshold=0.5).min_matches == 64

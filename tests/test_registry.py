@@ -14,7 +14,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(TABLES), reason="tables not pr
 @pytest.fixture(scope="module")
 def database():
     connection = duckdb.connect()
-    for name in ("documents", "pages", "labels", "embeddings", "nation"):
+    for name in ("documents", "pages", "labels", "embeddings", "nation", "benchmark", "conversations"):
         connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{TABLES}/{name}.parquet'")
     return connection
 

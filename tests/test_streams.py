@@ -1,4 +1,7 @@
+import pytest
+
 from textassay.functions.patterns import PII_PATTERNS
+from textassay.operators import toxicity
 from textassay.operators.ingest import ingest
 from textassay.sources.jsonl import record_schema
 from textassay.streaming import jobs
@@ -47,3 +50,15 @@ def test_replayed_batch_overwrites_itself(spark, tmp_path):
         stream = jobs.read_record_stream(spark, str(tmp_path / "in"), record_schema())
         jobs.stream_flags(stream, TERMS, out, str(tmp_path / f"check{run}")).awaitTermination()
     assert jobs.stream_totals(spark, out).first()["n_rows"] == frame.count()
+
+
+@pytest.mark.parametrize("broadcast", [1_000_000, 0])
+def test_stream_flags_with_a_long_list(spark, tmp_path, monkeypatch, broadcast):
+    monkeypatch.setattr(toxicity, "INLINE_TERMS", 1)
+    monkeypatch.setattr(toxicity, "BROADCAST_TERMS", broadcast)
+    frame = write_batches(spark, str(tmp_path / "in"))
+    table = spark.createDataFrame([("bad", 0.9), ("worse", 0.1)], "term string, weight double")
+    stream = jobs.read_record_stream(spark, str(tmp_path / "in"), record_schema(), files_per_trigger=3)
+    jobs.stream_flags(stream, table, str(tmp_path / "out"), str(tmp_path / "check")).awaitTermination()
+    expected = jobs._totals(jobs.flag_rows(frame, TERMS)).first().asDict()
+    assert jobs.stream_totals(spark, str(tmp_path / "out")).first().asDict() == expected

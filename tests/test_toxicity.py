@@ -21,15 +21,38 @@ def test_scores(texts):
     assert [r["doc_id"] for r in X.toxicity_flagged(X.toxicity_score(texts("bad bad ok", "worse", "bad"), TERMS)).collect()] == [1]
 
 
-@pytest.mark.parametrize("broadcast_terms", [1_000, 1])
-def test_join_form_equals_inline_form(spark, texts, monkeypatch, broadcast_terms):
-    monkeypatch.setattr(X, "BROADCAST_TERMS", broadcast_terms)
+@pytest.mark.parametrize(("inline", "broadcast", "busy"), [(5_000, 9, 9), (0, 1_000, 9), (0, 1, 1_000_000), (0, 1, 5)])
+def test_all_forms_of_a_list_agree(spark, texts, monkeypatch, inline, broadcast, busy):
+    """Literals, hashes on every worker, a join by term, and one whose frequent terms are dealt to several tasks."""
+    monkeypatch.setattr(X, "INLINE_TERMS", inline)
+    monkeypatch.setattr(X, "BROADCAST_TERMS", broadcast)
+    monkeypatch.setattr(X, "BUSY_DOCS", busy)
     rng = random.Random(5)
     df = texts(*[" ".join(rng.choices(["bad", "worse", "xy", "the", "of"], k=rng.randint(0, 30))) for _ in range(60)], None)
     table = spark.createDataFrame([(t, w / 1000) for t, w in TERMS.items()], "term string, weight double")
     columns = ["doc_id", "tox_millis", "n_tokens", "tox_score"]
-    inline = sorted(X.toxicity_score(df, TERMS).select(columns).collect())
-    assert sorted(X.toxicity_score(df, table).select(columns).collect()) == inline
+    expected = sorted(X.toxicity_score(df, TERMS).select(columns).collect())
+    assert sorted(X.toxicity_score(df, table).select(columns).collect()) == expected
+    kinds = {(5_000, 9): dict, (0, 1_000): X.TermTable, (0, 1): type(table)}
+    assert isinstance(X.prepared(table), kinds[inline, broadcast])
+    assert X.toxicity_score(df.limit(0), table).collect() == []
+
+
+def test_long_lists(spark, texts):
+    """100,000 terms are searched without a shuffle; the scores are those of the few terms that occur."""
+    few = {f"w{i}": i % 1000 + 1 for i in range(0, 100_000, 7)}
+    table = spark.range(100_000).select(F.concat(F.lit("w"), "id").alias("term"), ((F.col("id") % 1000 + 1) / 1000).alias("weight"))
+    df = texts(*[" ".join(f"w{7 * i * k % 100_100}" for k in range(1, 40)) for i in range(50)], "", None)
+    terms = X.prepared(table)
+    assert isinstance(terms, X.TermTable)
+    scored = X.toxicity_score(df, terms)
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange") == df._jdf.queryExecution().executedPlan().toString().count("Exchange")
+    expected = {}
+    for r in df.collect():
+        tokens = (r["text"] or "").split()
+        expected[r["doc_id"]] = (sum(int(t[1:]) % 1000 + 1 if int(t[1:]) < 100_000 else 0 for t in tokens), len(tokens))
+    assert {r["doc_id"]: (r["tox_millis"], r["n_tokens"]) for r in scored.collect()} == expected and len(few) > 5_000
 
 
 def test_empty_lexicon(texts):

@@ -1,11 +1,12 @@
 """Ingest: HTML strip, final projection, document ids, fingerprints."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textassay.functions.text import html_strip
+from textassay.runtime import materialize
 
-# Copies of one row numbered within one work unit.
+# Rows of a file among which copies of one row are numbered within one work unit.
 COPIES_PER_UNIT = 10_000
 
 
@@ -20,27 +21,44 @@ def ingest(records: DataFrame, text_col: str = "text", keep: tuple[str, ...] = (
     )
 
 
-def assign_doc_id(records: DataFrame) -> DataFrame:
-    """Adds ``doc_key`` (from the content alone) and ``copy_no`` (0, 1, ... among identical rows).
+def row_digest(columns: list[str]) -> Column:
+    """128 bits of a row's content as 32 hexadecimal digits; NULL and the empty string differ."""
+    parts = [F.coalesce(F.md5(F.col(c).cast("string")), F.lit("-")) for c in columns]
+    return F.md5(F.concat(*parts))
+
+
+def assign_doc_id(table: DataFrame, content: tuple[str, ...], carried: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_key, copy_no, carried columns, file_name, row_index) of a stored table: ids for input without a key.
 
-    For input without a key; the two columns identify a row whatever the order or partitioning of
-    the input. Identical rows are interchangeable, so they are counted (with partial counts before
-    the shuffle) and written out again, many copies in several units, instead of being ranked.
+    ``doc_key`` comes from the ``content`` columns alone; ``copy_no`` numbers identical rows 0, 1, ... in order of file and
+    position. As identical rows are interchangeable, the set of ids does not depend on how the table is stored.
+
+    The content is digested where it is scanned: only digests, positions and the carried columns are shuffled. Copies are
+    numbered within work units (a run of ``COPIES_PER_UNIT`` rows of a file) and each unit starts after those before it,
+    so no task holds all copies of a row. The position leads back to the row without moving it (``with_doc_id``).
     """
-    content_cols = records.columns
-    counted = records.groupBy(*content_cols).agg(F.count("*").alias("n"))
-    parts = [F.coalesce(F.md5(F.col(c).cast("string")), F.lit("-")) for c in content_cols]
-    key = F.conv(F.substring(F.md5(F.concat(*parts)), 1, 15), 16, 10).cast("bigint")
-    units = F.floor((F.col("n") - 1) / F.lit(COPIES_PER_UNIT)).cast("bigint")
-    single = counted.where("n = 1").select(key.alias("doc_key"), F.lit(0).cast("bigint").alias("copy_no"), *content_cols)
-    unit = F.explode(F.sequence(F.lit(0).cast("bigint"), units)).alias("unit")
-    repeated = counted.where("n > 1").select(key.alias("doc_key"), "n", *content_cols, unit)
-    first = F.col("unit") * COPIES_PER_UNIT
-    last = F.least(first + COPIES_PER_UNIT, F.col("n")) - 1
-    copies = repeated.repartition("doc_key", "unit").select(
-        "doc_key", F.explode(F.sequence(first, last)).alias("copy_no"), *content_cols
+    at = [F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.row_index").alias("row_index")]
+    # One scan of the contents, and a table of some 60 bytes a row for all that follows.
+    keyed = materialize(table.select(row_digest(list(content)).alias("doc_key"), *carried, *at), "row-keys")
+    unit = F.floor(F.col("row_index") / F.lit(COPIES_PER_UNIT)).alias("unit")
+    counts = keyed.groupBy("doc_key", "file_name", unit).agg(F.count("*").alias("n"))
+    several = counts.groupBy("doc_key").agg(F.sum("n").alias("copies")).where("copies > 1").select("doc_key")
+    units = materialize(counts.join(several, "doc_key", "left_semi"), "copy-units")
+    earlier = Window.partitionBy("doc_key").orderBy("file_name", "unit").rowsBetween(Window.unboundedPreceding, -1)
+    starts = units.select("doc_key", "file_name", "unit", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start"))
+    # Rows without a start have no copy; every group of the window lies in one run of one file.
+    placed = keyed.withColumn("unit", unit).join(starts, ["doc_key", "file_name", "unit"], "left")
+    inside = Window.partitionBy("doc_key", "file_name", "unit").orderBy("row_index")
+    copy_no = F.coalesce("start", F.lit(0)) + F.row_number().over(inside) - 1
+    return placed.withColumn("copy_no", copy_no).select("doc_key", "copy_no", *carried, "file_name", "row_index")
+
+
+def with_doc_id(table: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of a stored table with ``doc_key`` and ``copy_no``, by position."""
+    at = [F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.row_index").alias("row_index")]
+    return table.select(*table.columns, *at).join(ids.select("doc_key", "copy_no", "file_name", "row_index"), ["file_name", "row_index"]).drop(
+        "file_name", "row_index"
     )
-    return single.unionByName(copies)
 
 
 def row_position_id(table: DataFrame, column: str = "row_id") -> DataFrame:
@@ -78,9 +96,34 @@ def corpus_fingerprint(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
 def schema_report(df: DataFrame, expected: dict[str, str]) -> DataFrame:
     """(ordinal, name, type, expected_type, status, n_values): declared against found schema, with non-NULL counts.
 
-    ``status`` is OK, TYPE (another type), EXTRA (not declared) or MISSING.
+    ``status`` is OK, TYPE (another type), EXTRA (not declared) or MISSING. Of a table in files, ``file_schema_report``
+    takes the counts from the footers.
     """
-    found = dict(df.dtypes)
+    return _schema_rows(df.agg(*[F.count(n).alias(n) for n in df.columns]), dict(df.dtypes), expected)
+
+
+def file_schema_report(spark: SparkSession, path: str, expected: dict[str, str]) -> DataFrame:
+    """``schema_report`` of Parquet files whose counts come from their footers: no value of any column is read.
+
+    Parquet counts are pushed into the scan by the newer reader only, which a session of its own turns on; the one row of
+    counts goes through the driver. Runs when called.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    table = own.read.parquet(path)
+    # The footers count the leaves of a nested column, not its rows: those columns are scanned.
+    flat = [n for n, t in table.dtypes if not t.startswith(("array", "map", "struct", "variant"))]
+    nested = [n for n in table.columns if n not in flat]
+    counted = {}
+    for source, names in ((table, flat), (spark.read.parquet(path), nested)):
+        if names:
+            counted |= source.agg(*[F.count(n).alias(n) for n in names]).first().asDict()
+    values = [F.lit(counted[n]).cast("bigint").alias(n) for n in table.columns]
+    return _schema_rows(spark.range(1).select(*values), dict(table.dtypes), expected)
+
+
+def _schema_rows(counts: DataFrame, found: dict[str, str], expected: dict[str, str]) -> DataFrame:
     names = list(found) + [n for n in expected if n not in found]
 
     def status(name: str) -> str:
@@ -90,7 +133,6 @@ def schema_report(df: DataFrame, expected: dict[str, str]) -> DataFrame:
             return "EXTRA"
         return "OK" if found[name] == expected[name] else "TYPE"
 
-    counts = df.agg(*[F.count(n).alias(n) for n in found])
     rows = [
         F.struct(
             F.lit(i).alias("ordinal"),

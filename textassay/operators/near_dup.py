@@ -3,8 +3,13 @@
 Rows that must share every partner (equal signatures, or equal normalised texts in exact mode) are
 first collapsed into one group with a copy count. Buckets and comparisons see one representative per
 group; counts of pairs follow from the copy counts, and the full list of document pairs is only
-spelled out when asked for. Groups and buckets of any size are cut into work units of bounded size,
-so none of them ever lands in a single task.
+spelled out when asked for.
+
+Buckets come in three sizes. In sparse ones every pair of groups is a candidate. In dense ones the words of the
+bands and a sketch of the signature travel along: a pair leaves the join once only, from the first bucket it shares,
+and only if the sketches do not rule it out. In crowded ones groups meet by block: signatures that may differ in
+d positions agree on one of d + 1 disjoint blocks, so a bucket falls apart into the values of the blocks. What is still
+crowded then, and groups of any size, is cut into work units of bounded size, so none ever lands in a single task.
 """
 
 from dataclasses import dataclass
@@ -12,8 +17,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textassay.functions.minhash import band_keys, bucket_keys, match_count, signature_udf, sketch_mismatches, sketch_words
-from textassay.functions.text import shingle_normalize, shingles_of
+from textassay.functions.minhash import (
+    HALF_MASK, band_keys, band_words, bucket_keys, match_count, shingle_hashes_udf, signature_udf, sketch_mismatches, sketch_words,
+)
+from textassay.functions.text import shingle_normalize
 from textassay.runtime import materialize, percent
 
 # Keys (16 bytes each) up to which a table of hot keys may be broadcast; beyond it the join is salted.
@@ -27,7 +34,8 @@ class NearDupParams:
     num_perm: int = 128
     threshold: float = 0.8
     bands: int = 16
-    unit_rows: int = 2_000  # rows of one bucket or group compared within one work unit
+    unit_rows: int = 2_000  # rows of one bucket or group compared within one work unit; larger buckets are crowded
+    dense_rows: int = 128  # groups of a bucket above which pairs are tested inside the join
 
     @property
     def rows_per_band(self) -> int:
@@ -142,46 +150,115 @@ def _pairs_within(
     return met.select(F.least("l", "r").alias(f"{row_id}_a"), F.greatest("l", "r").alias(f"{row_id}_b"))
 
 
+def _bucket_rows(groups: DataFrame, params: NearDupParams) -> DataFrame:
+    return groups.select("rep", F.posexplode(bucket_keys(band_words("signature", params.bands, params.rows_per_band))).alias("band", "bucket"))
+
+
 def _bucket_sizes(groups: DataFrame, params: NearDupParams) -> DataFrame:
     """(bucket, bucket_size) of the buckets that hold at least two groups."""
-    keys = groups.select(F.explode(bucket_keys("signature", params.bands, params.rows_per_band)).alias("bucket"))
-    sizes = keys.groupBy("bucket").agg(F.count("*").alias("bucket_size"))
+    sizes = _bucket_rows(groups, params).groupBy("bucket").agg(F.count("*").alias("bucket_size"))
     return materialize(sizes.where("bucket_size > 1"), "buckets")
 
 
-def _bucket_rows(groups: DataFrame, params: NearDupParams, *carried: Column) -> DataFrame:
-    keys = bucket_keys("signature", params.bands, params.rows_per_band)
-    return groups.select("rep", *carried, F.explode(keys).alias("bucket"))
+def _differ(word: str) -> Column:
+    return F.col(f"l_{word}").bitwiseXOR(F.col(f"r_{word}"))
+
+
+@dataclass(frozen=True)
+class _Blocks:
+    """Half bands as disjoint blocks: pairs with at most ``allowed`` differing positions agree on one of those left."""
+
+    params: NearDupParams
+    allowed: int
+
+    @property
+    def per_band(self) -> int:
+        return 2 if self.params.rows_per_band > 1 else 1
+
+    @property
+    def skipped(self) -> int:
+        """Bands whose blocks are not needed, counted from the one of the bucket, on which all of its pairs agree."""
+        return (self.params.bands * self.per_band - self.allowed - 1) // self.per_band
+
+    def _used(self, band: int) -> Column:
+        return F.pmod(F.lit(band) - F.col("l_band"), F.lit(self.params.bands)) >= self.skipped
+
+    def explode(self, rows: DataFrame, carried: list[str]) -> DataFrame:
+        """``rows`` (bucket, band, rep, words w0, w1, ...) under the keys of their blocks."""
+        bands = range(self.params.bands)
+        values = [F.shiftrightunsigned(F.col(f"w{b}"), 32) for b in bands], [F.col(f"w{b}").bitwiseAND(F.lit(HALF_MASK)) for b in bands]
+        blocks = [
+            F.struct(F.lit(b).alias("of"), F.xxhash64("bucket", F.lit(b), F.lit(side), values[side][b]).alias("block"), F.lit(2 * b + side).alias("block_no"))
+            for b in bands for side in range(self.per_band)
+        ]
+        far = F.filter(F.array(*blocks), lambda x: F.pmod(x["of"] - F.col("band"), F.lit(self.params.bands)) >= self.skipped)
+        return rows.select("rep", *carried, F.explode(far).alias("b")).select("rep", *carried, "b.block", "b.block_no")
+
+    def first_agreed(self) -> Column:
+        """Number of the first block on which the two sides of a join agree."""
+        found = []
+        for b in range(self.params.bands):
+            parts = F.shiftrightunsigned(_differ(f"w{b}"), 32), _differ(f"w{b}").bitwiseAND(F.lit(HALF_MASK))
+            found += [F.when((parts[side] == 0) & self._used(b), F.lit(2 * b + side)) for side in range(self.per_band)]
+        return F.coalesce(*found)
+
+
+def _candidates(groups: DataFrame, sizes: DataFrame, params: NearDupParams, carried: dict[str, Column], possible: Column | None = None,
+                allowed: int | None = None) -> DataFrame:
+    """(rep_a, rep_b): pairs of groups that share a bucket (``sizes`` has those of several groups) and are ``possible``, each once.
+
+    ``possible`` may compare the ``carried`` columns as l_<name> and r_<name>. With ``allowed``, pairs that differ in more
+    positions of the signature may be missing, which lets crowded buckets be searched by block.
+    """
+    bands = range(params.bands)
+    names = ["band", *[f"w{b}" for b in bands], *carried]
+    sparse = _bucket_rows(groups, params).join(sizes.where(F.col("bucket_size") <= params.dense_rows), "bucket")
+    if possible is not None and len(carried) <= 1:  # a single number is no burden in sparse buckets
+        few = sparse.join(groups.select("rep", *[c.alias(name) for name, c in carried.items()]), "rep")
+        ids = _pairs_within(few, "bucket", "rep", "bucket_size", params, list(carried), possible)
+    else:
+        ids = _pairs_within(sparse, "bucket", "rep", "bucket_size", params)
+    big = sizes.where(F.col("bucket_size") > params.dense_rows)
+    if big.limit(1).count() == 0:
+        return ids.distinct()
+
+    words = groups.select("rep", band_words("signature", params.bands, params.rows_per_band).alias("w"), *[c.alias(name) for name, c in carried.items()])
+    table = materialize(words.select("rep", *[F.get("w", F.lit(b)).alias(f"w{b}") for b in bands], *carried), "marks")
+    once = F.coalesce(*[F.when(_differ(f"w{b}") == 0, F.lit(b)) for b in bands]) == F.col("l_band")
+    tested = once if possible is None else once & possible
+    cold, hot = _split_lookup(_bucket_rows(groups, params), big, "bucket", "bucket_size", params)
+    ids = ids.unionByName(_pairs_within(cold.join(table, "rep"), "bucket", "rep", "bucket_size", params, names, tested))
+    if hot is None:
+        return ids.distinct()
+    crowded = hot.join(table, "rep")
+    blocks = None if allowed is None else _Blocks(params, allowed)
+    if blocks is None or blocks.skipped < 1:
+        return ids.unionByName(_pairs_within(crowded, "bucket", "rep", "bucket_size", params, names, tested)).distinct()
+    exploded = blocks.explode(crowded, names)
+    counts = exploded.groupBy("block").agg(F.count("*").alias("block_size"))
+    rows = _lookup(exploded, materialize(counts.where("block_size > 1"), "blocks"), "block", "block_size", params)
+    first = blocks.first_agreed() == F.col("l_block_no")
+    return ids.unionByName(_pairs_within(rows, "block", "rep", "block_size", params, [*names, "block_no"], first & tested)).distinct()
 
 
 def candidate_groups(groups: DataFrame, params: NearDupParams = DEFAULTS) -> DataFrame:
     """(rep_a, rep_b): pairs of groups that share a bucket."""
-    rows = _lookup(_bucket_rows(groups, params), _bucket_sizes(groups, params), "bucket", "bucket_size", params)
-    return _pairs_within(rows, "bucket", "rep", "bucket_size", params).distinct()
+    return _candidates(groups, _bucket_sizes(groups, params), params, {})
 
 
 def similar_groups(groups: DataFrame, params: NearDupParams = DEFAULTS) -> DataFrame:
     """(rep_a, rep_b, matches, copies_a, copies_b): candidate groups whose signatures agree often enough.
 
-    Ordinary buckets yield id pairs. In a crowded bucket most pairs would fail, so there a compact
-    sketch of the signature travels with the rows, and a pair leaves the join only if the sketches do
-    not rule it out. The pairs are then made unique and checked on the full signatures.
+    Inside dense buckets sketches rule out nearly all pairs that would fail; what is left is checked on the full signatures.
     """
-    sizes = _bucket_sizes(groups, params)
-    cold, hot = _split_lookup(_bucket_rows(groups, params), sizes, "bucket", "bucket_size", params)
-    ids = _pairs_within(cold, "bucket", "rep", "bucket_size", params)
-    if hot is not None:
-        words = [w.alias(f"w{i}") for i, w in enumerate(sketch_words("signature", params.num_perm))]
-        names = [f"w{i}" for i in range(len(words))]
-        _, crowded = _split_lookup(_bucket_rows(groups, params, *words), sizes, "bucket", "bucket_size", params)
-        mismatches = sketch_mismatches([F.col(f"l_{w}") for w in names], [F.col(f"r_{w}") for w in names])
-        possible = mismatches <= params.num_perm - params.min_matches
-        ids = ids.unionByName(_pairs_within(crowded, "bucket", "rep", "bucket_size", params, names, possible))
+    sketch = {f"s{i}": w for i, w in enumerate(sketch_words("signature", params.num_perm))}
+    mismatches = sketch_mismatches([F.col(f"l_{s}") for s in sketch], [F.col(f"r_{s}") for s in sketch])
+    allowed = params.num_perm - params.min_matches
+    ids = _candidates(groups, _bucket_sizes(groups, params), params, sketch, mismatches <= allowed, allowed)
     signatures = groups.select("rep", "signature", "copies")
     matches = match_count(F.col("signature_a"), F.col("signature_b"))
     return (
-        ids.distinct()
-        .join(signatures.toDF("rep_a", "signature_a", "copies_a"), "rep_a")
+        ids.join(signatures.toDF("rep_a", "signature_a", "copies_a"), "rep_a")
         .join(signatures.toDF("rep_b", "signature_b", "copies_b"), "rep_b")
         .select("rep_a", "rep_b", matches.alias("matches"), "copies_a", "copies_b")
         .where(F.col("matches") >= params.min_matches)
@@ -322,27 +399,29 @@ def near_dups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", par
 def near_dup_pairs_exact(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", params: NearDupParams = DEFAULTS) -> DataFrame:
     """(doc_a, doc_b, jaccard): candidates checked with the exact Jaccard similarity of their shingle sets.
 
-    Shingles are built once, for the representatives of groups that share a bucket. The similarity of
-    two sets is at most the ratio of their sizes, so pairs of too different sizes never leave the
-    bucket join.
+    Sets are sorted 64-bit hashes, made once for the representatives that share a bucket: their ids select the texts
+    (broadcast while provably few, so no text is moved). The similarity of two sets is at most the ratio of their sizes,
+    so pairs of too different sizes never leave the bucket join.
     """
     signed = sign(df, id_col, text_col, params, exact=True)
     groups = signature_groups(signed)
-    rows = _lookup(_bucket_rows(groups, params), _bucket_sizes(groups, params), "bucket", "bucket_size", params)
-    texts = df.select(F.col(id_col).alias("rep"), F.col(text_col).alias("text"))
-    normalized = texts.join(rows.select("rep").distinct(), "rep", "left_semi").select("rep", shingle_normalize("text").alias("norm"))
-    sets = normalized.select("rep", shingles_of("norm", params.n_gram).alias("shingles"))
-    sets = materialize(sets.withColumn("n", F.size("shingles")), "shingles")
+    sizes = _bucket_sizes(groups, params)
+    shared = _bucket_rows(groups, params).join(sizes, "bucket", "left_semi")
+    reps = materialize(shared.select("rep").distinct(), "shared")
+    wanted = F.broadcast(reps) if reps.count() <= BROADCAST_KEYS else reps
+    texts = df.select(F.col(id_col).alias("rep"), F.col(text_col).alias("text")).join(wanted, "rep", "left_semi")
+    sets = texts.select("rep", shingle_hashes_udf(params.n_gram)(shingle_normalize("text")).alias("hashes"))
+    sets = materialize(sets.withColumn("n", F.size("hashes")), "shingles")
 
     ratio = F.try_divide(F.least("l_n", "r_n"), F.greatest("l_n", "r_n"))
     possible = F.coalesce(ratio, F.lit(1.0)) >= params.threshold
-    sized = rows.join(sets.select("rep", "n"), "rep")
-    candidates = _pairs_within(sized, "bucket", "rep", "bucket_size", params, ["n"], possible).distinct()
+    sized = groups.select("rep", "signature").join(sets.select("rep", "n"), "rep")
+    ids = _candidates(sized, sizes, params, {"n": F.col("n")}, possible)
 
-    common = F.size(F.array_intersect("shingles_a", "shingles_b"))
+    common = F.size(F.array_intersect("hashes_a", "hashes_b"))
     scored = (
-        candidates.join(sets.toDF("rep_a", "shingles_a", "n_a"), "rep_a")
-        .join(sets.toDF("rep_b", "shingles_b", "n_b"), "rep_b")
+        ids.join(sets.toDF("rep_a", "hashes_a", "n_a"), "rep_a")
+        .join(sets.toDF("rep_b", "hashes_b", "n_b"), "rep_b")
         .select("rep_a", "rep_b", "n_a", "n_b", common.alias("common"))
         .withColumn("jaccard", F.coalesce(F.try_divide("common", F.col("n_a") + F.col("n_b") - F.col("common")), F.lit(1.0)))
         .select("rep_a", "rep_b", "jaccard")

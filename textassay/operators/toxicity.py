@@ -1,15 +1,29 @@
-"""Lexicon toxicity: the mean weight per token of a document."""
+"""Lexicon toxicity: the mean weight per token of a document.
 
+A list of terms is used in one of three forms, by its checked length (see ``prepared``): literals inside the expression, a
+broadcast table of term hashes that is searched in a narrow step, or a join by term.
+"""
+
+from collections.abc import Iterator
+from dataclasses import dataclass
+
+import numpy as np
+import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textassay.functions.text import snippet, tox_tokens
 from textassay.runtime import bind, materialize, percent
-from textassay.sources.lexicon import WEIGHT_SCALE, scaled_weight
+from textassay.sources.lexicon import WEIGHT_SCALE, inline_terms, scaled_weight
 
 THRESHOLD = 0.5
-# Terms up to which a lexicon table may be broadcast in the join form.
-BROADCAST_TERMS = 1_000_000
+# Terms up to which a lexicon becomes literals, and up to which it goes to every worker as 16 bytes a term.
+INLINE_TERMS = 5_000
+BROADCAST_TERMS = 4_000_000
+# Documents of one term that meet in one task of the join by term, and the most tasks a term is dealt to.
+BUSY_DOCS = 1_000_000
+MAX_PARTS = 10_000
 
 
 def score_column(millis: str = "tox_millis", tokens: str = "n_tokens") -> Column:
@@ -46,31 +60,102 @@ def token_sums(text_col: str, terms: dict[str, int]) -> Column:
     return bind(tox_tokens(text_col), sums)
 
 
-def toxicity_score(df: DataFrame, lexicon: dict[str, int] | DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Input columns plus ``tox_millis`` (sum of weights, in thousandths), ``n_tokens`` and ``tox_score``.
+@dataclass(frozen=True)
+class TermTable:
+    """Term hashes in order and their weights in thousandths, known to every worker."""
+
+    table: Broadcast
+
+    def sums(self, hashes: str) -> Column:
+        """Sum of the weights of the tokens whose hashes are given; a narrow Arrow step."""
+        table = self.table
+
+        @F.pandas_udf("bigint")
+        def add(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            import numpy
+            import pandas
+
+            keys, weights = table.value
+            for rows in batches:
+                sizes = numpy.array([len(r) for r in rows], numpy.int64)
+                flat = numpy.concatenate([numpy.zeros(0, numpy.int64), *rows])
+                at = numpy.minimum(numpy.searchsorted(keys, flat), len(keys) - 1)
+                hits = numpy.where(keys[at] == flat, weights[at], 0) if len(keys) else flat * 0
+                running = numpy.concatenate(([0], numpy.cumsum(hits)))
+                ends = numpy.cumsum(sizes)
+                yield pandas.Series(running[ends] - running[ends - sizes])
+
+        return add(hashes)
+
+
+def token_hashes(text_col: str) -> Column:
+    """A 64-bit hash of every token, in order."""
+    return F.transform(tox_tokens(text_col), lambda t: F.xxhash64(t))
 
-    ``lexicon`` is {term: thousandths} (see ``inline_terms``) or, for lists too long to inline, a
-    table (term, weight). With a table the ids must be unique, and the result has the id and the three
-    new columns only: texts stay where they are and are joined by whoever wants them.
+
+Terms = dict[str, int] | TermTable | DataFrame
+
+
+def prepared(lexicon: Terms) -> Terms:
+    """The form in which a lexicon is used, whatever its length; counts the terms of a table (term, weight).
+
+    Up to INLINE_TERMS become literals and up to BROADCAST_TERMS a table of hashes; a longer list, or one in which two terms
+    share a hash, stays a table to be joined. All give the same scores.
     """
-    if isinstance(lexicon, dict):
+    if not isinstance(lexicon, DataFrame):
+        return lexicon
+    if (few := inline_terms(lexicon, INLINE_TERMS)) is not None:
+        return few
+    rows = lexicon.select(F.xxhash64("term").alias("h"), scaled_weight().alias("w"))
+    if rows.limit(BROADCAST_TERMS + 1).count() > BROADCAST_TERMS:
+        return lexicon
+    found = rows.toPandas().sort_values("h")
+    keys, weights = found["h"].to_numpy(np.int64), found["w"].to_numpy(np.int64)
+    if (keys[1:] == keys[:-1]).any():
+        return lexicon
+    return TermTable(lexicon.sparkSession.sparkContext.broadcast((keys, weights)))
+
+
+def narrow_sums(df: DataFrame, terms: dict[str, int] | TermTable, text_col: str) -> DataFrame:
+    """``df`` with tox_millis and n_tokens; no explode, no join, no shuffle."""
+    if isinstance(terms, dict):
         # inline() also keeps later filters on the score from evaluating the tokens a second time.
-        summed = df.select("*", F.inline(F.array(token_sums(text_col, lexicon))))
-    else:
-        summed = _joined_sums(df, lexicon, id_col, text_col)
-    return summed.withColumn("tox_score", score_column())
+        return df.select("*", F.inline(F.array(token_sums(text_col, terms))))
+    hashed = df.withColumn("_hashes", token_hashes(text_col))
+    return hashed.withColumns({"tox_millis": terms.sums("_hashes"), "n_tokens": F.size("_hashes").cast("bigint")}).drop("_hashes")
+
+
+def toxicity_score(df: DataFrame, lexicon: Terms, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Input columns plus ``tox_millis`` (sum of weights, in thousandths), ``n_tokens`` and ``tox_score``.
+
+    ``lexicon`` is {term: thousandths}, a ``TermTable`` or a table (term, weight) of any length. With a table the ids must be
+    unique, and the result has the id and the three new columns only: texts stay where they are and are joined by whoever
+    wants them.
+    """
+    if isinstance(lexicon, DataFrame):
+        return joined_sums(df, lexicon, id_col, text_col).withColumn("tox_score", score_column())
+    return narrow_sums(df, lexicon, text_col).withColumn("tox_score", score_column())
 
 
-def _joined_sums(df: DataFrame, lexicon: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def joined_sums(df: DataFrame, lexicon: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, tox_millis, n_tokens); each text is tokenised once, and only ids, terms and sums are shuffled."""
-    weights = lexicon.select("term", scaled_weight().alias("w"))
-    # A document without tokens keeps one row with a NULL term.
+    terms = prepared(lexicon)
+    if not isinstance(terms, DataFrame):
+        return narrow_sums(df.select(id_col, text_col), terms, text_col).select(id_col, "tox_millis", "n_tokens")
+    # Both sides are shuffled by term: the tokens of each document are counted before. A document without tokens keeps one
+    # row with a NULL term.
+    weights = terms.select("term", scaled_weight().alias("w"))
     tokens = df.select(id_col, F.explode_outer(tox_tokens(text_col)).alias("term"))
-    if weights.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS:
-        weighed = tokens.join(F.broadcast(weights), "term", "left").withColumn("n", F.when(F.col("term").isNotNull(), 1).otherwise(0))
-    else:
-        # Both sides are shuffled by term: count the tokens of each document before.
-        weighed = tokens.groupBy(id_col, "term").agg(F.count("term").alias("n")).join(weights, "term", "left")
+    counted = tokens.groupBy(id_col, "term").agg(F.count("term").alias("n"))
+    # A term of very many documents would fill one task: rows are dealt on term and part of the id, and the list is repeated
+    # for each part of the terms that need it.
+    busy = materialize(counted.groupBy("term").agg(F.count("*").alias("docs")).where(F.col("docs") > BUSY_DOCS), "busy-terms")
+    parts = F.least(F.ceil(F.col("docs") / F.lit(BUSY_DOCS)), F.lit(MAX_PARTS)).cast("int")
+    spread = busy.join(weights, "term").select("term", "w", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), parts.alias("parts"))
+    of_busy = F.broadcast(busy.select("term", parts.alias("parts")))  # at most one term for each BUSY_DOCS rows
+    dealt = counted.join(of_busy, "term", "left").withColumn("part", F.pmod(F.xxhash64(id_col), F.coalesce("parts", F.lit(1))).cast("int"))
+    rest = weights.join(F.broadcast(busy.select("term")), "term", "left_anti").select("term", "w", F.lit(0).alias("part"))
+    weighed = dealt.join(rest.unionByName(spread.select("term", "w", "part")), ["term", "part"], "left")
     return weighed.groupBy(id_col).agg(
         F.sum(F.coalesce("w", F.lit(0)) * F.col("n")).cast("bigint").alias("tox_millis"), F.sum("n").cast("bigint").alias("n_tokens")
     )

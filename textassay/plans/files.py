@@ -13,8 +13,8 @@ from textassay.operators.quality import quality_report
 from textassay.operators.toxicity import toxicity_distribution, toxicity_rate
 from textassay.plans.audit import Audit, audit_features, audit_of
 from textassay.sources.jsonl import CORRUPT_COLUMN, read_jsonl, record_schema
-from textassay.sources.lexicon import default_terms, inline_terms, lexicon_table, read_lexicon
-from textassay.sources.manifest import ingest_manifest, write_manifest
+from textassay.sources.lexicon import default_terms, lexicon_table, read_lexicon
+from textassay.sources.manifest import IngestCounts, ingest_manifest, write_manifest
 from textassay.sources.scorecards import write_scorecard
 
 
@@ -44,22 +44,22 @@ def audit_files(spark: SparkSession, records: str, out: str, at: datetime, lexic
     audited/      the same with id, reject reason, scores and flags (the kept rows have no reason)
     near_dups/    summary, members, groups, similar groups; with ``list_pairs`` every pair
     reports/      quality, toxicity, personal data
-    manifest/     files, sizes, hashes, totals, number of lines that are not JSON (they take no part in the audit)
+    manifest/     files, sizes, hashes; rows, lines that are not JSON (they take no part in the audit) and declared columns
+                  without any value, all counted while ``ingested`` is written
     scorecards/   one document per run
 
-    ``lexicon`` is a JSON object of term weights; ``raw_ratio`` takes the HTML ratio on the raw text.
+    ``lexicon`` is a JSON object of term weights, of any length; ``raw_ratio`` takes the HTML ratio on the raw text.
     """
-    lines = read_jsonl(spark, records, record_schema(text_col), keep_corrupt=True)
+    declared = (text_col, "url")
+    counts = IngestCounts(declared, CORRUPT_COLUMN)
+    lines = counts.observe(read_jsonl(spark, records, record_schema(text_col), keep_corrupt=True))
     ingest(lines, text_col, ("url", CORRUPT_COLUMN)).write.mode("overwrite").parquet(f"{out}/ingested")
     stored = spark.read.parquet(f"{out}/ingested")
-    bad = F.col(CORRUPT_COLUMN).isNotNull()
-    corrupt_rows = stored.where(bad).count()
-    write_manifest(ingest_manifest(spark, records), stored.where(~bad).drop(CORRUPT_COLUMN), f"{out}/manifest", corrupt_rows)
-    ingested = written_row_id(stored).where(~bad).drop(CORRUPT_COLUMN)
+    names = [c for c in stored.columns if c != CORRUPT_COLUMN]
+    write_manifest(ingest_manifest(spark, records), names, counts, f"{out}/manifest")
+    ingested = written_row_id(stored).where(F.col(CORRUPT_COLUMN).isNull()).drop(CORRUPT_COLUMN)
 
-    terms = inline_terms(lexicon_table(read_lexicon(spark, lexicon))) if lexicon else default_terms()
-    if terms is None:
-        raise ValueError("the lexicon is too long to inline: score with toxicity_score and a table")
+    terms = lexicon_table(read_lexicon(spark, lexicon)) if lexicon else default_terms()
     features = audit_features(
         ingested, terms, raw_col="text" if raw_ratio else None, params=params, carried=("url", "text", "text_clean")
     )

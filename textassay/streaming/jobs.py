@@ -6,11 +6,11 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from textassay.functions.patterns import PII_PATTERNS
-from textassay.operators.ingest import ingest
+from textassay.operators.ingest import ingest, written_row_id
 from textassay.operators.pii import pii_any, pii_flags
 from textassay.operators.quality import RULES, quality_reject_reason
-from textassay.operators.toxicity import THRESHOLD, toxicity_score
-from textassay.runtime import spread
+from textassay.operators.toxicity import THRESHOLD, Terms, prepared, toxicity_score
+from textassay.runtime import materialize, spread
 
 TOTALS = ("n_rows", *[f"drop_{r}" for r in RULES], "kept", *[p.column for p in PII_PATTERNS], "pii_any", "toxic")
 
@@ -34,8 +34,16 @@ def stream_ingest(records: DataFrame, out: str, checkpoint: str, text_col: str =
     )
 
 
-def flag_rows(records: DataFrame, terms: dict[str, int], text_col: str = "text") -> DataFrame:
-    """All row-local results of the batch operators: reject reason, toxicity and personal data."""
+def flag_rows(records: DataFrame, lexicon: Terms, text_col: str = "text") -> DataFrame:
+    """All row-local results of the batch operators: reject reason, toxicity and personal data.
+
+    A lexicon too long for a broadcast is joined; the rows are then written once, so their positions can serve as ids.
+    """
+    terms = prepared(lexicon)
+    if isinstance(terms, DataFrame):
+        stored = written_row_id(materialize(records, "batch"), "_row")
+        scored = stored.join(toxicity_score(stored, terms, "_row", text_col), "_row").drop("_row")
+        return pii_any(pii_flags(quality_reject_reason(scored, text_col), text_col))
     judged = quality_reject_reason(records, text_col)
     return pii_any(pii_flags(toxicity_score(judged, terms, text_col=text_col), text_col))
 
@@ -52,11 +60,13 @@ def _totals(flagged: DataFrame) -> DataFrame:
     )
 
 
-def stream_flags(records: DataFrame, terms: dict[str, int], out: str, checkpoint: str, text_col: str = "text") -> StreamingQuery:
+def stream_flags(records: DataFrame, lexicon: Terms, out: str, checkpoint: str, text_col: str = "text") -> StreamingQuery:
     """Flag arriving records and keep one row of totals per micro-batch.
 
-    Rows and totals of a batch go to a folder named by its id, so a replayed batch overwrites itself.
+    Rows and totals of a batch go to a folder named by its id, so a replayed batch overwrites itself. ``lexicon`` is
+    {term: thousandths} or a table (term, weight) of any length, which is prepared once.
     """
+    terms = prepared(lexicon)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = f"{out}/rows/batch_id={batch_id}"
