@@ -282,7 +282,7 @@ def _search(top: int):
 def search(index: DataFrame, items: DataFrame, top: int = TOP) -> DataFrame:
     """(item, rank, doc_id, score): the best ``top`` documents for each row of ``items`` (item: bigint, unique; terms: array<string>).
 
-    Runs jobs when called: the terms of the items are counted.
+    Runs jobs when called: query terms, their weights and the totals of the index are made first.
     """
     size = items.count()
     blocks = max(1, -(-size // QUERY_BLOCK))
@@ -293,15 +293,16 @@ def search(index: DataFrame, items: DataFrame, top: int = TOP) -> DataFrame:
     def sent(df: DataFrame) -> DataFrame:
         return F.broadcast(df) if few else df
 
-    totals = index.where("term is null").agg(F.sum("n_docs").alias("all_docs"), F.sum("n_terms").alias("all_terms"))
+    totals = index.where("term is null").agg(F.sum("n_docs").alias("docs"), F.sum("n_terms").alias("terms")).first()
+    n_docs, n_terms = F.lit(totals["docs"] or 0).cast("bigint"), F.lit(totals["terms"] or 0).cast("bigint")
     wanted = index.where("term is not null").join(sent(terms.select("term").distinct()), "term", "left_semi")
     df = wanted.groupBy("term").agg(F.sum("df").cast("bigint").alias("df"))
-    ratio = (F.lit(2) * F.col("all_docs") + 2).cast("double") / (F.lit(2) * F.col("df") + 1).cast("double")
-    weights = materialize(df.join(F.broadcast(totals)).select("term", F.floor(F.lit(1000) * F.log(ratio)).alias("w")), "query-weights")
+    ratio = (2 * n_docs + 2).cast("double") / (2 * F.col("df") + 1).cast("double")
+    weights = materialize(df.select("term", F.floor(1000 * F.log(ratio)).alias("w")), "query-weights")
     lists = index.where("term is not null").join(sent(terms.join(weights, "term")), "term")
     packed = asked.groupBy("block").agg(F.collect_list(F.struct("item", "terms")).alias("items"))
     every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))).alias("block")
-    shards = index.where("term is null").select("shard", "docs", "sizes", every).join(packed, "block").join(F.broadcast(totals))
+    shards = index.where("term is null").select("shard", "docs", "sizes", every, n_docs.alias("all_docs"), n_terms.alias("all_terms")).join(packed, "block")
     columns = ("shard", "block", "term", "w", "blocks", "starts", "tops", "top_tf", "top_n", "payload")
     rows = lists.select(*columns).withColumn("top_m", F.lit(None).cast("array<int>"))
     groups = rows.unionByName(shards, allowMissingColumns=True).groupBy("shard", "block")
