@@ -58,10 +58,15 @@ def bundled(grams: np.ndarray, weights: np.ndarray, letters: np.ndarray, heads:
     return out
 
 
+def _shared_symbol(point: int) -> int:
+    """One of the symbols beyond a-z, by a hash of the code point: neighbours in an alphabet spread over all of them."""
+    return 27 + (point * 2654435761 % 2**32 >> 16) % (SYMBOLS - 27)
+
+
 def _symbol_table() -> np.ndarray:
     """The symbol of each code point below 0x3000; those above are letters or not by ``str.isalpha``."""
     points = np.arange(0x3000)
-    table = np.array([27 + p * 7 % (SYMBOLS - 27) if chr(p).isalpha() else 0 for p in points], np.uint8)
+    table = np.array([_shared_symbol(p) if chr(p).isalpha() else 0 for p in points.tolist()], np.uint8)
     table[97:123] = np.arange(1, 27)
     return table
 
@@ -74,7 +79,7 @@ def gram_counts(text: str, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         points = np.frombuffer(text[i : i + BLOCK].lower().encode("utf-32-le", "surrogatepass"), "<u4")
         symbols = table[np.minimum(points, len(table) - 1)].astype(np.int64)
         for at in np.flatnonzero(points >= len(table)) if points.max(initial=0) >= len(table) else ():
-            symbols[at] = 27 + int(points[at]) * 7 % (SYMBOLS - 27) if chr(points[at]).isalpha() else 0
+            symbols[at] = _shared_symbol(int(points[at])) if chr(points[at]).isalpha() else 0
         symbols = np.concatenate((carried, symbols))
         keep = np.concatenate(([True], (symbols[1:] > 0) | (symbols[:-1] > 0)))
         symbols = symbols[keep]
