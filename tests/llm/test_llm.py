@@ -436,3 +436,29 @@ def test_a_hot_vector_meets_itself_once(spark, monkeypatch, pieces):
         # There is one list only, so nothing is missed, and ties go to smaller ids.
         assert [(v, pytest.approx(scores[v], abs=1e-12)) for v in np.lexsort((np.arange(900), -scores.round(9)))[:20].tolist()] == [(v, s) for _, v, s in rows]
         assert [n for n, _, _ in rows] == list(range(1, 21))
+
+
+@pytest.mark.parametrize(("first", "size"), [(0x0430, 32), (0x03B1, 25)])
+def test_languages_of_other_alphabets(spark, first, size):
+    """Two invented languages that share one alphabet beyond a-z are told apart, from short texts."""
+    rng = np.random.default_rng(first)
+    letters = [chr(first + i) for i in range(size) if chr(first + i).isalpha()]
+    rows = []
+    for lang in ("one", "two"):
+        parts = ["".join(rng.choice(letters, rng.integers(2, 4))) for _ in range(40)]
+        for i in range(200):
+            text = " ".join("".join(rng.choice(parts, rng.integers(1, 4))) for _ in range(8))
+            rows.append((len(rows), text, lang if i % 2 else None, lang))
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, truth string").repartition(2)
+    said = language_id.identify(table, table).where("lang is null").collect()
+    assert sum(r["lang_pred"] == r["truth"] for r in said) >= 0.9 * len(said)
+    assert len(set(language_id._symbol_table()[[ord(c) for c in letters]])) > 12
+
+
+def test_packed_fingerprints(spark):
+    rng = np.random.default_rng(4)
+    rows = [([],)] + [(sorted(int(b) * 65536 + int(rng.integers(0, 65536)) for b in rng.choice(128, n, replace=False)),) for n in (1, 2, 60, 128, 128)]
+    rows += [([0],), ([127 * 65536 + 65535],), ([63 * 65536, 64 * 65536 + 0x8000],)]
+    table = spark.createDataFrame(rows, "cells array<int>")
+    for r in table.select("cells", fingerprints.unpacked(fingerprints.packed(fingerprints.F.col("cells"))).alias("back")).collect():
+        assert r["back"] == r["cells"]
