@@ -53,8 +53,7 @@ def empty(spark):
     return spark.createDataFrame([], SCHEMA)
 
 
-def test_repeats_match_brute_force(docs, empty):
-    rows = [(r["doc_id"], (r["text"] or "").encode()) for r in docs.collect()]
+def removed_by_brute_force(rows):
     seen = {}
     for _, raw in rows:
         for i in range(len(raw) - 199):
@@ -68,10 +67,38 @@ def test_repeats_match_brute_force(docs, empty):
         kept = bytes(b for b, g in zip(raw, gone, strict=True) if not g)
         spans = int((np.diff(np.append(0, gone.astype(int))) == 1).sum())
         expected.append((doc_id, len(raw), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest()))
-    assert sorted(map(str, map(tuple, repeats.remove_repeats(docs).collect()))) == sorted(map(str, expected))
+    return sorted(map(str, expected))
+
+
+def test_repeats_match_brute_force(docs, empty):
+    rows = [(r["doc_id"], (r["text"] or "").encode()) for r in docs.collect()]
+    assert sorted(map(str, map(tuple, repeats.remove_repeats(docs).collect()))) == removed_by_brute_force(rows)
     assert repeats.remove_repeats(empty).count() == 0
 
 
+def test_repeats_with_a_crowded_phrase_and_no_ids(spark, monkeypatch):
+    """One passage in all documents, shorter and longer than the window, next to texts of their own; no ids, or one id."""
+    monkeypatch.setattr(repeats, "CROWDED", 16)
+    shared, rng = prose(21, 40), np.random.default_rng(22)
+    rows = []
+    for i in range(400):
+        passage = shared[: int(rng.integers(120, len(shared)))] if i % 2 else shared[int(rng.integers(0, 60)) :][:190]
+        rows.append((None if i % 3 else 7, f"{prose(1000 + i, 25)} {passage} {prose(5000 + i, 25)}"))
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = sorted(map(str, map(tuple, repeats.remove_repeats(frame).collect())))
+    assert got == removed_by_brute_force([(k, t.encode()) for k, t in rows])
+    windows = spark.read.parquet(*[str(p) for p in _scratch(spark).glob("repeat-windows-*")])
+    assert windows.groupBy("w1", "w2").count().where("count > 1").count() > 50
+
+
+def _scratch(spark):
+    from pathlib import Path
+
+    from textassay.runtime import scratch_dir
+
+    return Path(scratch_dir(spark))
+
+
 def test_repeats_across_blocks(spark, monkeypatch):
     monkeypatch.setattr(repeats, "BLOCK", 512)
     raw = np.frombuffer((prose(5, 900) + LONG).encode(), np.uint8)

@@ -12,15 +12,18 @@ per position where the parse already knows the answer:
    segments with equal classes are equal one by one, so all windows of a class of 2 or more are repeated.
 3. *Order of the dictionary.* Segments of a class of 1 can only equal others at the same trigger with the same phrase behind
    it. These few are brought together by that phrase, along with one member of each larger class, their
-   suffixes are put in order by their window, and equal neighbours are repeated.
+   suffixes are put in order by their window, and equal neighbours are repeated. Where more than ``CROWDED`` of
+   them share a phrase, they are not brought together: Spark counts the 128-bit hashes of their single windows.
 
 Shuffled are phrase hashes, class hashes (128 bits) and the contexts of step 3; texts are dealt out once, into
 a bucketed table in the shared folder, and joined there without moving again. A phrase in a third of all
 documents is pre-aggregated by task and document, and the joins on it can be split. Work and memory per text go
-by blocks, so a text may be of any length.
+by blocks, so a text may be of any length. Rows are keyed by a hash of id and text, so that rows without an id, or
+with one id, do not meet; texts that share a key share what is known of their phrases, which changes no result.
 
 Defined cases: null text counts as empty; texts below ``WINDOW`` bytes keep everything; rows stay rows, so a repeated row
-of at least that length loses all of it; an empty table gives an empty table. Other columns are not read.
+of at least that length loses all of it; null and repeated ids stay as they are; an empty table gives an empty table. Other
+columns are not read.
 """
 
 import hashlib
@@ -42,7 +45,7 @@ MEAN_PHRASE = 32
 KEY = 100  # longest part of a phrase that is counted
 BLOCK = 1 << 21
 MARGIN = 2 * WINDOW
-NULL_ID = -(2**63)
+CROWDED = 4096  # segments of one phrase that one task takes at once
 _U = np.uint64
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _tables: dict[int, list[np.ndarray]] = {}
@@ -76,7 +79,8 @@ class Block:
     def prefix(self, which: int) -> np.ndarray:
         if which not in self.sums:
             inverse = _powers(_BASES[which], self.n + 1)[1]
-            self.sums[which] = np.append(_U(0), np.cumsum(self.values * inverse[: self.n]))
+            sums = self.sums[which] = np.zeros(self.n + 1, np.uint64)
+            np.cumsum(self.values * inverse[: self.n], out=sums[1:])
         return self.sums[which]
 
     @cached_property
@@ -87,7 +91,8 @@ class Block:
             return np.zeros(0, int)
         sums = self.prefix(0)
         rolling = (sums[TRIGGER:] - sums[:count]) * _powers(_BASES[0], self.n + 1)[0][:count]
-        return np.flatnonzero(_mix(rolling) % _U(MEAN_PHRASE) == 0)
+        # The highest bits of a product depend on all bits below.
+        return np.flatnonzero(rolling * _U(_BASES[1]) < _U(2**64 // MEAN_PHRASE))
 
     def hash(self, a: np.ndarray, b: np.ndarray, which: int = 0) -> np.ndarray:
         """Hashes of the ranges [a, b), as signed numbers."""
@@ -117,34 +122,36 @@ class Block:
         alone = np.ones(len(h), bool) if not len(known) else known[np.minimum(np.searchsorted(known, h), len(known) - 1)] != h
         first, last = np.maximum(b[alone] - WINDOW, low), np.minimum(a[alone], high - 1)
         hit = first <= last
-        dead = np.zeros(high - low + 1, np.int64)
-        np.add.at(dead, first[hit] - low, 1)
-        np.add.at(dead, last[hit] + 1 - low, -1)
+        size = high - low + 1
+        dead = np.bincount(first[hit] - low, minlength=size) - np.bincount(last[hit] + 1 - low, minlength=size)
         return np.flatnonzero(np.cumsum(dead[:-1]) == 0) + low
 
-    def segments(self, starts: np.ndarray, counts: np.ndarray | None = None):
-        """(start, count, group) of the segments of sorted window starts; with ``counts``, the groups of given segments.
-
-        The group is a hash that equal windows share; 0 marks windows without a trigger, which are segments of their own.
-        """
+    def _placed(self, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For window starts: number and position of the first trigger behind, and how near it is."""
         after = np.searchsorted(self.t, starts)
         t = np.append(self.t, self.n + WINDOW)[after]
-        kind = np.where(t - starts <= KEY, 2, np.where(t + TRIGGER <= starts + WINDOW, 1, 0))
-        if counts is None:
-            if not len(starts):
-                return starts, starts, starts
-            new = np.ones(len(starts), bool)
-            new[1:] = (np.diff(starts) > 1) | (np.diff(after) > 0) | (np.diff(kind) != 0) | (kind[1:] == 0)
-            at = np.flatnonzero(new)
-            counts = np.diff(np.append(at, len(starts)))
-            starts, t, kind, after = starts[at], t[at], kind[at], after[at]
+        return after, t, np.where(t - starts <= KEY, 2, np.where(t + TRIGGER <= starts + WINDOW, 1, 0))
+
+    def segments(self, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(start, count) of the segments of sorted window starts."""
+        if not len(starts):
+            return starts, starts
+        after, _, kind = self._placed(starts)
+        new = np.ones(len(starts), bool)
+        new[1:] = (np.diff(starts) > 1) | (np.diff(after) > 0) | (np.diff(kind) != 0) | (kind[1:] == 0)
+        at = np.flatnonzero(new)
+        return starts[at], np.diff(np.append(at, len(starts)))
+
+    def groups(self, starts: np.ndarray) -> np.ndarray:
+        """For the starts of segments a hash that equal windows share; 0 for windows without a trigger, segments of their own."""
+        after, t, kind = self._placed(starts)
         group = np.zeros(len(starts), np.int64)
         full, part = kind == 2, kind == 1
         following = np.append(self.t, [self.n + 2 * WINDOW] * 2)[after + 1]
         end = np.minimum(np.minimum(following + TRIGGER, t + KEY), self.n)
         group[full] = self.hash(t[full], end[full])
         group[part] = self.hash(t[part], t[part] + TRIGGER) ^ 0x55
-        return starts, counts, group
+        return group
 
 
 def blocks(raw: np.ndarray) -> Iterator[tuple[int, int, int, np.ndarray]]:
@@ -175,21 +182,33 @@ def text_segments(raw: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.nd
     for offset, low, high, part in blocks(raw):
         if len(part) >= WINDOW:
             block = Block(part)
-            starts, counts, _ = block.segments(block.survivors(low, high, known))
+            starts, counts = block.segments(block.survivors(low, high, known))
             out.append((starts + offset, counts))
     return np.concatenate([a for a, _ in out]), np.concatenate([b for _, b in out])
 
 
-def classes(raw: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(z1, z2, group) of the given segments."""
-    out = [(np.zeros(0, np.int64),) * 3]
+def classes(raw: np.ndarray, starts: np.ndarray, counts: np.ndarray, wanted: tuple[str, ...] = ("z1", "z2", "g")) -> list[np.ndarray]:
+    """Hashes of the given segments: z1 and z2 of all that their windows hold, g of the phrase behind them."""
+    out = [[np.zeros(0, np.int64)] * len(wanted)]
     for offset, low, high, part in blocks(raw):
         mine = (starts >= offset + low) & (starts < offset + high)
         if mine.any():
             block = Block(part)
-            a, n = starts[mine] - offset, counts[mine]
-            ends = a + n - 1 + WINDOW
-            out.append((block.hash(a, ends), block.hash(a, ends, 1), block.segments(a, n)[2]))
+            a = starts[mine] - offset
+            ends = a + counts[mine] - 1 + WINDOW
+            out.append([block.groups(a) if name == "g" else block.hash(a, ends, int(name == "z2")) for name in wanted])
+    return [np.concatenate(x) for x in zip(*out, strict=True)]
+
+
+def segment_windows(raw: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of every window of the given segments, segment by segment."""
+    out = [[np.zeros(0, np.int64)] * 2]
+    for offset, low, high, part in blocks(raw):
+        mine = (starts >= offset + low) & (starts < offset + high)
+        if mine.any():
+            block, n = Block(part), counts[mine]
+            at = np.arange(n.sum()) + np.repeat(starts[mine] - offset - np.cumsum(n) + n, n)
+            out.append([block.hash(at, at + WINDOW, which) for which in (0, 1)])
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
@@ -245,7 +264,7 @@ def _emit_phrases(batches):
 def _emit_segments(batches):
     for batch in batches:
         texts, known = batch.column("text").to_pylist(), _arrays(batch, "known")
-        rows = {"k": batch.column("k"), "text": batch.column("text"), "n_bytes": [], "starts": [], "counts": []}
+        rows = {c: batch.column(c) for c in ("k", "doc_id", "text")} | {"n_bytes": [], "starts": [], "counts": []}
         for text, hashes in zip(texts, known, strict=True):
             raw = _bytes(text)
             starts, counts = text_segments(raw, np.sort(hashes))
@@ -255,24 +274,25 @@ def _emit_segments(batches):
         yield _rows(rows)
 
 
-def _emit_classes(batches):
-    for batch in batches:
-        found = [
-            classes(_bytes(text), starts, counts)
-            for text, starts, counts in zip(batch.column("text").to_pylist(), _arrays(batch, "starts"), _arrays(batch, "counts"), strict=True)
-        ]
-        yield _flat(batch.column("k").to_pylist(), {name: [f[i] for f in found] for i, name in enumerate(("z1", "z2", "g"))})
+def _emit_classes(*wanted: str):
+    def emit(batches):
+        for batch in batches:
+            texts = zip(batch.column("text").to_pylist(), _arrays(batch, "starts"), _arrays(batch, "counts"), strict=True)
+            found = [classes(_bytes(text), starts, counts, wanted) for text, starts, counts in texts]
+            yield _flat(batch.column("k").to_pylist(), {name: [f[i] for f in found] for i, name in enumerate(wanted)})
+
+    return emit
 
 
 def _emit_contexts(batches):
     for batch in batches:
         out = {"g": [], "k": [], "z1": [], "twice": [], "context": []}
-        columns = [batch.column("k").to_pylist(), batch.column("text").to_pylist(), *(_arrays(batch, c) for c in ("starts", "counts", "many", "shown"))]
-        for k, text, starts, counts, many, shown in zip(*columns, strict=True):
+        columns = [batch.column("k").to_pylist(), batch.column("text").to_pylist(), *(_arrays(batch, c) for c in ("starts", "counts", "many", "shown", "wide"))]
+        for k, text, starts, counts, many, shown, wide in zip(*columns, strict=True):
             raw = _bytes(text)
-            z1, _, group = classes(raw, starts, counts)
+            z1, group = classes(raw, starts, counts, ("z1", "g"))
             several = np.isin(z1, many)
-            for i in np.flatnonzero((group != 0) & (~several | np.isin(z1, shown))):
+            for i in np.flatnonzero((group != 0) & (~several | np.isin(z1, shown)) & ~np.isin(z1, wide)):
                 out["g"].append(int(group[i]))
                 out["k"].append(k)
                 out["z1"].append(int(z1[i]))
@@ -282,8 +302,26 @@ def _emit_contexts(batches):
         yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), types, strict=True)], names=list(out))
 
 
+def _emit_windows(batches):
+    """Every window of the segments of crowded groups: its hashes, where it is, and 2 where its segment is known to recur."""
+    for batch in batches:
+        ids, parts = [], {"w1": [], "w2": [], "z1": [], "low": [], "n": []}
+        columns = [batch.column("k").to_pylist(), batch.column("text").to_pylist(), *(_arrays(batch, c) for c in ("starts", "counts", "many", "wide"))]
+        for k, text, starts, counts, many, wide in zip(*columns, strict=True):
+            raw = _bytes(text)
+            (z1,) = classes(raw, starts, counts, ("z1",))
+            mine = np.isin(z1, wide)
+            n = counts[mine]
+            ids.append(k)
+            low = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            values = (*segment_windows(raw, starts[mine], n), np.repeat(z1[mine], n), low, np.repeat(np.where(np.isin(z1[mine], many), 2, 1), n))
+            for column, value in zip(parts.values(), values, strict=True):
+                column.append(value.astype(np.int64))
+        yield _flat(ids, parts)
+
+
 def _order_suffixes(batches):
-    """Rows come sorted by group; a group is worked on when the next one begins or the input ends."""
+    """Rows come sorted by group, of at most CROWDED rows; one is worked on when the next begins or the input ends."""
     held = {"g": [], "k": [], "z1": [], "twice": [], "context": []}
 
     def flush(n: int):
@@ -313,13 +351,13 @@ def _order_suffixes(batches):
 
 def _removed(batches):
     for batch in batches:
-        rows = {"k": batch.column("k"), "n_bytes": batch.column("n_bytes"), "n_removed": [], "n_spans": [], "kept_sha256": []}
+        rows = {c: batch.column(c) for c in ("doc_id", "n_bytes")} | {"n_removed": [], "n_spans": [], "kept_sha256": []}
         names = ("starts", "counts", "many", "z1s", "lows", "highs")
         for text, starts, counts, many, z1s, lows, highs in zip(batch.column("text").to_pylist(), *(_arrays(batch, c) for c in names), strict=True):
             raw = _bytes(text)
             gone = np.zeros(len(raw) + 1, np.int32)
             if len(starts):
-                z1 = classes(raw, starts, counts)[0]
+                (z1,) = classes(raw, starts, counts, ("z1",))
                 several = np.isin(z1, many)
                 np.add.at(gone, starts[several], 1)
                 np.add.at(gone, (starts + counts - 1 + WINDOW)[several], -1)
@@ -340,38 +378,49 @@ def _removed(batches):
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256), one row per row. Runs jobs when called."""
     spark = df.sparkSession
-    docs = df.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(NULL_ID)).alias("k"), whole(text_col).alias("text"))
+    docs = df.select(F.col(id_col).cast("bigint").alias("doc_id"), whole(text_col).alias("text"))
+    docs = docs.select(F.xxhash64("doc_id", "text").alias("k"), "doc_id", "text")
 
     # 1. The dictionary: which phrases occur more than once. A phrase goes out once per text.
-    phrases = docs.mapInArrow(_emit_phrases, "k bigint, h bigint, n bigint")
+    phrases = docs.select("k", "text").mapInArrow(_emit_phrases, "k bigint, h bigint, n bigint")
     common = phrases.groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select("h")
     known = phrases.select("k", "h").join(common, "h").groupBy("k").agg(F.collect_set("h").alias("known"))
 
-    # Texts with their open segments, in buckets by id: the joins below do not move them again.
-    met = docs.join(known, "k", "left").mapInArrow(_emit_segments, "k bigint, text string, n_bytes bigint, starts array<bigint>, counts array<bigint>")
+    # Texts with their open segments, in buckets by key: the joins below do not move them again.
+    found = "k bigint, doc_id bigint, text string, n_bytes bigint, starts array<bigint>, counts array<bigint>"
+    met = docs.join(known, "k", "left").mapInArrow(_emit_segments, found)
     name, buckets = f"repeats_{uuid.uuid4().hex}", int(spark.conf.get("spark.sql.shuffle.partitions"))
     met.write.bucketBy(buckets, "k").sortBy("k").option("path", scratch_path(spark, name)).option("compression", "zstd").saveAsTable(name)
     texts = spark.table(name)
 
-    # 2. The parse: classes of segments. Ids tell which member of a class shows its context in step 3.
-    open_texts = texts.where(F.size("starts") > 0)
-    rows = open_texts.select("k", "text", "starts", "counts").mapInArrow(_emit_classes, "k bigint, z1 bigint, z2 bigint, g bigint")
+    # 2. The parse: classes of segments. Keys tell which member of a class shows its context in step 3.
+    open_texts = texts.where(F.size("starts") > 0).select("k", "text", "starts", "counts")
+    rows = open_texts.mapInArrow(_emit_classes("z1", "z2", "g"), "k bigint, z1 bigint, z2 bigint, g bigint")
     sized = materialize(rows.groupBy("z1", "z2", "g").agg(F.count("*").alias("n"), F.min("k").alias("shown_by")), "repeat-classes")
-    lone_groups = sized.where("n = 1 and g != 0").select("g").distinct().withColumn("asked", F.lit(True))
-    several = sized.where("n > 1").join(lone_groups, "g", "left").select("z1", "z2", F.when(F.col("asked"), F.col("shown_by")).alias("shown_by"))
-    found = rows.select("k", "z1", "z2").join(several, ["z1", "z2"])
-    marks = found.groupBy("k").agg(F.collect_set("z1").alias("many"), F.collect_set(F.when(F.col("k") == F.col("shown_by"), F.col("z1"))).alias("shown"))
+    groups = sized.where("g != 0").groupBy("g").agg(F.count_if(F.col("n") == 1).alias("lone"), F.count("*").alias("members")).where("lone > 0")
+    groups = groups.select("g", (F.col("members") > CROWDED).alias("crowded"))
+    several, crowded = F.col("n") > 1, F.coalesce("crowded", F.lit(False))
+    asked = F.when(several & F.col("crowded").isNotNull(), F.col("shown_by"))
+    marked = sized.join(groups, "g", "left").where(several | crowded)
+    marked = marked.select("z1", "z2", several.alias("several"), asked.alias("shown_by"), crowded.alias("crowded"))
+    rows = open_texts.mapInArrow(_emit_classes("z1", "z2"), "k bigint, z1 bigint, z2 bigint").join(marked, ["z1", "z2"])
+    shows = F.col("k") == F.col("shown_by")
+    chosen = {"many": F.col("several"), "shown": shows, "wide": F.col("crowded") & (~F.col("several") | shows)}
+    marks = rows.groupBy("k").agg(*[F.collect_set(F.when(which, F.col("z1"))).alias(c) for c, which in chosen.items()])
     marks = materialize(marks, "repeat-marks")
 
     # 3. The dictionary's suffixes: windows of segments that no other segment equals as a whole.
-    placed = open_texts.join(marks, "k", "left")
-    contexts = placed.select("k", "text", "starts", "counts", "many", "shown").mapInArrow(
-        _emit_contexts, "g bigint, k bigint, z1 bigint, twice boolean, context binary"
-    )
-    ranges = contexts.repartition("g").sortWithinPartitions("g").mapInArrow(_order_suffixes, "k bigint, z1 bigint, low bigint, high bigint")
+    spans = "k bigint, z1 bigint, low bigint, high bigint"
+    contexts = open_texts.join(marks, "k", "left").mapInArrow(_emit_contexts, "g bigint, k bigint, z1 bigint, twice boolean, context binary")
+    ranges = contexts.repartition("g").sortWithinPartitions("g").mapInArrow(_order_suffixes, spans)
+    wide = marks.where(F.size("wide") > 0)
+    if not wide.isEmpty():
+        windows = open_texts.join(wide, "k").mapInArrow(_emit_windows, "k bigint, w1 bigint, w2 bigint, z1 bigint, low bigint, n bigint")
+        windows = materialize(windows, "repeat-windows")
+        repeated = windows.groupBy("w1", "w2").agg(F.sum("n").alias("times")).where("times > 1").select("w1", "w2")
+        hits = windows.where("n = 1").join(repeated, ["w1", "w2"])
+        ranges = ranges.unionByName(hits.select("k", "z1", "low", (F.col("low") + 1).alias("high")))
     parts = F.sort_array(F.collect_list(F.struct("z1", "low", "high"))).alias("parts")
     ranges = ranges.groupBy("k").agg(parts).select("k", *[F.col(f"parts.{c}").alias(f"{c}s") for c in ("z1", "low", "high")])
-    done = texts.join(marks.select("k", "many"), "k", "left").join(ranges, "k", "left").mapInArrow(
-        _removed, "k bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
-    )
-    return done.select(F.when(F.col("k") != NULL_ID, F.col("k")).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    done = texts.join(marks.select("k", "many"), "k", "left").join(ranges, "k", "left")
+    return done.mapInArrow(_removed, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
