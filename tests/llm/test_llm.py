@@ -361,6 +361,65 @@ def test_secrets(docs, empty):
     assert clean[9] == 'x [SECRET]" y' and clean[0] is None and clean[5] == texts[5] and clean[14] == "[SECRET] alone"
 
 
+def all_spans(text):
+    """Base spans and entropy spans by plain Python."""
+    from math import log2
+
+    base = [(int(x.split(":")[1]), [k for k, *_ in secret_scan.KINDS].index(x.split(":")[0]), int(x.split(":")[2])) for x in base_spans(text).split(",") if x]
+    out = list(base)
+    for m in re.finditer(secret_scan.CANDIDATE, text):
+        part, a, b = m.group(), m.start(), m.end()
+        allowed = [r"^[0-9+/_=-]+$", r"^[/+_=-]*[A-Za-z]?[a-z]*([/+_=-]+[A-Za-z]?[a-z]*)*$", r"^[A-Z]+([/+_=-]+[A-Z]*)*$", secret_scan.ALLOWED[3], "(?i)example"]
+        if any(re.search(p, part) for p in allowed) or any(x < b and a < y for x, _, y in base):
+            continue
+        limit = next(v for p, v in secret_scan.LIMITS if re.search(p, part))
+        windows = [part[i : i + 20] for i in range(len(part) - 19)]
+        if max(-sum(w.count(c) / 20 * log2(w.count(c) / 20) for c in set(w)) for w in windows) >= limit - 1e-9:
+            out.append((a, len(secret_scan.KINDS), b))
+    kinds = [*[k for k, *_ in secret_scan.KINDS], "entropy"]
+    return ",".join(f"{kinds[no]}:{a}:{b}" for a, no, b in sorted(out))
+
+
+def test_spans_match_plain_python(spark):
+    """Random mixtures with more matches than a chunk holds, overlaps of kinds, and matches that are too short."""
+    rng = np.random.default_rng(31)
+    letters = [*"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"]
+
+    def word(n, of=letters):
+        return "".join(of[i] for i in rng.integers(0, len(of), n))
+
+    def piece():
+        return [
+            lambda: word(int(rng.integers(1, 40))), lambda: word(int(rng.integers(20, 60)), [*"0123456789abcdef"]), lambda: "AKIA" + word(int(rng.integers(1, 24)), [*"ABIK0123"]),
+            lambda: "token=" + word(int(rng.integers(1, 30))), lambda: "Secret: '" + word(7) + "'", lambda: "naïve 🎉", lambda: "token=token:abcdefgh", lambda: "lower/case/path/words/only",
+            lambda: "EXAMPLE" + word(30), lambda: "AAAA" * 8, lambda: "",
+        ][int(rng.integers(0, 11))]()
+
+    texts = [" ".join(piece() for _ in range(n)) for n in (1, 3, 30, 300, 3000) for _ in range(4)] + [None, "", "token=a " * 1200]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in secret_scan.scan_report(frame).collect():
+        assert r["spans"] == all_spans(texts[r["doc_id"]] or ""), r["doc_id"]
+    for r in secret_scan.redact(frame).collect():
+        text, out, end = texts[r["doc_id"]], "", 0
+        for a, b in [map(int, x.split(":")[1:]) for x in all_spans(text or "").split(",") if x]:
+            out, end = out + (text[end:a] + "[SECRET]" if a >= end else ""), max(end, b)
+        assert r["text"] == (None if text is None else out + text[end:])
+
+
+def test_secrets_in_very_long_runs(spark):
+    """A megabyte of base64 or of hexadecimal words takes seconds: time does not grow with the square."""
+    import base64
+    import time
+
+    raw = np.random.default_rng(32).bytes(750_000)
+    texts = [base64.b64encode(raw).decode(), " ".join(raw[i : i + 13].hex() for i in range(0, 500_000, 13))]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    begun = time.monotonic()
+    rows = {r["doc_id"]: r for r in secret_scan.scan_report(frame).collect()}
+    assert time.monotonic() - begun < 60
+    assert rows[0]["spans"] == f"entropy:0:{len(texts[0])}" and rows[1]["n_hex"] == len(texts[1].split()) - (len(texts[1].split()[-1]) < 24)
+
+
 def test_entropy_is_the_largest_of_all_windows(spark):
     from math import log2
 
