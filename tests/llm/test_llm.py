@@ -171,6 +171,37 @@ def test_html(spark, empty):
         right += rows[r["page_id"]]["text"] == "\n".join(b for b in want if b)
         assert rows[r["page_id"]]["n_chars"] == len(rows[r["page_id"]]["text"])
     assert right >= 0.9 * table.count()
+    assert html_extraction.main_texts(empty.selectExpr("doc_id page_id", "source url", "text html")).count() == 0
+
+
+@pytest.mark.parametrize("taught", [True, False])
+def test_html_of_other_pages(spark, taught):
+    """Deep class lists, adverts in inline elements, comments by other names; also when no page can be taught from."""
+    given = [r["html"] for r in spark.read.parquet(f"{TABLES}/pages.parquet").select("html").collect()] if taught else []
+    model, s = html_extraction.teach(given), html_extraction.SENTENCES
+    deep = "".join(f'<div class="flex w-full px-4 py-2 mx-auto max-w-screen bg-white text-gray rounded shadow lg l{i}">' for i in range(5))
+    article, want = f"<article><p>{s[0]} {s[1]}</p>%s<p>{s[2]} {s[3]}</p></article>", f"{s[0]} {s[1]}\n{s[2]} {s[3]}"
+    pages = {
+        article % "": want,
+        article % '<ins class="adsbygoogle">Buy our soap now</ins>': want,
+        article % '<span class="advert">Buy our soap now</span>': want,
+        article % "" + '<div id="disqus_thread"><p>I liked this one.</p></div>': want,
+        article % "" + '<div class="responses"><p>I liked this one.</p></div>': want,
+        f"<article>{deep}<p>{s[0]} {s[1]}</p><p>{s[2]} {s[3]}</p>{'</div>' * 5}</article>": want,
+        f'<article><p>{s[0]} <span class="hl">marked</span> {s[1]}</p></article>': f"{s[0]} marked {s[1]}",
+    }
+    assert html_extraction.extract(model, [f"<html><body>{p}</body></html>" for p in pages]) == list(pages.values())
+
+
+def test_html_scan_is_linear():
+    import time
+
+    pages = ["<a " * 350_000, "<" * 1_000_000 + "<!--", "<div>" * 200_000 + "x", "<div>x</p>" * 100_000, "<b><p>x" * 140_000, "<![CDATA[" * 110_000 + ">", "<a '\" " * 160_000 + ">"]
+    for page in pages:
+        begun = time.monotonic()
+        html_extraction.leaf_blocks(page)
+        assert time.monotonic() - begun < 10, page[:20]
+    assert [t for _, t, _ in html_extraction.leaf_blocks("a <![CDATA[ b > c ]]> d < e <!-- f > --> g")] == ["a d < e g"]
 
 
 def test_block_gradient_is_right():

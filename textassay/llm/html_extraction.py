@@ -1,24 +1,27 @@
 """Main text of web pages by a recurrent block labeller.
 
 A page is read as the sequence of its leaf blocks. Each block has the hashed tokens of its tag path (tag names, words of
-class, id, role and itemprop of its ancestors), the hashed words of its text, and a few figures. A numpy
+class, id, role and itemprop of all its ancestors), the hashed words of its text, and a few figures. Inline elements that carry
+such words count for a block whose text lies in them as a whole. Pages are scanned in linear time. A numpy
 bidirectional LSTM reads the whole sequence, so every block is judged with the page around it.
 
 There are no labels for pages. The labeller is taught on a bounded sample (``SAMPLE`` pages by hash of the id):
 their paragraphs are set into layouts drawn at random (main text in article, main or named containers; menus, headers,
 sidebars, notices, adverts, forms, comments and footers around and within it), whose blocks are known by
 construction, along with the sampled pages as they are, whose blocks are labelled by the plain meaning of their
-elements. Extraction then runs page by page in Arrow batches, pages of like length together.
+elements. Where there are fewer than ``LEAST`` pages to teach from, layouts around built-in sentences make up for them. Extraction then runs page by page in Arrow batches, pages of like length together.
 
 Defined cases: null or empty html, and pages without a main block, give an empty text; broken and unclosed tags are
 read on to the end; a page of any length is read whole; rows stay rows, and an empty table gives an empty table.
-Columns other than the ids, url and html are not read. Of a block's ancestors the nearest 24 count as features.
+Columns other than the ids, url and html are not read.
 """
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from typing import NamedTuple
 from zlib import crc32
 
 import numpy as np
@@ -34,13 +37,28 @@ PATH_SLOTS, WORD_SLOTS = 2048, 1024
 PATH_SIZE, WORD_SIZE, HIDDEN = 16, 6, 20
 FIGURES = 5
 EPOCHS = 12
-DEPTH = 24
+LEAST = 120
+SENTENCES = (
+    "The river rose for three days before anyone thought to move the boats.",
+    "She measured the beams twice and wrote the numbers on the wall.",
+    "Most of the town had left by then, and the rest were packing.",
+    "A warm wind came over the hills and dried the fields within a week.",
+    "Nobody could say who had built the bridge or when.",
+    "The museum keeps the original drawings, which are shown once a year.",
+    "In winter the road is closed, and letters arrive by train.",
+    "He explained the method slowly, with an example for each step.",
+    "Prices fell in spring; by autumn they were where they had been.",
+    "The committee met on Tuesday and agreed on very little.",
+    "Two of the engines were tested again, with the same result.",
+    "It takes about an hour to walk from the station to the old mill.",
+)
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>"
     r"|<(?P<close>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>(?:[^'\">]|\"[^\"]*\"|'[^']*')*)>|<(?P<close2>/?)(?P<name2>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest2>[^>]*)>",
     re.S,
 )
+_BOGUS = re.compile(r"(?P<close>)(?P<name>)(?P<name2>)<![^>]*>")
 _ATTRIBUTE = re.compile(r"\b(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _NAME = re.compile(r"[a-z0-9]+")
 # Elements, as fixed classes of HTML.
@@ -53,43 +71,84 @@ INLINE_ELEMENTS = frozenset(
 CLOSED_BY_NEXT = {"li": "li", "dt": "dt dd", "dd": "dt dd", "tr": "tr td th", "td": "td th", "th": "td th", "p": "p"}
 
 
-def leaf_blocks(page: str) -> list[tuple[tuple[str, ...], str, int]]:
-    """(path tokens, text, characters within links) of the blocks of a page that have a text, in page order."""
-    out: list[tuple[tuple[str, ...], str, int]] = []
-    stack: list[tuple[str, tuple[str, ...]]] = [("", ())]
+class Path(NamedTuple):
+    """What is known of the elements around a text: hashed tokens of all of them, the last token, and two plain meanings."""
+
+    slots: frozenset[int] = frozenset()
+    leaf: str = ""
+    inside: bool = False
+    outside: bool = False
+
+    def below(self, name: str, words: list[str], inline: bool) -> "Path":
+        tokens = words if inline else [name, *words]
+        slots = {crc32(t.encode("utf-8", "surrogatepass")) % PATH_SLOTS for t in tokens}
+        return Path(
+            self.slots if slots <= self.slots else self.slots | slots, tokens[-1],
+            self.inside or not INSIDE.isdisjoint(tokens), self.outside or not OUTSIDE.isdisjoint(tokens),
+        )
+
+
+# Plain meanings of elements and class names, from which the sampled pages are labelled.
+INSIDE = frozenset({"article", "main"})
+OUTSIDE = frozenset({"nav", "header", "footer", "aside", "form"} | {"." + w for w in ("ad", "ads", "advert", "sidebar", "menu", "comments", "comment", "cookie", "footer", "notice", "promo")})
+
+
+def leaf_blocks(page: str) -> list[tuple[Path, str, int]]:
+    """(path, text, characters within links) of the blocks of a page that have a text, in page order."""
+    out: list[tuple[Path, str, int]] = []
+    # Name, path, and depth of the nearest element at or below that is not inline.
+    stack: list[tuple[str, Path, int]] = [("", Path(), 0)]
+    opened: Counter[str] = Counter()
     hidden = links = linked = 0
     pieces: list[str] = []
+    around: Path | None = None  # the path that all pieces with a text share; None before the first one
+    mixed = False
     at, n = 0, len(page)
+    last_end, last_section, last_comment = page.rfind(">"), page.rfind("]]>"), page.rfind("<!--")
 
     def close() -> None:
-        nonlocal linked
+        nonlocal linked, around, mixed
         if pieces:
             text = " ".join("".join(pieces).split())
             if text:
-                out.append((stack[-1][1], text, linked))
+                out.append((stack[stack[-1][2]][1] if mixed or around is None else around, text, linked))
             pieces.clear()
-        linked = 0
+        linked, around, mixed = 0, None, False
 
     def say(raw: str) -> None:
-        nonlocal linked
+        nonlocal linked, around, mixed
         if raw and not hidden:
             text = entities.unescape(raw) if "&" in raw else raw
             pieces.append(text)
             if links:
                 linked += len(text)
+            if not text.isspace():
+                mixed = mixed or (around is not None and around is not stack[-1][1])
+                around = stack[-1][1]
 
     def pop() -> None:
         nonlocal hidden, links
         name = stack.pop()[0]
+        opened[name] -= 1
         hidden -= name in HIDDEN_ELEMENTS
         links -= name == "a"
 
     while at < n:
-        found = _TOKEN.search(page, at)
-        if found is None:
+        start = page.find("<", at)
+        if start < 0 or start > max(last_end, last_comment):
             say(page[at:])
             break
-        say(page[at : found.start()])
+        found = None
+        if start < last_end or page.startswith("<!--", start):
+            if start > last_section and page.startswith("<![CDATA[", start):
+                found = _BOGUS.match(page, start)
+            else:
+                found = _TOKEN.match(page, start)
+        if found is None:
+            say(page[at : start + 1])
+            at = start + 1
+            continue
+        say(page[at:start])
         at = found.end()
         name = (found["name"] or found["name2"] or "").lower()
         if not name:
@@ -100,7 +159,7 @@ def leaf_blocks(page: str) -> list[tuple[tuple[str, ...], str, int]]:
         elif name == "br" and not hidden:
             pieces.append(" ")
         if found["close"] or found["close2"]:
-            if any(s[0] == name for s in reversed(stack)):
+            if opened[name] > 0:
                 while stack[-1][0] != name:
                     pop()
                 pop()
@@ -109,22 +168,17 @@ def leaf_blocks(page: str) -> list[tuple[tuple[str, ...], str, int]]:
             continue
         rest = found["rest"] or found["rest2"] or ""
         if name in CLOSED_BY_NEXT or not inline:
-            closes = CLOSED_BY_NEXT.get(name, "p").split()
-            depth = len(stack) - 1
-            while depth and stack[depth][0] in INLINE_ELEMENTS:
-                depth -= 1
-            if depth and stack[depth][0] in closes:
+            depth = stack[-1][2]
+            if depth and stack[depth][0] in CLOSED_BY_NEXT.get(name, "p").split():
                 while len(stack) > depth:
                     pop()
-        words = [name]
-        for quoted, single, bare in _ATTRIBUTE.findall(rest):
-            words += ["." + w for w in _NAME.findall((quoted or single or bare).lower())]
+        words = ["." + w for quoted, single, bare in _ATTRIBUTE.findall(rest) for w in _NAME.findall((quoted or single or bare).lower())]
         parent = stack[-1][1]
-        # Inline elements add nothing to the path; a block keeps the nearest of its ancestors' tokens.
-        path = parent if inline else (*parent, *words)[-3 * DEPTH :]
+        path = parent if inline and not words else parent.below(name, words, inline)
         if rest.endswith("/") and name in ("svg", "path", "iframe"):
             continue
-        stack.append((name, path))
+        stack.append((name, path, stack[-1][2] if inline else len(stack)))
+        opened[name] += 1
         hidden += name in HIDDEN_ELEMENTS
         links += name == "a"
         if name in RAW_ELEMENTS:
@@ -135,13 +189,13 @@ def leaf_blocks(page: str) -> list[tuple[tuple[str, ...], str, int]]:
     return out
 
 
-@lru_cache(maxsize=1 << 16)
-def _path_slots(path: tuple[str, ...]) -> tuple[int, ...]:
-    leaf = ("leaf:" + path[-1],) if path else ()
-    return tuple(sorted({crc32(t.encode("utf-8", "surrogatepass")) % PATH_SLOTS for t in (*path, *leaf)})) or (0,)
+@lru_cache(maxsize=1 << 12)
+def _path_slots(path: Path) -> tuple[int, ...]:
+    leaf = {crc32(("leaf:" + path.leaf).encode("utf-8", "surrogatepass")) % PATH_SLOTS} if path.leaf else set()
+    return tuple(sorted(path.slots | leaf)) or (0,)
 
 
-def inputs(blocks: list[tuple[tuple[str, ...], str, int]]) -> tuple[list[tuple[int, ...]], list[np.ndarray], np.ndarray]:
+def inputs(blocks: list[tuple[Path, str, int]]) -> tuple[list[tuple[int, ...]], list[np.ndarray], np.ndarray]:
     """Path slots, word slots and figures of each block of a page."""
     paths, words, figures = [], [], np.zeros((len(blocks), FIGURES), np.float32)
     for i, (path, text, linked) in enumerate(blocks):
@@ -268,9 +322,9 @@ _PARTS = {
     "header": ["header", 'div class="header"', 'div id="masthead"', 'div class="site-header banner"', 'div role="banner"'],
     "side": ["aside", 'div class="sidebar"', 'div class="related"', 'div class="widget"', 'section class="recommended"', 'div role="complementary"'],
     "notice": ['div class="cookie-notice"', 'div class="notice"', 'div id="consent"', 'div class="alert banner"', 'div class="cookie-banner" role="dialog"', 'p class="notice"'],
-    "ad": ['div class="ad"', 'div class="advert"', 'div class="sponsored"', 'div class="promo"', 'ins class="adsbygoogle"', 'aside class="ad"', 'div class="ads banner"', 'div class="advertisement"'],
+    "ad": ['div class="ad"', 'div class="advert"', 'div class="sponsored"', 'div class="promo"', 'ins class="adsbygoogle"', 'aside class="ad"', 'div class="ads banner"', 'div class="advertisement"', 'span class="advert"', 'span class="ad"', 'a class="sponsored"'],
     "form": ["form", 'form class="newsletter"', 'div class="subscribe"', 'form class="search"', 'form id="login"'],
-    "comments": ['section class="comments"', 'div id="comments"', 'div class="comment-list"', 'ol class="discussion"', 'section class="comments reader"'],
+    "comments": ['section class="comments"', 'div id="comments"', 'div class="comment-list"', 'ol class="discussion"', 'section class="comments reader"', 'div id="disqus_thread"', 'div class="responses"'],
     "footer": ["footer", 'div class="footer"', 'div id="footer"', 'div role="contentinfo"', 'div class="site-footer copyright"'],
 }
 
@@ -329,32 +383,38 @@ def drawn_layout(paragraphs: list[str], rng: np.random.Generator) -> str:
     return f"<html><head><title>{say(2, 8)}</title><style>p{{}}</style></head><body>{''.join(before)}{body}{''.join(after)}{tail}"
 
 
-def plain_labels(blocks: list[tuple[tuple[str, ...], str, int]]) -> np.ndarray:
+def plain_labels(blocks: list[tuple[Path, str, int]]) -> np.ndarray:
     """Labels of a real page by the plain meaning of its elements."""
-    outside = {"nav", "header", "footer", "aside", "form"} | {"." + w for w in ("ad", "ads", "advert", "sidebar", "menu", "comments", "comment", "cookie", "footer", "notice", "promo")}
-    inside = {"article", "main"}
-    return np.array([bool(inside & {*path}) and not outside & {*path} for path, _, _ in blocks], np.float32)
+    return np.array([path.inside and not path.outside for path, _, _ in blocks], np.float32)
 
 
 def teach(pages: list[str], seed: int = 13) -> BlockLabeller:
     """A labeller taught on the given pages and on layouts drawn around their paragraphs."""
     rng = np.random.default_rng(seed)
     examples, labels = [], []
+    taught = 0
+
+    def add_layouts(texts: list[str]) -> None:
+        for _ in range(2):
+            some = [texts[i] for i in rng.permutation(len(texts))[: int(rng.integers(1, 12))]]
+            drawn = leaf_blocks(drawn_layout(some, rng))
+            labels.append(np.array([text.startswith("\x01") for _, text, _ in drawn], np.float32))
+            examples.append(inputs([(path, text.replace("\x01", "") or " ", linked) for path, text, linked in drawn]))
+
     for page in pages:
         blocks = leaf_blocks(page)
         if not blocks:
             continue
+        taught += 1
         plain = plain_labels(blocks)
         if plain.any():
             examples += [inputs(blocks)] * 3
             labels += [plain] * 3
         texts = [text.replace("\x01", "") for (_, text, _), main in zip(blocks, plain, strict=True) if main or len(text.split()) > 3] or [blocks[0][1]]
-        for _ in range(2):
-            some = [texts[i] for i in rng.permutation(len(texts))[: int(rng.integers(1, 12))]]
-            drawn = leaf_blocks(drawn_layout(some, rng))
-            labels.append(np.array([text.startswith("\x01") for _, text, _ in drawn], np.float32))
-            examples.append(inputs([(path, text.replace("\x01", "") or " ", linked) for path, text, linked in drawn]))
-    return BlockLabeller().fit(examples, labels) if examples else BlockLabeller()
+        add_layouts(texts)
+    for _ in range(LEAST - taught):
+        add_layouts([" ".join(SENTENCES[i] for i in rng.permutation(len(SENTENCES))[: int(rng.integers(1, 5))]) for _ in range(int(rng.integers(1, 9)))])
+    return BlockLabeller().fit(examples, labels)
 
 
 def extract(model: BlockLabeller, pages: list[str], batch: int = 64) -> list[str]:
