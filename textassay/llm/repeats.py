@@ -45,7 +45,7 @@ MEAN_PHRASE = 32
 KEY = 100  # longest part of a phrase that is counted
 BLOCK = 1 << 21
 MARGIN = 2 * WINDOW
-CROWDED = 4096  # segments of one phrase that one task takes at once
+CROWDED = 16_384  # segments of one phrase that one task takes at once: at most some 100 MB with the hashes of their windows
 _U = np.uint64
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _tables: dict[int, list[np.ndarray]] = {}
@@ -379,7 +379,8 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256), one row per row. Runs jobs when called."""
     spark = df.sparkSession
     docs = df.select(F.col(id_col).cast("bigint").alias("doc_id"), whole(text_col).alias("text"))
-    docs = docs.select(F.xxhash64("doc_id", "text").alias("k"), "doc_id", "text")
+    # 40 bits travel lighter than 64, and keys may coincide.
+    docs = docs.select(F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 24).alias("k"), "doc_id", "text")
 
     # 1. The dictionary: which phrases occur more than once. A phrase goes out once per text.
     phrases = docs.select("k", "text").mapInArrow(_emit_phrases, "k bigint, h bigint, n bigint")
@@ -398,11 +399,13 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = open_texts.mapInArrow(_emit_classes("z1", "z2", "g"), "k bigint, z1 bigint, z2 bigint, g bigint")
     sized = materialize(rows.groupBy("z1", "z2", "g").agg(F.count("*").alias("n"), F.min("k").alias("shown_by")), "repeat-classes")
     groups = sized.where("g != 0").groupBy("g").agg(F.count_if(F.col("n") == 1).alias("lone"), F.count("*").alias("members")).where("lone > 0")
-    groups = groups.select("g", (F.col("members") > CROWDED).alias("crowded"))
-    several, crowded = F.col("n") > 1, F.coalesce("crowded", F.lit(False))
-    asked = F.when(several & F.col("crowded").isNotNull(), F.col("shown_by"))
-    marked = sized.join(groups, "g", "left").where(several | crowded)
-    marked = marked.select("z1", "z2", several.alias("several"), asked.alias("shown_by"), crowded.alias("crowded"))
+    groups = materialize(groups.select("g", (F.col("members") > CROWDED).alias("crowded")), "repeat-groups")
+    # A class of 2 or more is asked for if a class of 1 shares its phrase; classes of 1 matter where the phrase is crowded, and
+    # there is at most one such phrase for each CROWDED classes.
+    several = sized.where("n > 1").join(groups, "g", "left")
+    several = several.select("z1", "z2", F.when(F.col("crowded").isNotNull(), F.col("shown_by")).alias("shown_by"), F.coalesce("crowded", F.lit(False)).alias("crowded"))
+    lone = sized.where("n = 1").join(groups.where("crowded").select("g"), "g").select("z1", "z2")
+    marked = several.withColumn("several", F.lit(True)).unionByName(lone.withColumns({"several": F.lit(False), "crowded": F.lit(True)}), allowMissingColumns=True)
     rows = open_texts.mapInArrow(_emit_classes("z1", "z2"), "k bigint, z1 bigint, z2 bigint").join(marked, ["z1", "z2"])
     shows = F.col("k") == F.col("shown_by")
     chosen = {"many": F.col("several"), "shown": shows, "wide": F.col("crowded") & (~F.col("several") | shows)}
