@@ -135,19 +135,19 @@ def cells_text(cells: Column) -> Column:
 def fingerprint_report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next), one row per row."""
     texts = edited_texts(df, id_col, text_col)
-    found = signatures(texts, ["k", "nth"], ["text", "edited"])
-    facts = texts.select("k", "nth", "next_k", F.length("text").cast("bigint").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"))
-    none = F.array().cast("array<int>")
-    signed = facts.join(found, ["k", "nth"], "left").withColumns(
-        {"packed_own": packed(F.coalesce("text_cells", none)), "packed_edit": packed(F.coalesce("edited_cells", none))}
-    )
-    signed = materialize(signed.drop("text_cells", "edited_cells"), "fingerprints")
+    cells = signatures(texts, ["k", "nth"], ["text", "edited"])
+    # Both sides of the joins below are shuffled: fingerprints travel packed, digests as bytes.
+    found = cells.select("k", "nth", packed(F.col("text_cells")).alias("packed_own"), packed(F.col("edited_cells")).alias("packed_edit"))
+    digest = F.unhex(F.sha2("edited", 256))
+    facts = texts.select("k", "nth", "next_k", F.length("text").cast("bigint").alias("n_chars"), digest.alias("digest"))
+    none = packed(F.array().cast("array<int>"))
+    signed = facts.join(found, ["k", "nth"], "left").withColumns({c: F.coalesce(c, none) for c in ("packed_own", "packed_edit")})
+    signed = materialize(signed, "fingerprints")
     following = signed.where("nth = 1").select(F.col("k").alias("next_k"), F.col("packed_own").alias("packed_next"))
-    # Fingerprints are written and shuffled packed, and unpacked behind the join only.
     both = signed.join(following, "next_k")
     opened = both.withColumns({name: unpacked(F.col(f"packed_{part}")) for name, part in (("own", "own"), ("edit", "edit"), ("next_own", "next"))})
     return opened.select(
-        F.when(F.col("k") != NULL_ID, F.col("k")).alias("doc_id"), "n_chars", "edited_sha256",
+        F.when(F.col("k") != NULL_ID, F.col("k")).alias("doc_id"), "n_chars", F.lower(F.hex("digest")).alias("edited_sha256"),
         cells_text(F.col("own")).alias("fingerprint"), cells_text(F.col("edit")).alias("edited_fingerprint"),
         likeness(F.col("own"), F.col("edit")).alias("near_edited"), likeness(F.col("own"), F.col("next_own")).alias("near_next"),
     )
