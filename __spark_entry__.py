@@ -335,12 +335,44 @@ def stream_ingest(spark, d):
     return spark.read.parquet(out)
 
 
-def stream_flags(spark, d):
+def stream_batches(spark, d):
+    # Two runs of the stream, with a compaction between them.
+    table = _table(spark, d, "pages").select("url", F.col("html").alias("text"), (F.col("page_id") % 2).alias("wave"))
+    records, out, checkpoint = scratch_path(spark, "records"), scratch_path(spark, "batches"), scratch_path(spark, "stream")
+    for wave in range(2):
+        table.where(F.col("wave") == wave).drop("wave").write.mode("append").json(records)
+        jobs.stream_batches(jobs.read_record_stream(spark, records, jsonl.record_schema()), out, checkpoint).awaitTermination()
+        if wave == 0:
+            jobs.compact(spark, out)
+    return jobs.batch_rows(spark, out)
+
+
+def _flags_folder(spark, d):
     out = scratch_path(spark, "flags")
     schema = _table(spark, d, "documents").schema
     stream = jobs.read_record_stream(spark, f"{d}/documents.parquet*", schema, "parquet")
     jobs.stream_flags(stream, lexicon.default_terms(), out, scratch_path(spark, "stream")).awaitTermination()
-    return jobs.stream_totals(spark, out)
+    return out
+
+
+def stream_flags(spark, d):
+    return jobs.stream_totals(spark, _flags_folder(spark, d))
+
+
+def stream_quantiles(spark, d):
+    # Each quantile of the sketches with a check of its rank among all scores.
+    out = _flags_folder(spark, d)
+    found = jobs.stream_quantiles(spark, out).collect()  # one row for each of three quantiles
+    rows = spark.read.parquet(f"{out}/rows").where("reject_reason IS NULL")
+    score, error = F.col("tox_score"), jobs.RANK_ERROR
+    shares = [
+        F.struct(
+            F.lit(r["p"]).alias("p"), F.lit(r["n"]).cast("bigint").alias("n"),
+            ((F.avg((score < r["score"]).cast("int")) - error <= r["p"]) & (F.avg((score <= r["score"]).cast("int")) + error >= r["p"])).alias("in_error"),
+        )
+        for r in found
+    ]
+    return rows.agg(F.array(*shares).alias("shares")).select(F.inline("shares"))
 
 
 _REGISTERED = (
@@ -351,7 +383,7 @@ _REGISTERED = (
     minhash_signature, lsh_bands, near_dup_candidates, near_dup_pairs, near_dup_pairs_exact, near_dup_groups, near_dup_similar_groups,
     near_dup_summary, near_dup_examples,
     toxicity_distribution, toxicity_rate, toxicity_top5, pii_report, pii_fp_estimate, dataset_stats, clean_rate,
-    scorecard_metrics, recommendations, corpus_audit, audit_files, latest_scorecard, stream_ingest, stream_flags,
+    scorecard_metrics, recommendations, corpus_audit, audit_files, latest_scorecard, stream_ingest, stream_batches, stream_flags, stream_quantiles,
 )
 
 

@@ -349,6 +349,9 @@ def statements() -> dict[str, str]:
             n_hits, n_total, status FROM judged""",
         # streams
         "stream_ingest": f"SELECT url, html AS text, {strip('html')} AS text_clean FROM pages",
+        "stream_batches": f"SELECT url, html AS text, {strip('html')} AS text_clean FROM pages",
+        "stream_quantiles": f"""SELECT p, count(*) AS n, true AS in_error
+            FROM (SELECT {reason("text", "text")} AS r FROM documents), (SELECT unnest([0.5::DOUBLE, 0.9, 0.95]) AS p) WHERE r IS NULL GROUP BY p""",
         "stream_flags": f"""WITH {scored("documents")}, {flagged("documents")},
             judged AS (SELECT doc_id, {reason("text", "text")} AS r FROM documents)
             SELECT count(*) AS n_rows, count(*) FILTER (r = 'html') AS drop_html, count(*) FILTER (r = 'short') AS drop_short,
