@@ -579,3 +579,17 @@ def test_packed_fingerprints(spark):
     table = spark.createDataFrame(rows, "cells array<int>")
     for r in table.select("cells", fingerprints.unpacked(fingerprints.packed(fingerprints.F.col("cells"))).alias("back")).collect():
         assert r["back"] == r["cells"]
+
+
+def test_shared_start_is_sampled_like_two_whole_texts(spark):
+    """Cuts inside words, at blanks and in texts without a whole word give the terms of the two texts."""
+    starts = ["", "a", "abc", "   ", " a b c ", "a  b\n\nc d e f  ", "\t q", "ab cd ef gh ij kl mn " * 4, "é è ü  日本 語 x", "word" * 30, "x y x y x y x y "]
+    rows = []
+    for k, text in enumerate(starts):
+        for nth, other in enumerate(["", " ", "zz yy xx ww vv uu tt", "  lead and trail  ", "ab"]):
+            third = len(text) // 3
+            rows.append((k, nth, text, text[: len(text) - third] + other[:third]))
+    frame = spark.createDataFrame(rows, "k long, nth int, text string, edited string").repartition(3, "k")
+    whole = fingerprints.signatures(frame, ["k", "nth"], ["text", "edited"]).collect()
+    shared = fingerprints.edited_signatures(frame).collect()
+    assert sorted(shared) == sorted(whole) and len(whole) > 30

@@ -82,24 +82,56 @@ def _sample(term: Column, weight: Column) -> tuple[Column, Column]:
     return F.log(c) - r * (t - b + 1), t
 
 
+def sampled(split: DataFrame, keys: list[str], sides: list[str], bins: int = BINS) -> DataFrame:
+    """``keys`` and, for each side, the sorted array of bin * 65536 + sample code, from (keys, mask, term).
+
+    Bit i of ``mask`` says that this occurrence of the term is in side i, so a term that sides share is counted and
+    hashed once. ``split`` must be partitioned by a subset of ``keys`` for the counts to need no shuffle.
+    """
+    has = [F.sum(F.shiftright("mask", i).bitwiseAND(1)).alias(f"w{i}") for i in range(len(sides))]
+    weighted = split.groupBy(*keys, "term").agg(*has)
+    drawn = [F.pmod(F.xxhash64("term", F.lit(6)), F.lit(bins)).cast("int").alias("bin")]
+    for i in range(len(sides)):
+        # Without a weight the rank is null, and such a term is never the smallest.
+        rank, t = _sample(F.col("term"), F.nullif(F.col(f"w{i}"), F.lit(0)))
+        drawn += [rank.alias(f"rank{i}"), F.xxhash64("term", t).bitwiseAND(F.lit(0xFFFF)).cast("int").alias(f"code{i}")]
+    least = [F.min_by(f"code{i}", f"rank{i}").alias(f"code{i}") for i in range(len(sides))]
+    best = weighted.select(*keys, *drawn).groupBy(*keys, "bin").agg(*least)
+    cells = [F.sort_array(F.collect_list(F.col("bin") * 65536 + F.col(f"code{i}"))).alias(f"{c}_cells") for i, c in enumerate(sides)]
+    return best.groupBy(*keys).agg(*cells)
+
+
+def _split(parts: DataFrame, keys: list[str], masked: dict[int, Column]) -> DataFrame:
+    """(keys, mask, term), one row per term of the arrays in ``masked``."""
+    both = F.explode(F.array(*[F.struct(F.lit(mask).alias("mask"), found.alias("terms")) for mask, found in masked.items()]))
+    return parts.select(*keys, both.alias("x")).select(*keys, "x.mask", F.explode("x.terms").alias("term"))
+
+
 def signatures(texts: DataFrame, keys: list[str], sides: list[str], bins: int = BINS) -> DataFrame:
-    """``keys`` and, for each text column in ``sides``, the sorted array of bin * 65536 + sample code.
+    """``sampled`` of the text columns in ``sides``."""
+    return sampled(_split(texts, keys, {1 << i: terms(F.col(c)) for i, c in enumerate(sides)}), keys, sides, bins)
 
-    ``texts`` must be partitioned by a subset of ``keys`` for the counts to need no shuffle.
+
+def edited_signatures(texts: DataFrame) -> DataFrame:
+    """``signatures`` of text and edited, whose common start is split and counted once.
+
+    A word that the cut falls into belongs to both ends: the start's last part, which may be empty, opens either of them,
+    behind the last whole word, with which the first of an end makes a pair.
     """
-    bodies = F.explode(F.array(*[F.struct(F.lit(i).alias("side"), F.col(c).alias("body")) for i, c in enumerate(sides)]))
-    split = texts.select(*keys, bodies.alias("x")).select(*keys, "x.side", F.explode(terms(F.col("x.body"))).alias("term"))
-    weighted = split.groupBy(*keys, "side", "term").agg(F.count("*").alias("weight"))
-    rank, t = _sample(F.col("term"), F.col("weight"))
-    drawn = weighted.select(
-        *keys, "side", F.pmod(F.xxhash64("term", F.lit(6)), F.lit(bins)).cast("int").alias("bin"), rank.alias("rank"),
-        F.xxhash64("term", t).bitwiseAND(F.lit(0xFFFF)).cast("int").alias("code"),
+    kept = F.length("text") - F.floor(F.length("text") / 3).cast("int")
+    parts = texts.select(
+        "k", "nth", F.split(F.substring("text", F.lit(1), kept), BLANKS, -1).alias("parts"),
+        F.substring("text", kept + 1, F.length("text")).alias("own_end"), F.substring("edited", kept + 1, F.length("text")).alias("new_end"),
     )
-    best = drawn.groupBy(*keys, "side", "bin").agg(F.min_by("code", "rank").alias("code"))
-    cell = F.col("bin") * 65536 + F.col("code")
-    return best.groupBy(*keys).agg(
-        *[F.sort_array(F.collect_list(F.when(F.col("side") == i, cell))).alias(f"{c}_cells") for i, c in enumerate(sides)]
-    )
+    closed = F.filter(F.slice("parts", F.lit(1), F.size("parts") - 1), lambda w: w != "")
+    parts = parts.select("k", "nth", F.element_at("parts", -1).alias("open"), closed.alias("closed"), "own_end", "new_end")
+    last = F.array_join(F.slice("closed", F.greatest(F.size("closed"), F.lit(1)), F.lit(1)), "")
+    common = F.zip_with(
+        F.slice("closed", F.lit(1), F.greatest(F.size("closed") - 1, F.lit(0))),
+        F.slice("closed", F.lit(2), F.greatest(F.size("closed") - 1, F.lit(0))), lambda a, b: F.xxhash64(a, b),
+    )
+    end = lambda c: terms(F.concat(last, F.lit(" "), "open", c))
+    return sampled(_split(parts, ["k", "nth"], {3: common, 1: end("own_end"), 2: end("new_end")}), ["k", "nth"], ["text", "edited"])
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -110,22 +142,14 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def packed(cells: Column) -> Column:
-    """A sorted fingerprint in about half the bytes: which bins are filled, and the 16-bit codes in their order."""
-    bits = lambda low: F.aggregate(
-        F.filter(cells, lambda v: (v >= low << 16) & (v < low + 64 << 16)), F.lit(0).cast("bigint"),
-        lambda mask, v: mask.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.shiftright(v, 16) - low)),
-    )
+    """A fingerprint of up to 128 bins in three bytes a bin: the bins, whose order compresses well, and their codes."""
+    bins = F.transform(cells, lambda v: F.shiftright(v, 16).cast("tinyint"))
     codes = F.transform(cells, lambda v: (v.bitwiseAND(0xFFFF) - 0x8000).cast("smallint"))
-    return F.struct(F.array(*[bits(low) for low in range(0, BINS, 64)]).alias("filled"), codes.alias("codes"))
+    return F.struct(bins.alias("filled"), codes.alias("codes"))
 
 
 def unpacked(packing: Column) -> Column:
-    words = packing["filled"]
-    numbers = F.filter(
-        F.array(*[F.lit(b) for b in range(BINS)]),
-        lambda b: F.call_function("shiftrightunsigned", F.get(words, F.shiftright(b, 6)), b.bitwiseAND(63)).bitwiseAND(F.lit(1).cast("bigint")) == 1,
-    )
-    return F.zip_with(numbers, packing["codes"], lambda b, code: b * 65536 + code.cast("int") + 0x8000)
+    return F.zip_with(packing["filled"], packing["codes"], lambda b, code: b.cast("int") * 65536 + code.cast("int") + 0x8000)
 
 
 def cells_text(cells: Column) -> Column:
@@ -135,7 +159,7 @@ def cells_text(cells: Column) -> Column:
 def fingerprint_report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next), one row per row."""
     texts = edited_texts(df, id_col, text_col)
-    cells = signatures(texts, ["k", "nth"], ["text", "edited"])
+    cells = edited_signatures(texts)
     # Both sides of the joins below are shuffled: fingerprints travel packed, digests as bytes.
     found = cells.select("k", "nth", packed(F.col("text_cells")).alias("packed_own"), packed(F.col("edited_cells")).alias("packed_edit"))
     digest = F.unhex(F.sha2("edited", 256))
