@@ -10,24 +10,15 @@ from pyspark.sql import functions as F
 
 from textassay.llm import bpe_chunks, language_id, secret_scan, simhash, source_mixing
 from textassay.llm.common import materialize, whole
-
-# Rows that a Python worker gets at once. Documents are long, and workers live on from stage to stage.
-ROWS_PER_BATCH = 1_000
-_BATCH_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
+from textassay.runtime import small_batches
 
 ORACLE_SQL = None  # fingerprints, profiles and token ids cannot be written in SQL; tests compare with brute force
 
 
-def _small_batches(spark: SparkSession) -> None:
-    """Lowers the session's batch size for Arrow where it is above ROWS_PER_BATCH (or without a limit); it stays so."""
-    if not 0 < int(spark.conf.get(_BATCH_KEY, "0")) <= ROWS_PER_BATCH:
-        spark.conf.set(_BATCH_KEY, str(ROWS_PER_BATCH))
-
-
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents without a letter, in which no language can be told; fills in missing languages (``und`` where no
     row has one to learn from)."""
-    _small_batches(spark)
+    small_batches(spark)
     said = language_id.identify(docs, docs, names=("_lang", "_lang_score", "_lettered"))
     kept = said.where("_lettered")
     return kept.withColumn("lang", F.coalesce("lang", "_lang")).select(*docs.columns)
@@ -36,7 +27,7 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one row of each group of near copies: the smallest id, rows without an id last, ties by text. Ids decide nothing
     else: different texts under one id, or without an id, all stay."""
-    _small_batches(spark)
+    small_batches(spark)
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
     keys = {
         "_no_id": F.col("doc_id").isNull(),
@@ -65,7 +56,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token count and digests of every document of the mix."""
-    _small_batches(spark)
+    small_batches(spark)
     return bpe_chunks.coding_report(docs)
 
 

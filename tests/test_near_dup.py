@@ -189,6 +189,32 @@ def test_wide_shingle_hashes_are_sets(spark):
         assert r["h"] == sorted(set(r["h"])) and len(r["h"]) == (0 if t is None else len({t[i : i + 5] for i in range(max(1, len(t) - 4))}))
 
 
+def test_exact_check_moves_texts_by_work_unit(texts, monkeypatch):
+    """No set of shingles is written or shuffled, and a text of a crowd goes to a few work units, not along with each pair."""
+    rng = random.Random(3)
+    base = rng.choices(WORDS, k=60)
+    crowd = [" ".join([*base[:-2], f"n{i}", f"m{i % 7}"]) for i in range(60)]
+    values = [*crowd, *(" ".join(rng.choices(WORDS, k=30)) for _ in range(10)), None, "", "ab"]
+    written = {}
+
+    def keep(df, name, write=N.materialize):
+        written[name] = write(df, name)
+        return written[name]
+
+    monkeypatch.setattr(N, "materialize", keep)
+    df = texts(*values)
+    for size in (512, 8):
+        params = N.NearDupParams(unit_texts=size)
+        found = {(r["doc_a"], r["doc_b"]): r["jaccard"] for r in N.near_dup_pairs_exact(df, params=params).collect()}
+        assert all(kind != "array<bigint>" for table in written.values() for _, kind in table.dtypes)
+        moved = N._check_units(written["candidates"], written["texts"].select("rep", "norm"), params).where("b IS NULL").count()
+        assert moved <= 80 if size == 512 else moved < written["candidates"].count()
+        assert found and {k for k in found} <= {(r["rep_a"], r["rep_b"]) for r in written["candidates"].collect()}
+        for (a, b), jaccard in found.items():
+            x, y = shingle_set(values[a]), shingle_set(values[b])
+            assert jaccard == len(x & y) / len(x | y) >= 0.8
+
+
 def test_threshold_in_matches():
     assert N.NearDupParams().min_matches == 103
     assert N.NearDupParams(threshold=0.5).min_matches == 64

@@ -18,7 +18,7 @@ from textassay.operators.pii import pii_any, pii_columns
 from textassay.operators.quality import reject_reason
 from textassay.operators.scorecard import dataset_stats, recommendations, scorecard_metrics
 from textassay.operators.toxicity import Terms, TermTable, joined_sums, prepared, score_column, token_hashes, token_sums
-from textassay.runtime import materialize
+from textassay.runtime import materialize, small_batches
 
 
 @dataclass(frozen=True)
@@ -36,6 +36,7 @@ def audit_features(ingested: DataFrame, lexicon: Terms, id_col: str = "doc_id",
     About 700 bytes a row besides the carried columns. ``lexicon`` may have any length (see ``toxicity.prepared``): only one
     beyond a broadcast needs a join, by ``doc_id``, which must be unique then.
     """
+    small_batches(ingested.sparkSession)
     terms = prepared(lexicon)
     reason = reject_reason(text_col, raw_col).alias("reject_reason")
     rows = ingested.select(F.col(id_col).alias("doc_id"), *carried, reason, F.col(text_col).alias("_text"))
