@@ -55,6 +55,29 @@ def test_long_lists(spark, texts):
     assert {r["doc_id"]: (r["tox_millis"], r["n_tokens"]) for r in scored.collect()} == expected and len(few) > 5_000
 
 
+def test_a_costly_list_is_made_once(spark, texts, monkeypatch):
+    """The list is written before its form is chosen, and what may reach the driver is bounded by some ten megabytes."""
+    made = spark.sparkContext.accumulator(0)
+
+    def mark(rows):
+        for r in rows:
+            made.add(1)
+            yield r
+
+    rows = spark.createDataFrame(spark.range(60).rdd.map(lambda r: (f"w{r['id']}", 0.5)).mapPartitions(mark), "term string, weight double")
+    monkeypatch.setattr(X, "INLINE_TERMS", 5)
+    df = texts("w1 w2 x", "w3", None)
+    for limit, kind in ((100, X.TermTable), (10, type(rows))):
+        monkeypatch.setattr(X, "BROADCAST_TERMS", limit)
+        made.value = 0
+        terms = X.prepared(rows)
+        assert isinstance(terms, kind)
+        assert {r["doc_id"]: r["tox_millis"] for r in X.toxicity_score(df, terms).collect()} == {0: 1000, 1: 500, 2: 0}
+        assert made.value == 60
+    monkeypatch.undo()
+    assert 16 * X.BROADCAST_TERMS <= 10_000_000
+
+
 def test_empty_lexicon(texts):
     assert [r["tox_score"] for r in X.toxicity_score(texts("bad"), {}).collect()] == [0.0]
 

@@ -20,7 +20,7 @@ from textassay.sources.lexicon import WEIGHT_SCALE, inline_terms, scaled_weight
 THRESHOLD = 0.5
 # Terms up to which a lexicon becomes literals, and up to which it goes to every worker as 16 bytes a term.
 INLINE_TERMS = 5_000
-BROADCAST_TERMS = 4_000_000
+BROADCAST_TERMS = 500_000
 # Documents of one term that meet in one task of the join by term, and the most tasks a term is dealt to.
 BUSY_DOCS = 1_000_000
 MAX_PARTS = 10_000
@@ -100,14 +100,15 @@ def prepared(lexicon: Terms) -> Terms:
     """The form in which a lexicon is used, whatever its length; counts the terms of a table (term, weight).
 
     Up to INLINE_TERMS become literals and up to BROADCAST_TERMS a table of hashes; a longer list, or one in which two terms
-    share a hash, stays a table to be joined. All give the same scores.
+    share a hash, stays a table to be joined. All give the same scores. The table is written once, as lists may be costly to make.
     """
     if not isinstance(lexicon, DataFrame):
         return lexicon
+    lexicon = materialize(lexicon.select("term", "weight"), "terms")
     if (few := inline_terms(lexicon, INLINE_TERMS)) is not None:
         return few
     rows = lexicon.select(F.xxhash64("term").alias("h"), scaled_weight().alias("w"))
-    if rows.limit(BROADCAST_TERMS + 1).count() > BROADCAST_TERMS:
+    if lexicon.count() > BROADCAST_TERMS:
         return lexicon
     found = rows.toPandas().sort_values("h")
     keys, weights = found["h"].to_numpy(np.int64), found["w"].to_numpy(np.int64)
@@ -148,14 +149,19 @@ def joined_sums(df: DataFrame, lexicon: DataFrame, id_col: str, text_col: str) -
     tokens = df.select(id_col, F.explode_outer(tox_tokens(text_col)).alias("term"))
     counted = tokens.groupBy(id_col, "term").agg(F.count("term").alias("n"))
     # A term of very many documents would fill one task: rows are dealt on term and part of the id, and the list is repeated
-    # for each part of the terms that need it.
-    busy = materialize(counted.groupBy("term").agg(F.count("*").alias("docs")).where(F.col("docs") > BUSY_DOCS), "busy-terms")
-    parts = F.least(F.ceil(F.col("docs") / F.lit(BUSY_DOCS)), F.lit(MAX_PARTS)).cast("int")
-    spread = busy.join(weights, "term").select("term", "w", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), parts.alias("parts"))
-    of_busy = F.broadcast(busy.select("term", parts.alias("parts")))  # at most one term for each BUSY_DOCS rows
-    dealt = counted.join(of_busy, "term", "left").withColumn("part", F.pmod(F.xxhash64(id_col), F.coalesce("parts", F.lit(1))).cast("int"))
-    rest = weights.join(F.broadcast(busy.select("term")), "term", "left_anti").select("term", "w", F.lit(0).alias("part"))
-    weighed = dealt.join(rest.unionByName(spread.select("term", "w", "part")), ["term", "part"], "left")
+    # for each part of the terms that need it. No term has more documents than there are.
+    if df.count() > BUSY_DOCS:
+        # Counted within each document, so that only terms are shuffled.
+        held = df.select(F.explode(F.array_distinct(tox_tokens(text_col))).alias("term"))
+        busy = materialize(held.groupBy("term").agg(F.count("*").alias("docs")).where(F.col("docs") > BUSY_DOCS), "busy-terms")
+        parts = F.least(F.ceil(F.col("docs") / F.lit(BUSY_DOCS)), F.lit(MAX_PARTS)).cast("int")
+        spread = busy.join(weights, "term").select("term", "w", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), parts.alias("parts"))
+        of_busy = F.broadcast(busy.select("term", parts.alias("parts")))  # at most one term for each BUSY_DOCS rows
+        dealt = counted.join(of_busy, "term", "left").withColumn("part", F.pmod(F.xxhash64(id_col), F.coalesce("parts", F.lit(1))).cast("int"))
+        rest = weights.join(F.broadcast(busy.select("term")), "term", "left_anti").select("term", "w", F.lit(0).alias("part"))
+        weighed = dealt.join(rest.unionByName(spread.select("term", "w", "part")), ["term", "part"], "left")
+    else:
+        weighed = counted.join(weights, "term", "left")
     return weighed.groupBy(id_col).agg(
         F.sum(F.coalesce("w", F.lit(0)) * F.col("n")).cast("bigint").alias("tox_millis"), F.sum("n").cast("bigint").alias("n_tokens")
     )
