@@ -593,3 +593,23 @@ def test_shared_start_is_sampled_like_two_whole_texts(spark):
     whole = fingerprints.signatures(frame, ["k", "nth"], ["text", "edited"]).collect()
     shared = fingerprints.edited_signatures(frame).collect()
     assert sorted(shared) == sorted(whole) and len(whole) > 30
+
+
+def test_word_memo_keeps_the_newer_half(monkeypatch):
+    """However many words pass by, the memo is bounded, and a word in use is not made again."""
+    from textassay.llm import bpe_chunks
+
+    monkeypatch.setattr(bpe_chunks, "MEMO_WORDS", 100)
+    made = []
+    memo = bpe_chunks._Memo(lambda word: made.append(word) or word.encode())
+    for i in range(1_000):
+        assert memo[f"w{i}"] == f"w{i}".encode() and memo["common"] == b"common"
+        assert len(memo) + len(memo.older) <= 101
+    assert made.count("common") == 1 and memo[""] == b""
+
+
+def test_phrases_are_counted_by_48_bits():
+    from textassay.llm import repeats
+
+    _, _, h = repeats.Block(np.random.default_rng(1).integers(0, 256, 50_000).astype(np.uint8)).phrases()
+    assert len(h) > 1_000 and h.min() >= 0 and h.max() < 2**48 and len(np.unique(h)) == len(h)

@@ -46,6 +46,8 @@ KEY = 100  # longest part of a phrase that is counted
 BLOCK = 1 << 21
 MARGIN = 2 * WINDOW
 CROWDED = 16_384  # segments of one phrase that one task takes at once: at most some 100 MB with the hashes of their windows
+# Phrases are counted by so many bits: a coincidence only makes a phrase count as a repeated one, which leaves more windows open.
+PHRASE_BITS = np.int64((1 << 48) - 1)
 _U = np.uint64
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _tables: dict[int, list[np.ndarray]] = {}
@@ -111,7 +113,7 @@ class Block:
         backward = first[far], t[far] + TRIGGER
         a, b = (np.concatenate(x) for x in zip(forward, backward, strict=True))
         # A phrase that ends at a trigger and one that ends at KEY bytes are told apart by their length alone.
-        return a, b, self.hash(a, b)
+        return a, b, self.hash(a, b) & PHRASE_BITS
 
     def survivors(self, low: int, high: int, known: np.ndarray) -> np.ndarray:
         """Starts in [low, high) of windows in which every phrase held in full is in ``known`` (sorted)."""
