@@ -29,7 +29,7 @@ from textassay.llm.common import whole
 VOCABULARY = "word_bpe_49k.json"
 MEAN_CHUNK = 1024  # bytes
 HASH_WIDTH = 16
-MEMO_WORDS = 600_000
+MEMO_WORDS = 200_000
 CACHED_CHUNKS = 4096
 OUT_ROWS = 256
 _BLANKS = re.compile("[ \t\n\x0b\x0c\r]+")
@@ -87,15 +87,19 @@ def _letter_bytes() -> list[tuple[bytes, int]]:
 
 
 class _Memo(dict):
-    """Ids of words, made when first asked for and forgotten all at once when there are too many."""
+    """Ids of words, made when first asked for. With too many, the newer half stays and is asked before anything is made anew."""
 
     def __init__(self, make):
         super().__init__({"": b""})
         self.make = make
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
-        ids = self.make(word)
-        if len(self) >= MEMO_WORDS:
+        ids = self.older.pop(word, None)
+        if ids is None:
+            ids = self.make(word)
+        if len(self) >= MEMO_WORDS // 2:
+            self.older = dict(self)
             self.clear()
             self[""] = b""
         if len(word) <= 64:
