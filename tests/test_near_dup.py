@@ -156,6 +156,22 @@ def test_large_group_of_copies(spark):
     assert [(r["doc_a"], r["doc_b"]) for r in dups.examples(3).collect()] == [(0, 3), (0, 6), (0, 9)]
 
 
+def test_examples_expand_few_pairs(spark, monkeypatch):
+    """Of a crowd of similar groups only the first pairs of representatives are spelled out; the list is that of all pairs."""
+    df = spark.createDataFrame([(i, " ".join([*WORDS, *WORDS, f"n{i // 2}"])) for i in range(60)], "doc_id long, text string").repartition(3)
+    dups = N.near_dups(df)
+    everything = sorted((r["doc_a"], r["doc_b"], r["jaccard"]) for r in dups.pairs().collect())
+    asked = []
+
+    def count(pairs, *rest, expand=N.expand_pairs):
+        asked.append(pairs.count())
+        return expand(pairs, *rest)
+
+    monkeypatch.setattr(N, "expand_pairs", count)
+    assert [tuple(r) for r in dups.examples(4).collect()] == everything[:4]
+    assert asked == [4] and dups.similar.count() > 20
+
+
 def test_result_does_not_depend_on_partitions(texts):
     df = texts(*corpus(4, families=3))
     assert pairs_of(N.near_dups(df.repartition(7))) == pairs_of(N.near_dups(df.coalesce(1)))
