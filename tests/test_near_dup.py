@@ -250,3 +250,12 @@ def test_estimate_is_unbiased_enough():
         estimate = sum(x == y for x, y in zip(signature(a), signature(b))) / 128
         errors.append(estimate - len(sa & sb) / len(sa | sb))
     assert abs(sum(errors) / len(errors)) < 4 * 0.04 / 40**0.5
+
+
+def test_tested_pairs_are_spread_over_many_tasks(spark):
+    """Pairs that are tested inside the join are dealt to a fixed number of partitions, which Spark does not merge."""
+    rows = spark.range(200).select(F.lit(1).alias("bucket"), F.col("id").alias("rep"), F.lit(200).alias("size"), F.col("id").alias("n"))
+    params = N.NearDupParams(unit_rows=20)
+    found = N._pairs_within(rows, "bucket", "rep", "size", params, ["n"], F.abs(F.col("l_n") - F.col("r_n")) < 3)
+    assert {tuple(r) for r in found.collect()} == {(a, b) for a in range(200) for b in range(a + 1, min(a + 3, 200))}
+    assert found.rdd.getNumPartitions() == 8 * spark.sparkContext.defaultParallelism
