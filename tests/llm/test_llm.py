@@ -250,6 +250,37 @@ def test_chunk_joins_are_repaired(monkeypatch, mean):
         assert codec.encode(text) == codec.library_ids(text)
 
 
+def test_words_of_plain_characters_are_made_of_pieces(monkeypatch):
+    """Cases and marks of a word ask the model for it once and the library never, and the ids are the library's."""
+    codec = bpe_chunks.ChunkCodec(bpe_chunks.default_vocabulary())
+    library, made = codec.library_ids, []
+    monkeypatch.setattr(codec, "library_ids", lambda text: pytest.fail(f"library asked for {text}"))
+    monkeypatch.setattr(codec, "piece_ids", lambda piece, make=codec.piece_ids: made.append(piece) or make(piece))
+    text = "  stesth Stesth, stesth%%% STESTH!! (stesth) \"stesth's\" 'stesth' a1stesth22 \x0bÜBER stesth''ll ÿß_über's$$$ \n"
+    assert codec.encode(text) == library(text)
+    assert made.count("stesth") == 1 and made.count("über") == 1
+
+
+def test_pieces_are_those_of_the_library():
+    codec = bpe_chunks.ChunkCodec(bpe_chunks.default_vocabulary())
+    rng = np.random.default_rng(11)
+    letters = [*map(chr, range(1, 256)), "'s", "'LL", "'re", "''", " ", " ", "\n", "ab", "É", "<|endoftext|>", "<|", "\u0301", "\u2003", "Σ", "İ"]
+    for n in range(400):
+        text = "".join(letters[i] for i in rng.integers(0, len(letters), n % 90))
+        assert codec.encode(text) == codec.library_ids(text)
+
+
+@pytest.mark.parametrize("limit", [1, 200, 10**6])
+def test_texts_hashed_together_are_cut_as_alone(monkeypatch, limit):
+    monkeypatch.setattr(bpe_chunks, "HASHED_BYTES", limit)
+    monkeypatch.setattr(bpe_chunks.chunk_ends, "__defaults__", (5,))
+    rng = np.random.default_rng(4)
+    texts = ["", "é" * 40, "\0" * 30, "a", "", *("".join(map(chr, rng.integers(0, 900, n))) for n in range(60)), ""]
+    raws = [text.encode() for text in texts]
+    alone = [(raw, bpe_chunks.chunk_ends(np.frombuffer(raw, np.uint8)).tolist()) for raw in raws]
+    assert list(bpe_chunks.chunked(texts)) == alone and list(bpe_chunks.chunked([])) == []
+
+
 def brute_print(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     shingles = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))] if words else []

@@ -8,14 +8,17 @@ words around it are encoded anew, over more and more words, until the outer word
 have inside their chunks; blanks of the ASCII range always separate words of this vocabulary.
 
 The vocabulary is a file of the tokenizers library, whose path is a parameter (default: the public word-level BPE).
-Words are encoded by the library itself and remembered up to a bound.
+Words are encoded by the library itself and remembered up to a bound: in chunks of plain characters by their pieces (runs
+of letters or marks, digits), as there are fewer of those than of words in all their cases and with all their marks.
 
 Defined cases: null text counts as empty and has no ids; very long texts are encoded chunk by chunk; rows stay
 rows, repeated ones included; an empty table gives an empty table. Columns other than id and text are dropped.
 """
 
 import re
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -32,9 +35,12 @@ HASH_WIDTH = 16
 MEMO_WORDS = 200_000
 CACHED_CHUNKS = 4096
 OUT_ROWS = 256
+HASHED_BYTES = 2**18  # of short texts whose cuts are looked for at once
 _BLANKS = re.compile("[ \t\n\x0b\x0c\r]+")
-# Words that the library only lower-cases and splits into letters and marks: its model may be asked directly.
-_PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?]*)")
+# Characters that the library only lower-cases and splits into pieces, and those pieces: its model may be asked directly.
+# Special tokens begin with "<".
+_OTHERS = re.compile("[^ \t\n\x0b\x0c\r!-;=-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]")
+_PIECE = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+|'s|'t|'re|'ve|'m|'ll|'d|[0-9]|[!-/:;=-@\\[-`{-~]+")
 
 
 def default_vocabulary() -> str:
@@ -65,9 +71,28 @@ def chunk_ends(raw: np.ndarray, mean: int = MEAN_CHUNK) -> np.ndarray:
     return np.unique(np.append(cuts[cuts < len(raw)], len(raw)))
 
 
-def smallest_chunk(text: str) -> int:
-    raw = text.encode("utf-8", "surrogatepass")
-    ends = chunk_ends(np.frombuffer(raw, np.uint8)).tolist()
+def chunked(texts: Iterable[str]) -> Iterator[tuple[bytes, list[int]]]:
+    """Each text in UTF-8 and the ends of its chunks. Short texts are hashed together, zeros as wide as the hash between them."""
+
+    def cut(raws: list[bytes]) -> Iterator[tuple[bytes, list[int]]]:
+        ends, start = chunk_ends(np.frombuffer(bytes(HASH_WIDTH).join(raws), np.uint8)), 0
+        for raw in raws:
+            a, b = np.searchsorted(ends, [start + 1, start + len(raw)])
+            yield raw, [*(ends[a:b] - start).tolist(), len(raw)] if raw else []
+            start += len(raw) + HASH_WIDTH
+
+    group, held = [], 0
+    for text in texts:
+        raw = text.encode("utf-8", "surrogatepass")
+        if group and held + len(raw) > HASHED_BYTES:
+            yield from cut(group)
+            group, held = [], 0
+        group.append(raw)
+        held += len(raw) + HASH_WIDTH
+    yield from cut(group)
+
+
+def smallest_chunk(raw: bytes, ends: list[int]) -> int:
     return min((xxhash.xxh64_intdigest(raw[a:b]) >> 1 for a, b in zip([0, *ends], ends, strict=False)), default=0)
 
 
@@ -76,7 +101,7 @@ def anchor_udf():
 
     @pandas_udf("bigint")
     def anchor(texts: pd.Series) -> pd.Series:
-        return pd.Series([smallest_chunk(text) for text in texts], dtype="int64")
+        return pd.Series([smallest_chunk(raw, ends) for raw, ends in chunked(texts)], dtype="int64")
 
     return anchor
 
@@ -107,6 +132,16 @@ class _Memo(dict):
         return ids
 
 
+class Chunk(NamedTuple):
+    """The first word of a chunk and the last one (none, if it has one word only), both open; its inner words' ids and outermost words."""
+
+    first: str
+    after: list[str]
+    ids: bytes
+    before: list[str]
+    last: str | None
+
+
 class ChunkCodec:
     """Encodes and decodes texts; one per Python worker."""
 
@@ -124,37 +159,46 @@ class ChunkCodec:
         self.byte_chars = {b: pieces[0][0][-1] for b, pieces in shown.items()} | {0xC3: next(iter(shown.values()))[0][0][0]}
         self.id_bytes = [i.to_bytes(4, "little") for i in range(size)]
         self.words = _Memo(self.word_ids)
-        self.chunks: dict[str, tuple[list[str], list[bytes]]] = {}
+        self.chunks: dict[str, Chunk] = {}
 
     def library_ids(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def plain_ids(self, letters: str) -> bytes:
-        """Ids of a lower-case run of letters, or of a run of marks."""
-        if not letters.isascii():
-            letters = "".join(chr(b) if b < 128 else self.byte_chars[b] for b in letters.encode())
-        return b"".join([self.id_bytes[t.id] for t in self.model.tokenize(letters)])
+    def piece_ids(self, piece: str) -> bytes:
+        """Ids of a lower-case run of letters, a run of marks, a digit or an English ending."""
+        if not piece.isascii():
+            piece = piece.encode().decode("latin-1").translate(self.byte_chars)
+        return b"".join([self.id_bytes[t.id] for t in self.model.tokenize(piece)])
 
     def word_ids(self, word: str) -> bytes:
-        plain = _PLAIN.fullmatch(word)
-        if not plain:
-            return self.library_ids(word)
-        letters, marks = plain[1].lower(), plain[2]
-        if letters == word:
-            return self.plain_ids(word)
-        return self.words[letters] + (self.plain_ids(marks) if marks else b"")
-
-    def chunk(self, chunk: str) -> tuple[list[str], list[bytes]]:
-        """The words of a chunk, its ends being open, and their ids."""
+        if _PIECE.fullmatch(word):
+            return self.piece_ids(word)
+        return self.library_ids(word) if _OTHERS.search(word) else self.plain_ids(word)
+
+    def plain_ids(self, words: str) -> bytes:
+        """Ids of words of plain characters and the blanks between them."""
+        return b"".join(map(self.words.__getitem__, _PIECE.findall(words.lower())))
+
+    def chunk(self, chunk: str) -> Chunk:
         known = self.chunks.get(chunk)
         if known is None:
-            words = _BLANKS.split(chunk)
-            known = words, [*map(self.words.__getitem__, words)]
+            known = self.split_chunk(chunk)
             if len(self.chunks) >= CACHED_CHUNKS:
                 self.chunks.pop(next(iter(self.chunks)))
             self.chunks[chunk] = known
         return known
 
+    def split_chunk(self, chunk: str) -> Chunk:
+        blank = _BLANKS.search(chunk)
+        if blank is None:
+            return Chunk(chunk, [], b"", [], None)
+        if _OTHERS.search(chunk):
+            first, *inner, last = _BLANKS.split(chunk)
+            return Chunk(first, inner[:8], b"".join(map(self.words.__getitem__, inner)), inner[-8:], last)
+        last = "" if chunk[-1].isspace() else chunk.rsplit(None, 1)[-1]
+        inner = chunk[blank.end() : len(chunk) - len(last)]
+        return Chunk(chunk[: blank.start()], inner.split(None, 8)[:8], self.plain_ids(inner), inner.rsplit(None, 8)[-8:], last)
+
     def repaired(self, before: list[str], joined: str, after: list[str]) -> bytes:
         """Ids of the word at a join, encoded within more and more of its neighbours until those keep their own ids."""
         reach = 1
@@ -170,22 +214,24 @@ class ChunkCodec:
 
     def encode(self, text: str) -> bytes:
         """Ids of a text as little-endian unsigned 32-bit integers."""
-        raw = text.encode("utf-8", "surrogatepass")
+        return self.encode_chunks(*next(chunked([text])))
+
+    def encode_chunks(self, raw: bytes, ends: list[int]) -> bytes:
         out, start = bytearray(), 0
         closed: list[str] = []
         opened, mended = "", False
-        for end in chunk_ends(np.frombuffer(raw, np.uint8)).tolist():
-            words, ids = self.chunk(raw[start:end].decode("utf-8", "surrogatepass"))
+        for end in ends:
+            chunk = self.chunk(raw[start:end].decode("utf-8", "surrogatepass"))
             start = end
-            cut = bool(opened) and bool(words[0])
-            joined = opened + words[0]
+            cut = bool(opened) and bool(chunk.first)
+            joined = opened + chunk.first
             mended = mended or cut
-            if len(words) == 1:
+            if chunk.last is None:
                 opened = joined
                 continue
-            out += self.repaired(closed, joined, words[1:-1][:8]) if mended else self.words[joined]
-            out += b"".join(ids[1:-1])
-            closed, opened, mended = [w for w in words[1:-1][-8:] if w], words[-1], False
+            out += self.repaired(closed, joined, chunk.after) if mended else self.words[joined]
+            out += chunk.ids
+            closed, opened, mended = chunk.before, chunk.last, False
         return bytes(out + (self.repaired(closed, opened, []) if mended else self.words[opened]))
 
     def decode(self, ids: bytes) -> str:
@@ -209,7 +255,7 @@ def encode_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         for batch in batches:
             for i in range(0, len(batch), OUT_ROWS):
                 part = batch.iloc[i : i + OUT_ROWS]
-                ids = [own.encode(text) for text in part["text"]]
+                ids = [own.encode_chunks(raw, ends) for raw, ends in chunked(part["text"])]
                 yield pd.DataFrame({"doc_id": part["doc_id"], "ids": ids, "decoded": [own.decode(x) for x in ids]})
 
     return rows.drop("anchor").mapInPandas(run, f"doc_id {df.schema[id_col].dataType.simpleString()}, ids binary, decoded string")
