@@ -543,6 +543,13 @@ def test_pipeline_loses_no_document_without_copies(spark):
     assert sorted(kept, key=str) == sorted([(None, 0), (1, 1), (None, 2), (7, 3), (3, 4), (9, 5), (8, 6)], key=str)
 
 
+def test_pipeline_predicts_each_text_once(spark, docs):
+    # A filter on the prediction must not bring a second run of it, with Python workers of its own.
+    kept = corpus_pipeline.keep_known_languages(spark, docs, TABLES)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
 def test_neighbours_of_outliers_are_as_many(spark):
     from pyspark.sql import functions as F
 

@@ -149,7 +149,10 @@ def prototypes(rows: DataFrame) -> tuple[list[str], np.ndarray]:
 
 
 def predictor(langs: list[str], vectors: np.ndarray):
-    """Arrow UDF text -> (lang_pred, score, lettered); ``lettered`` tells whether the text has a letter."""
+    """Arrow UDF text -> (lang_pred, score, lettered); ``lettered`` tells whether the text has a letter.
+
+    Declared nondeterministic: else a filter on its result is pushed below and every text predicted twice, by twice the workers.
+    """
 
     @pandas_udf("lang_pred string, score double, lettered boolean")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -168,7 +171,7 @@ def predictor(langs: list[str], vectors: np.ndarray):
         for texts in batches:
             yield pd.DataFrame([said(t) for t in texts], columns=["lang_pred", "score", "lettered"])
 
-    return predict
+    return predict.asNondeterministic()
 
 
 def held_out(id_col: str = "doc_id") -> Column:
