@@ -328,6 +328,14 @@ def test_links_are_complete(spark, monkeypatch, crowded):
     assert got == want
 
 
+def test_probes_are_never_broadcast(spark):
+    # Tables this small are broadcast where Spark may choose; probes are 66 rows a fingerprint, and the choice must not hang on their size.
+    joined = simhash.linked(spark.range(40).selectExpr("id * 7919 as f"))
+    joined.collect()
+    inner = [x for x in joined._jdf.queryExecution().toString().splitlines() if "Join" in x and "Inner" in x and "Join Inner" not in x]
+    assert inner and all("SortMergeJoin" in x for x in inner), inner
+
+
 def test_components_of_a_path_and_a_hub(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 140)] + [(7, 7)]
     got = {r["node"]: r["component"] for r in connected_components(spark.createDataFrame(links, "a long, b long")).collect()}

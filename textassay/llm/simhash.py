@@ -6,7 +6,8 @@ differ in at most 3 bits differ in at most 1 bit in one half. Every fingerprint
 half under that half's value and looks up the Hamming ball of radius 1 around it (33 values); matches are
 verified on all 64 bits inside the join. A table entry with more than ``CROWDED`` fingerprints is not
 compared pair by pair: its rows are keyed by the entry and one of the four bytes of the other half, of
-which at least one must agree as well. Links then connect documents through distinct fingerprints only.
+which at least one must agree as well. Probes are 66 rows a fingerprint, which Spark's sizes do not see, so
+neither side of these joins is ever broadcast. Links then connect documents through distinct fingerprints only.
 
 Defined cases: null text counts as empty; texts without a word have fingerprint 0 and are linked like any
 other; a null id never names a component, and a component of null ids only is null; repeated rows stay
@@ -101,7 +102,8 @@ def linked(prints: DataFrame) -> DataFrame:
     def verified(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
         left, right = left.withColumnRenamed("f", "a"), right.withColumnRenamed("f", "b")
         close = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= MAX_DISTANCE
-        return left.join(right, on).where((F.col("a") < F.col("b")) & close).select("a", "b")
+        # Spark takes an exploded table to be as small as it was before, so its choice would be to broadcast the probes.
+        return left.hint("merge").join(right.hint("merge"), on).where((F.col("a") < F.col("b")) & close).select("a", "b")
 
     plain = verified(entries.join(crowded, "key", "left_anti"), probes, ["key"])
     # Crowded entries are at most rows / CROWDED keys, and they meet their probes byte by byte.
