@@ -558,6 +558,14 @@ def test_pipeline_predicts_each_text_once(spark, docs):
     assert plan.count("ArrowEvalPython") == 1
 
 
+def test_pipeline_broadcasts_no_probes(spark, docs, monkeypatch):
+    met = []
+    monkeypatch.setattr(simhash, "connected_components", lambda links: met.append(links) or connected_components(links))
+    corpus_pipeline.drop_near_duplicates(spark, docs, TABLES)
+    inner = [x for x in met[0]._jdf.queryExecution().executedPlan().toString().splitlines() if "Join" in x and "Inner" in x]
+    assert len(met) == 1 and inner and all("SortMergeJoin" in x for x in inner), inner
+
+
 def test_neighbours_of_outliers_are_as_many(spark):
     from pyspark.sql import functions as F
 
