@@ -142,6 +142,45 @@ def test_crowded_bucket_falls_apart_into_blocks(spark):
     assert sizes[0] <= 4 and sizes[1] < 40 * 600  # all with all: 720,000
 
 
+@pytest.mark.parametrize(("slices", "unit_rows"), [(8, 2_000), (8, 25), (1, 10)])
+def test_similar_groups_in_large_units(spark, slices, unit_rows, monkeypatch):
+    """A crowd in one bucket, compared as a whole, slice by slice or block by block, against brute force; each pair comes once."""
+    monkeypatch.setattr(N, "CROWDED_SLICES", slices)
+    rng, rows = random.Random(7), []
+    base = [rng.randrange(2**31) for _ in range(128)]
+    for i in range(400):
+        changed = set(rng.sample(range(16, 128), rng.choice([0, 5, 12, 20, 60]) if i else 0))
+        # Other values with equal low bytes must not count as equal.
+        row = [(x ^ 256 if j % 3 else rng.randrange(2**31)) if j in changed else x for j, x in enumerate(base)]
+        rows.append((i, str(row), row))
+    groups = N.signature_groups(spark.createDataFrame(rows, "doc_id long, group_key string, signature array<int>"))
+    leaders = [(r["rep"], r["signature"]) for r in groups.collect()]
+    found = [tuple(r) for r in N.similar_groups(groups, N.NearDupParams(unit_rows=unit_rows)).select("rep_a", "rep_b", "matches").collect()]
+    same = ((a, b, sum(x == y for x, y in zip(s, t))) for a, s in leaders for b, t in leaders if a < b)
+    assert sorted(found) == sorted(x for x in same if x[2] >= 103) and len(found) > 10_000
+
+
+def test_groups_under_one_id(spark):
+    """Different texts under one id are compared each; ids decide nothing else, and a group without an id has no pairs."""
+    rng = random.Random(8)
+    base = [rng.randrange(2**31) for _ in range(128)]
+    far = [rng.randrange(2**31) for _ in range(128)]
+    near = [*base[:120], *far[:8]]
+    rows = [(1, "a", base), (1, "b", near), (2, "c", [*base[:110], *far[:18]]), (3, "d", far), (3, "e", base[:64] + far[64:]), (None, "f", base[:127] + far[:1])]
+    groups = N.signature_groups(spark.createDataFrame(rows, "doc_id long, group_key string, signature array<int>"))
+    found = sorted(tuple(r) for r in N.similar_groups(groups).collect())
+    assert found == [(1, 2, 110, 1, 1), (1, 2, 110, 1, 1)]
+
+
+def test_signatures_are_looked_up_once_a_row(spark):
+    """Pairs carry their matches from the unit that compared them: no join by pair, no sketch, and nothing of a group's size is broadcast."""
+    rows = [(i, str(i), [j if j < 100 else i * j for j in range(128)]) for i in range(50)]
+    groups = N.signature_groups(spark.createDataFrame(rows, "doc_id long, group_key string, signature array<int>"))
+    plan = N.similar_groups(groups)._jdf.queryExecution().executedPlan().toString()
+    joins = [x for x in plan.splitlines() if "Join" in x]
+    assert len(joins) == 1 and "SortMergeJoin" in joins[0] and "MapInArrow" in plan
+
+
 def test_large_group_of_copies(spark):
     """A third of the rows are one text: counted without spelling out the pairs, and cut into units when they are."""
     rows = spark.range(900).select(
