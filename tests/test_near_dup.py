@@ -270,6 +270,23 @@ def test_exact_check_moves_texts_by_work_unit(texts, monkeypatch):
             assert jaccard == len(x & y) / len(x | y) >= 0.8
 
 
+def test_exact_check_goes_in_rounds(texts, monkeypatch):
+    """Where texts travel to many units, the units are checked in rounds, none of which moves much more text than there is."""
+    rng = random.Random(5)
+    base = rng.choices(WORDS, k=60)
+    values = [" ".join([*base[:-2], f"n{i}", f"m{i % 7}"]) for i in range(80)]
+    rounds = []
+    monkeypatch.setattr(N, "ROUND_BYTES", 1)
+    monkeypatch.setattr(N, "_with_texts", lambda pairs, texts, make=N._with_texts: rounds.append(make(pairs, texts)) or rounds[-1])
+    df = texts(*values)
+    found = sorted((r["doc_a"], r["doc_b"], r["jaccard"]) for r in N.near_dup_pairs_exact(df, params=N.NearDupParams(unit_texts=8)).collect())
+    assert found == expected_exact(values) and len(found) > 500
+    assert 5 <= len(rounds) <= 12
+    moved = [r.agg(F.count("norm")).first()[0] for r in rounds]
+    assert max(moved) < 2 * len(values) < sum(moved)
+    assert df.sparkSession.conf.get(N.DROP_SHUFFLES, "false") == "false"
+
+
 def test_threshold_in_matches():
     assert N.NearDupParams().min_matches == 103
     assert N.NearDupParams(threshold=0.5).min_matches == 64
