@@ -7,7 +7,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from textassay.operators import toxicity
+from textassay.operators import near_dup, toxicity
 from textassay.operators.ingest import ingest
 from textassay.operators.near_dup import NearDupParams
 from textassay.operators.quality import quality_report
@@ -68,6 +68,12 @@ def test_crowded_units_change_nothing(spark):
     assert {r["value"] for r in few.scorecard.where("metric = 'MI-01'").collect()} == {9.62}
 
 
+def test_no_signature_is_looked_up_by_pair(spark, monkeypatch):
+    """The pairs behind the scorecard are counted where they meet, not joined with their signatures once more."""
+    monkeypatch.setattr(near_dup, "match_count", None)
+    assert {r["value"] for r in audit(spark).scorecard.where("metric = 'MI-01'").collect()} == {9.62}
+
+
 def test_empty_corpus(spark):
     ingested = ingest(sample(spark).where("false"), keep=("doc_id", "url"))
     rows = {r["metric"]: r["value"] for r in run_audit(ingested, {"a": 1}).scorecard.collect()}
